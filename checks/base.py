@@ -29,6 +29,9 @@ def with_fixtures(sql: str) -> str:
         return sql
     plain = {n: re.sub(r"\{(\w+)\}", r"\1", FIXTURES[n]) for n in names}
     ctes = ",\n".join(f"{n} AS ({plain[n]})" for n in names)
+    body = sql.lstrip()
+    if body.startswith("WITH "):
+        return f"WITH {ctes},\n{body[len('WITH '):]}"
     return f"WITH {ctes}\n{sql}"
 
 

@@ -58,9 +58,9 @@ def rejected(checked: DataFrame) -> DataFrame:
 
 def check_registry(sites: DataFrame) -> DataFrame:
     """Add ``reject_reason`` to registry rows; the first id of a domain is kept."""
-    first = sites.groupBy("domain").agg(F.min("site_id").alias("_first"))
-    joined = sites.join(first, sites["domain"].eqNullSafe(first["domain"]), "left")
-    reason = F.when(sites["domain"].isNull(), "missing_domain").when(
+    first = sites.groupBy(F.col("domain").alias("_domain")).agg(F.min("site_id").alias("_first"))
+    joined = sites.join(first, F.col("domain") == F.col("_domain"), "left")
+    reason = F.when(F.col("domain").isNull(), "missing_domain").when(
         F.col("site_id") != F.col("_first"), "duplicate_domain"
     )
-    return joined.select(*[sites[c] for c in sites.columns], reason.alias("reject_reason"))
+    return joined.select(*sites.columns, reason.alias("reject_reason"))

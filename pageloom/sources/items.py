@@ -2,45 +2,45 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from pageloom.schemas import LABELLED_ITEMS, PAGE_ITEMS
 
-_CORRUPT = "_corrupt_record"
 
-
-def _json_reader(spark: SparkSession, schema: StructType, multi_line: bool):
+def _json_reader(spark: SparkSession, schema: StructType, multi_line: bool, glob: str):
     return (
         spark.read.schema(schema)
         .option("multiLine", multi_line)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
     )
 
 
 def read_items(
-    spark: SparkSession, path: str, schema: StructType = PAGE_ITEMS, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: StructType = PAGE_ITEMS,
+    multi_line: bool = True,
+    glob: str = "*.json",
 ) -> DataFrame:
-    return _json_reader(spark, schema, multi_line).json(path)
+    return _json_reader(spark, schema, multi_line, glob).json(path)
 
 
 def read_labelled(
-    spark: SparkSession, path: str, schema: StructType = LABELLED_ITEMS, multi_line: bool = True
+    spark: SparkSession, path: str, schema: StructType = LABELLED_ITEMS, glob: str = "*.json"
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows of all readable JSON files, and the files that were left out.
+    """Rows of all readable JSON arrays, and the files that were left out.
 
-    A file with any malformed record is left out as a whole.
+    A file is parsed as one document, so a malformed one is left out as a whole.
     """
-    full = StructType(schema.fields).add(_CORRUPT, StringType())
-    rows = (
-        _json_reader(spark, full, multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .json(path)
-        .withColumn("file", F.col("_metadata.file_path"))
+    files = (
+        spark.read.option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
+        .text(path, wholetext=True)
+        .select(F.col("_metadata.file_path").alias("file"), "value")
+        .withColumn("items", F.from_json("value", ArrayType(schema)))
     )
-    bad = rows.where(F.col(_CORRUPT).isNotNull()).groupBy("file").agg(
-        F.min(F.substring(_CORRUPT, 1, 200)).alias("sample")
+    bad = files.where(F.col("items").isNull()).select(
+        "file", F.substring("value", 1, 200).alias("sample")
     )
-    good = rows.join(bad.select("file"), "file", "left_anti").drop("file", _CORRUPT)
-    return good, bad
+    return files.select(F.inline("items")), bad
