@@ -58,10 +58,11 @@ def raw_attribute(tag: Column, name: str) -> Column:
 
 
 def unquote(raw: Column) -> Column:
-    return decode_entities(F.regexp_replace(raw, "^[\"']|[\"']$", ""))
+    return F.regexp_replace(raw, "^[\"']|[\"']$", "")
 
 
 def attribute(tag: Column, name: str) -> Column:
+    """Attribute value with its character references."""
     return unquote(raw_attribute(tag, name))
 
 
@@ -111,8 +112,8 @@ def meta_content(markup: Column, key: str, name: str) -> Column:
 def page_title(markup: Column) -> Column:
     """Declared title, else the first direct text of ``<title>`` or ``<h1>``."""
     heading = F.regexp_extract(markup, r"(?is)<(?:title|h1)\b[^>]*>([^<]+)", 1)
-    return F.coalesce(
-        meta_content(markup, "property", "og:title"), falsy_to_null(decode_entities(heading))
+    return decode_entities(
+        F.coalesce(meta_content(markup, "property", "og:title"), falsy_to_null(heading))
     )
 
 
@@ -128,11 +129,13 @@ def _first_image(markup: Column, container: str) -> Column:
 
 
 def main_image(markup: Column) -> Column:
-    return F.coalesce(
-        meta_content(markup, "property", "og:image"),
-        meta_content(markup, "name", "twitter:image"),
-        _first_image(markup, "figure"),
-        _first_image(markup, "article"),
+    return decode_entities(
+        F.coalesce(
+            meta_content(markup, "property", "og:image"),
+            meta_content(markup, "name", "twitter:image"),
+            _first_image(markup, "figure"),
+            _first_image(markup, "article"),
+        )
     )
 
 

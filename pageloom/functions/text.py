@@ -85,13 +85,22 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _named_references() -> Column:
+    """The references as one literal array."""
+    pairs = ", ".join(
+        f"struct('{name}' AS name, {char!r} AS char)" for name, char in NAMED_ENTITIES
+    )
+    return F.expr(f"array({pairs})")
+
+
 def decode_entities(col: Column) -> Column:
     """Replace character references by their characters, each reference once."""
 
     def decoded(text: Column) -> Column:
-        named = F.when(F.contains(text, F.lit("&#")), _numeric_references(text)).otherwise(text)
-        for name, char in NAMED_ENTITIES:
-            named = F.replace(named, F.lit(name), F.lit(char))
+        numeric = F.when(F.contains(text, F.lit("&#")), _numeric_references(text)).otherwise(text)
+        named = F.aggregate(
+            _named_references(), numeric, lambda done, ref: F.replace(done, ref["name"], ref["char"])
+        )
         return F.when(F.contains(text, F.lit("&")), named).otherwise(text)
 
     return let(col, decoded)

@@ -1,6 +1,6 @@
 """URL expressions."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import let
@@ -32,7 +32,8 @@ def registry_domain(domain: Column) -> Column:
     return F.regexp_replace(domain, r"^www\.", "")
 
 
-def _clean_ref(ref: Column) -> Column:
+def clean_ref(ref: Column) -> Column:
+    """The reference without line breaks and leading control characters."""
     no_breaks = F.translate(ref, "\t\r\n", "")
     return F.regexp_replace(no_breaks, r"^[\x00-\x20]+", "")
 
@@ -56,7 +57,7 @@ def _normal_path(path: Column) -> Column:
     return F.when(path.rlike(r"(^|/)\.{1,2}(/|$)"), _walk_segments(path)).otherwise(plain)
 
 
-def _join_paths(base: Column, ref: Column) -> Column:
+def join_paths(base: Column, ref: Column) -> Column:
     """Resolve a reference against a base; neither has query or fragment."""
     scheme = F.lower(F.regexp_extract(base, _SCHEME, 1))
     ref_scheme = F.lower(F.regexp_extract(ref, _SCHEME, 1))
@@ -81,7 +82,7 @@ def before_query(url: Column) -> Column:
 
 def _join_any(base: Column, ref: Column) -> Column:
     head = before_query(ref)
-    joined = _join_paths(before_query(base), head)
+    joined = join_paths(before_query(base), head)
     tail = F.regexp_replace(
         F.regexp_replace(F.regexp_replace(ref, _BEFORE_QUERY, ""), r"^\?(#|$)", "$1"), "#$", ""
     )
@@ -92,27 +93,16 @@ def _join_any(base: Column, ref: Column) -> Column:
 
 def url_join(base: Column, ref: Column) -> Column:
     """Absolute form of a reference found on the page ``base``."""
-    return let(_clean_ref(ref), lambda clean: _join_any(base, clean))
+    return let(clean_ref(ref), lambda clean: _join_any(base, clean))
 
 
-def canonical_url(url: Column) -> Column:
-    """Cut fragment and query, strip every trailing slash."""
-    return F.rtrim(before_query(url), F.lit("/"))
-
+def strip_slashes(url: Column) -> Column:
+    return F.rtrim(url, F.lit("/"))
 
-def add_canonical_join(df: DataFrame, base: str, ref: str, name: str) -> DataFrame:
-    """Add ``canonical_url(url_join(base, ref))``; the query is cut before the join.
 
-    The two cut values are columns of their own, so that no regular expression runs twice.
-    """
-    cut = df.withColumns(
-        {
-            "_base": before_query(F.col(base)),
-            "_ref": before_query(_clean_ref(F.col(ref))),
-        }
-    )
-    joined = F.rtrim(_join_paths(F.col("_base"), F.col("_ref")), F.lit("/"))
-    return cut.withColumn(name, joined).drop("_base", "_ref")
+def canonical_url(url: Column) -> Column:
+    """Cut fragment and query, strip every trailing slash."""
+    return strip_slashes(before_query(url))
 
 
 def has_date_path(url: Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pageloom.fixed_values import ARTICLE_HREF_PARTS, SKIPPED_HREF_PREFIXES
 from pageloom.functions import html as H
 from pageloom.functions import urls as U
-from pageloom.functions.text import contains_any, starts_with_any, strip
+from pageloom.functions.text import contains_any, decode_entities, let, starts_with_any, strip
+from pageloom.operators.binding import bind
 
 
 def seed_sites(sites: DataFrame, start_url: str | None = None) -> DataFrame:
@@ -71,7 +72,7 @@ def chosen_hrefs(anchors: Column) -> Column:
     raw = F.when(
         F.exists(anchors, _is_article_anchor), F.filter(anchors, _is_article_anchor)
     ).otherwise(anchors)
-    return F.transform(raw, lambda a: H.unquote(a["raw"]))
+    return F.transform(raw, lambda a: decode_entities(H.unquote(a["raw"])))
 
 
 def extract_hrefs(pages: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def extract_hrefs(pages: DataFrame) -> DataFrame:
         F.col("url").alias("src_url"),
         page_anchors(F.col("html")).alias("anchors"),
     )
-    return anchored.select("src_page_id", "src_url", chosen_hrefs(F.col("anchors")).alias("hrefs"))
+    return bind(anchored, hrefs=chosen_hrefs(F.col("anchors"))).drop("anchors")
 
 
 def followable_hrefs(pages: DataFrame) -> DataFrame:
@@ -96,10 +97,11 @@ def followable_hrefs(pages: DataFrame) -> DataFrame:
 
 def explode_links(hrefs: DataFrame) -> DataFrame:
     """One row per link with its position among the page's links."""
-    return hrefs.select(
+    links = hrefs.select(
         *[c for c in hrefs.columns if c != "hrefs"],
-        F.posexplode("hrefs").alias("link_pos", "href"),
+        F.posexplode_outer("hrefs").alias("link_pos", "href"),
     )
+    return links.where(F.col("link_pos").isNotNull())
 
 
 def attach_site(df: DataFrame, sites: DataFrame, url: str) -> DataFrame:
@@ -112,7 +114,15 @@ def attach_site(df: DataFrame, sites: DataFrame, url: str) -> DataFrame:
 
 
 def resolve_links(links: DataFrame) -> DataFrame:
-    return U.add_canonical_join(links, "src_url", "href", "full_url")
+    """Add the canonical absolute URL of each link."""
+    cut = links.withColumns(
+        {
+            "_base": U.before_query(F.col("src_url")),
+            "_ref": U.before_query(U.clean_ref(F.col("href"))),
+        }
+    )
+    full_url = U.strip_slashes(U.join_paths(F.col("_base"), F.col("_ref")))
+    return bind(cut, full_url=full_url).drop("_base", "_ref")
 
 
 def on_site(links: DataFrame, sites: DataFrame | None = None) -> DataFrame:
@@ -127,11 +137,11 @@ def on_site(links: DataFrame, sites: DataFrame | None = None) -> DataFrame:
 
 
 def is_irrelevant(url: Column, keywords: list[str]) -> Column:
-    return contains_any(F.lower(url), keywords)
+    return let(F.lower(url), lambda lowered: contains_any(lowered, keywords))
 
 
 def is_category_link(url: Column, keywords: list[str]) -> Column:
-    return contains_any(F.lower(url), keywords)
+    return let(F.lower(url), lambda lowered: contains_any(lowered, keywords))
 
 
 def first_visits(

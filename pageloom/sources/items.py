@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from pageloom.operators.binding import bind
 from pageloom.schemas import LABELLED_ITEMS, PAGE_ITEMS
 
 
@@ -38,8 +39,8 @@ def read_labelled(
         .option("recursiveFileLookup", True)
         .text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file"), "value")
-        .withColumn("items", F.from_json("value", ArrayType(schema)))
     )
+    files = bind(files, items=F.from_json("value", ArrayType(schema)))
     bad = files.where(F.col("items").isNull()).select(
         "file", F.substring("value", 1, 200).alias("sample")
     )
