@@ -87,10 +87,11 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def _named_references() -> Column:
     """The references as one literal array."""
-    pairs = ", ".join(
-        f"struct('{name}' AS name, {char!r} AS char)" for name, char in NAMED_ENTITIES
-    )
-    return F.expr(f"array({pairs})")
+    pairs = [
+        "struct('{}' AS name, '{}' AS char)".format(name, char.replace("'", r"\'"))
+        for name, char in NAMED_ENTITIES
+    ]
+    return F.expr(f"array({', '.join(pairs)})")
 
 
 def decode_entities(col: Column) -> Column:

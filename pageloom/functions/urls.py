@@ -39,22 +39,22 @@ def clean_ref(ref: Column) -> Column:
 
 
 def _walk_segments(path: Column) -> Column:
-    """Resolve empty, ``.`` and ``..`` segments of a path."""
-    steps = F.aggregate(
+    """Resolve the ``.`` and ``..`` segments of a path that begins with a slash."""
+    kept = F.aggregate(
         F.split(path, "/"),
         F.array().cast("array<string>"),
-        lambda kept, seg: F.when((seg == "") | (seg == "."), kept)
-        .when(seg == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
-        .otherwise(F.concat(kept, F.array(seg))),
+        lambda done, seg: F.when(seg == ".", done)
+        .when(seg == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(seg))),
     )
-    closing = F.when(path.rlike(r"(^|/)\.{0,2}$") & (F.size(steps) > 0), "/").otherwise("")
-    return F.concat(F.lit("/"), F.array_join(steps, "/"), closing)
+    closing = F.when(path.rlike(r"/\.{1,2}$") & (F.size(kept) > 0), "/").otherwise("")
+    joined = F.concat(F.array_join(kept, "/"), closing)
+    return F.when(F.startswith(joined, F.lit("/")), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
 def _normal_path(path: Column) -> Column:
     """Path after a merge; only paths with dot segments need the walk."""
-    plain = F.regexp_replace(F.concat(F.lit("/"), path), "/{2,}", "/")
-    return F.when(path.rlike(r"(^|/)\.{1,2}(/|$)"), _walk_segments(path)).otherwise(plain)
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), _walk_segments(path)).otherwise(path)
 
 
 def join_paths(base: Column, ref: Column) -> Column:
@@ -66,12 +66,14 @@ def join_paths(base: Column, ref: Column) -> Column:
     root = F.regexp_extract(base, _ROOT, 1)
     base_path = F.regexp_replace(base, _ROOT, "")
     folder = F.regexp_extract(base_path, "(?s)^(.*/)", 1)
+    # Only a merge of two paths folds repeated slashes; a path from the root keeps them.
+    merged = F.regexp_replace(F.concat(F.lit("/"), folder, rest), "/{2,}", "/")
     return (
         F.when(foreign, ref)
         .when(F.startswith(rest, F.lit("//")), F.concat(scheme, F.lit(":"), rest))
         .when(rest == "", base)
         .when(F.startswith(rest, F.lit("/")), F.concat(root, _normal_path(rest)))
-        .otherwise(F.concat(root, _normal_path(F.concat(folder, rest))))
+        .otherwise(F.concat(root, _normal_path(merged)))
     )
 
 

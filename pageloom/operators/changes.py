@@ -87,8 +87,7 @@ def url_outcomes(changes: DataFrame) -> DataFrame:
 
 def number_new(outcomes: DataFrame, last_id: Column, run_rows: int = RUN_ROWS) -> DataFrame:
     """Give new URLs the ids after ``last_id`` in order of their first appearance."""
-    new = number_rows(outcomes.where("is_new"), "first_seq", last_id, "new_id", run_rows)
-    return new.unionByName(outcomes.where(~F.col("is_new")), allowMissingColumns=True)
+    return number_rows(outcomes, "first_seq", last_id, "new_id", run_rows, F.col("is_new"))
 
 
 def upsert(
@@ -108,10 +107,9 @@ def upsert(
     content = batch.select(
         "url", F.col("ingest_seq").alias("changed_seq"), "title", "body", "image_url", "content_hash"
     )
-    # (url, sequence number) is unique on both sides, so no key of this join is hot.
-    patched = outcomes.where("changed_seq is not null").join(content, ["url", "changed_seq"])
-    touched = outcomes.where("changed_seq is null")
-    patch = patched.unionByName(touched, allowMissingColumns=True).withColumn("_seen", F.lit(True))
+    # (url, sequence number) is unique on both sides, so no key of this join is hot; a URL
+    # without a changed row finds no content.
+    patch = outcomes.join(content, ["url", "changed_seq"], "left").withColumn("_seen", F.lit(True))
 
     old, new = state.alias("old"), patch.alias("new")
     exists = F.col("old.article_id").isNotNull()

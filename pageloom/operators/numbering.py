@@ -11,25 +11,37 @@ from pyspark.sql import Window as W
 RUN_ROWS = 1 << 20
 
 
+def _run(order: str, run_rows: int) -> Column:
+    return F.expr(f"`{order}` div {run_rows}")
+
+
 def number_rows(
-    df: DataFrame, order: str, start: Column, name: str, run_rows: int = RUN_ROWS
+    df: DataFrame,
+    order: str,
+    start: Column,
+    name: str,
+    run_rows: int = RUN_ROWS,
+    only: Column | None = None,
 ) -> DataFrame:
     """Consecutive numbers after ``start`` in the order of a unique sequence column.
 
     Rows are numbered inside each run; the runs' counts, one row per run, give the offsets.
+    With ``only``, rows that fail it stay without a number.
     """
-    runs = df.withColumn("_run", F.floor(F.col(order) / run_rows))
-    counts = runs.groupBy("_run").agg(F.count(F.lit(1)).alias("_rows"))
+    counted = F.when(F.lit(True) if only is None else only, 1).otherwise(0)
+    runs = df.withColumns({"_run": _run(order, run_rows), "_counted": counted})
+    counts = runs.groupBy("_run").agg(F.sum("_counted").alias("_rows"))
     before = W.orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
         "_run", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
-    local = F.row_number().over(W.partitionBy("_run").orderBy(order))
+    in_run = W.partitionBy("_run").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    number = start + F.col("_offset") + F.col("_local")
     return (
-        runs.withColumn("_local", local)
+        runs.withColumn("_local", F.sum("_counted").over(in_run))
         .join(offsets, "_run")
-        .withColumn(name, start + F.col("_offset") + F.col("_local"))
-        .drop("_run", "_offset", "_local")
+        .withColumn(name, F.when(F.col("_counted") == 1, number))
+        .drop("_run", "_offset", "_local", "_counted")
     )
 
 
@@ -49,7 +61,7 @@ def previous_value(
     hot key is never gathered in one task.
     """
     run = W.partitionBy(key, "_run").orderBy(order)
-    inside = batch.withColumn("_run", F.floor(F.col(order) / run_rows)).withColumns(
+    inside = batch.withColumn("_run", _run(order, run_rows)).withColumns(
         {
             "_inside": F.lag(F.struct(F.col(value))).over(run),
             "_last": F.lead(order).over(run).isNull(),
