@@ -65,7 +65,7 @@ def strip(x: str) -> str:
 
 def decode(x: str) -> str:
     for name, char in NAMED_ENTITIES:
-        x = f"replace({x}, {text(name)}, {text(char)})"
+        x = f"replace({x}, {text(f'&{name};')}, {text(char)})"
     return x
 
 

@@ -62,12 +62,15 @@ def unquote(raw: Column) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Attribute value with its character references."""
+    """Attribute value, character references not decoded."""
     return unquote(raw_attribute(tag, name))
 
 
 def _region(html: Column, tag: str) -> Column:
-    return falsy_to_null(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))
+    """Content of the first element of a kind; null without a closing tag or without content."""
+    after = F.split(html, rf"(?i)<{tag}\b[^>]*>", 2)[1]
+    closed = F.split(after, rf"(?i)</{tag}\s*>", 2)
+    return let(closed, lambda parts: F.when(F.size(parts) == 2, falsy_to_null(parts[0])))
 
 
 def text_region(html: Column) -> Column:
@@ -81,11 +84,15 @@ def text_region(html: Column) -> Column:
 
 
 def region_text(region: Column) -> Column:
-    """Text of a region, one line per block."""
+    """Text of a region, one line per block.
+
+    The last two patterns leave single spaces and line ends alone and match only what changes.
+    """
     kept = F.regexp_replace(region, _SIDE_BLOCKS, "")
     text = F.regexp_replace(F.regexp_replace(kept, _LINE_ENDS, "\n"), _TAG, "")
-    folded = F.regexp_replace(decode_entities(text), "[ \t\r\x0b\x0c\u00a0]+", " ")
-    return strip(F.regexp_replace(folded, " ?\n[ \n]*", "\n"))
+    spaces = "[ \t\r\x0b\x0c\u00a0]{2,}|[\t\r\x0b\x0c\u00a0]"
+    folded = F.regexp_replace(decode_entities(text), spaces, " ")
+    return strip(F.regexp_replace(folded, "[ \n]{2,}", "\n"))
 
 
 def main_text(html: Column) -> Column:
@@ -103,17 +110,26 @@ def fallback_text(html: Column) -> Column:
     return F.coalesce(F.array_join(kept, "\n\n"), F.lit(""))
 
 
-def meta_content(markup: Column, key: str, name: str) -> Column:
+def meta_tags(markup: Column) -> Column:
+    """All ``<meta>`` tags of a page in one short text."""
+    return F.array_join(
+        F.regexp_extract_all(markup, F.lit(r"(?i)<meta\s[^>]*>"), F.lit(0)), ""
+    )
+
+
+def meta_content(metas: Column, key: str, name: str) -> Column:
     """Content of the first ``<meta>`` whose attribute ``key`` equals ``name``."""
-    tag = F.regexp_extract(markup, rf"""(?is)<meta\s(?:[^>]*\s)?{key}\s*=\s*["']?{name}(?:["'\s/][^>]*)?>""", 0)
+    tag = F.regexp_extract(
+        metas, rf"""(?is)<meta\s(?:[^>]*\s)?{key}\s*=\s*["']?{name}(?:["'\s/][^>]*)?>""", 0
+    )
     return falsy_to_null(attribute(tag, "content"))
 
 
-def page_title(markup: Column) -> Column:
+def page_title(markup: Column, metas: Column) -> Column:
     """Declared title, else the first direct text of ``<title>`` or ``<h1>``."""
-    heading = F.regexp_extract(markup, r"(?is)<(?:title|h1)\b[^>]*>([^<]+)", 1)
+    heading = F.regexp_extract(markup, r"(?i)<(?:title|h1)\b[^>]*>([^<]+)", 1)
     return decode_entities(
-        F.coalesce(meta_content(markup, "property", "og:title"), falsy_to_null(heading))
+        F.coalesce(meta_content(metas, "property", "og:title"), falsy_to_null(heading))
     )
 
 
@@ -128,27 +144,35 @@ def _first_image(markup: Column, container: str) -> Column:
     return falsy_to_null(attribute(tag, "src"))
 
 
-def main_image(markup: Column) -> Column:
+def main_image(markup: Column, metas: Column) -> Column:
+    """Declared image, else the first one in a figure or an article."""
+    shown = F.when(
+        markup.rlike(r"(?i)<img\s"),
+        F.coalesce(_first_image(markup, "figure"), _first_image(markup, "article")),
+    )
     return decode_entities(
         F.coalesce(
-            meta_content(markup, "property", "og:image"),
-            meta_content(markup, "name", "twitter:image"),
-            _first_image(markup, "figure"),
-            _first_image(markup, "article"),
+            meta_content(metas, "property", "og:image"),
+            meta_content(metas, "name", "twitter:image"),
+            shown,
         )
     )
 
 
-def page_date(markup: Column) -> Column:
-    time_tag = F.regexp_extract(markup, r"(?is)<time\s[^>]*>", 0)
+def page_date(markup: Column, metas: Column) -> Column:
+    time_tag = F.regexp_extract(markup, r"(?i)<time\s[^>]*>", 0)
     return F.coalesce(
-        meta_content(markup, "property", "article:published_time"),
-        meta_content(markup, "name", "date"),
+        meta_content(metas, "property", "article:published_time"),
+        meta_content(metas, "name", "date"),
         falsy_to_null(attribute(time_tag, "datetime")),
     )
 
 
-def page_author(markup: Column) -> Column:
+def page_author(metas: Column) -> Column:
     return F.coalesce(
-        meta_content(markup, "name", "author"), meta_content(markup, "property", "article:author")
+        meta_content(metas, "name", "author"), meta_content(metas, "property", "article:author")
     )
+
+
+def has_author_and_date(markup: Column, metas: Column) -> Column:
+    return page_author(metas).isNotNull() & page_date(markup, metas).isNotNull()

@@ -11,28 +11,28 @@ WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Named character references that occur in news pages; ``&amp;`` comes last.
+# Named character references that occur in news pages.
 NAMED_ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&middot;", "·"),
-    ("&laquo;", "«"),
-    ("&raquo;", "»"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&hellip;", "…"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&bull;", "•"),
-    ("&euro;", "€"),
-    ("&amp;", "&"),
+    ("lt", "<"),
+    ("gt", ">"),
+    ("quot", '"'),
+    ("apos", "'"),
+    ("nbsp", "\u00a0"),
+    ("copy", "©"),
+    ("reg", "®"),
+    ("middot", "·"),
+    ("laquo", "«"),
+    ("raquo", "»"),
+    ("ndash", "–"),
+    ("mdash", "—"),
+    ("hellip", "…"),
+    ("lsquo", "‘"),
+    ("rsquo", "’"),
+    ("ldquo", "“"),
+    ("rdquo", "”"),
+    ("bull", "•"),
+    ("euro", "€"),
+    ("amp", "&"),
 ]
 
 
@@ -65,46 +65,53 @@ def count_of(col: Column, part: str) -> Column:
     return (gone / len(part)).cast("int")
 
 
-def _numeric_references(col: Column) -> Column:
-    def decoded(piece: Column) -> Column:
-        dec = F.regexp_extract(piece, r"^([0-9]{1,7});", 1)
-        hexa = F.regexp_extract(piece, r"^[xX]([0-9A-Fa-f]{1,6});", 1)
-        code = F.when(hexa != "", F.conv(hexa, 16, 10)).when(dec != "", dec).cast("int")
-        usable = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        rest = F.regexp_replace(piece, "^[^;]*;", "")
-        return F.when(usable, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), piece))
-
-    pieces = F.split(col, "&#")
-    tail = F.transform(F.slice(pieces, 2, F.size(pieces)), decoded)
-    return F.concat(pieces[0], F.array_join(tail, ""))
-
-
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """Bind a costly value once for an expression that names it several times."""
     return F.transform(F.array(value), use)[0]
 
 
-def _named_references() -> Column:
-    """The references as one literal array."""
-    pairs = [
-        "struct('{}' AS name, '{}' AS char)".format(name, char.replace("'", r"\'"))
-        for name, char in NAMED_ENTITIES
+def _named(name: Column) -> Column:
+    quoted = [
+        "'{}', '{}'".format(entity, char.replace("'", r"\'")) for entity, char in NAMED_ENTITIES
     ]
-    return F.expr(f"array({', '.join(pairs)})")
+    return F.try_element_at(F.expr(f"map({', '.join(quoted)})"), name)
+
+
+def _numbered(ref: Column) -> Column:
+    """Character of ``#123`` or ``#x7b``; null for a number that names none."""
+    code = (
+        F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10))
+        .otherwise(F.substring(ref, 2, 7))
+        .cast("int")
+    )
+    usable = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def _decode_piece(piece: Column) -> Column:
+    """Text after an ampersand, with the reference it starts with."""
+    ref = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{2,8});", 1)
+    char = F.when(F.startswith(ref, F.lit("#")), _numbered(ref)).otherwise(_named(ref))
+    rest = F.substring(piece, F.length(ref) + 2, F.length(piece))
+    return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
 
 
 def decode_entities(col: Column) -> Column:
-    """Replace character references by their characters, each reference once."""
+    """Replace character references by their characters, each reference once.
+
+    The text is cut at its ampersands, so it is read once whatever the number of known names.
+    """
 
-    def decoded(text: Column) -> Column:
-        numeric = F.when(F.contains(text, F.lit("&#")), _numeric_references(text)).otherwise(text)
-        named = F.aggregate(
-            _named_references(), numeric, lambda done, ref: F.replace(done, ref["name"], ref["char"])
-        )
-        return F.when(F.contains(text, F.lit("&")), named).otherwise(text)
+    def decoded(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_piece)
+        return F.concat(pieces[0], F.array_join(tail, ""))
 
-    return let(col, decoded)
+    return let(
+        col,
+        lambda text: F.when(
+            F.contains(text, F.lit("&")), let(F.split(text, "&"), decoded)
+        ).otherwise(text),
+    )
 
 
 def falsy_to_null(col: Column) -> Column:

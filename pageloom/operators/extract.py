@@ -12,15 +12,21 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     return pages.withColumn("article_body", H.main_text(F.col("html")))
 
 
+def with_markup(pages: DataFrame) -> DataFrame:
+    """Add the visible markup and, for cheap look-ups, its ``<meta>`` tags."""
+    marked = pages.withColumn("markup", H.visible_markup(F.col("html")))
+    return marked.withColumn("metas", H.meta_tags(F.col("markup")))
+
+
 def extract_metadata(pages: DataFrame) -> DataFrame:
     """Title, image list and the flag for pages that state both date and author."""
-    marked = pages.withColumn("markup", H.visible_markup(F.col("html")))
+    marked = with_markup(pages)
+    markup, metas = F.col("markup"), F.col("metas")
     described = marked.withColumns(
         {
-            "title": H.page_title(F.col("markup")),
-            "image": H.main_image(F.col("markup")),
-            "has_trafilatura_meta": H.page_date(F.col("markup")).isNotNull()
-            & H.page_author(F.col("markup")).isNotNull(),
+            "title": H.page_title(markup, metas),
+            "image": H.main_image(markup, metas),
+            "has_trafilatura_meta": H.has_author_and_date(markup, metas),
         }
     )
     no_image = F.array().cast("array<string>")
@@ -29,7 +35,7 @@ def extract_metadata(pages: DataFrame) -> DataFrame:
         F.when(
             F.col("image").isNotNull(), F.array(U.url_join(F.col("url"), F.col("image")))
         ).otherwise(no_image),
-    ).drop("markup", "image")
+    ).drop("markup", "metas", "image")
 
 
 def fill_empty_bodies(pages: DataFrame) -> DataFrame:
