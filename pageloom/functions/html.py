@@ -68,7 +68,7 @@ def attribute(tag: Column, name: str) -> Column:
 
 def _region(html: Column, tag: str) -> Column:
     """Content of the first element of a kind; null without a closing tag or without content."""
-    after = F.split(html, rf"(?i)<{tag}\b[^>]*>", 2)[1]
+    after = F.get(F.split(html, rf"(?i)<{tag}\b[^>]*>", 2), F.lit(1))
     closed = F.split(after, rf"(?i)</{tag}\s*>", 2)
     return let(closed, lambda parts: F.when(F.size(parts) == 2, falsy_to_null(parts[0])))
 
