@@ -49,7 +49,7 @@ def run(
         predicted.withColumn("domain", F.col("site_domain")), predictions_path, "parquet"
     )
     stored = spark.read.parquet(predictions_path)
-    changes = store_articles(store, stored, active, run_ts, run_id)
+    changes = store_articles(store, stored, active, run_ts, run_id, stage=False)
 
     domains = active.select("site_id", "domain")
     statuses = reports.status_counts(changes.join(domains, "site_id"))

@@ -32,6 +32,10 @@ def store_articles(
     sites: DataFrame,
     run_ts: datetime.datetime,
     batch_id: str | None = None,
+    stage: bool = True,
 ) -> DataFrame:
-    """Upsert the predicted articles; ``predictions`` carries ``ingest_seq``."""
-    return store.apply(article_batch(predictions, sites), sites, run_ts, batch_id)
+    """Upsert the predicted articles; ``predictions`` carries ``ingest_seq``.
+
+    Predictions that are read from files need no staging.
+    """
+    return store.apply(article_batch(predictions, sites), sites, run_ts, batch_id, stage)

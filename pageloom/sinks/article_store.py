@@ -2,14 +2,15 @@
 
 import dataclasses
 import datetime
+import json
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pageloom.operators.changes import change_log, upsert
 from pageloom.operators.integrity import accepted, check_articles, rejected, url_key
-from pageloom.schemas import ARTICLES, conform
+from pageloom.schemas import ARTICLES, CHANGES, conform
 
 _COMMITS = "version bigint, batch_id string, last_id bigint, buckets array<struct<bucket int, version bigint>>"
 
@@ -33,24 +34,18 @@ class ArticleStore:
         self.spark = spark
         self.path = path.rstrip("/")
         self.buckets = buckets
+        # A new store starts with an empty commit; an existing log is left alone.
+        self._commit(Commit(0, None, 0, {}), mode="ignore")
 
     def _bucket(self) -> Column:
         # URLs with equal keys share a bucket, so key clashes show up inside one.
         return F.pmod(F.xxhash64(url_key()), F.lit(self.buckets)).cast("int")
 
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_COMMITS).json(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+    def _commits(self) -> DataFrame:
+        return self.spark.read.schema(_COMMITS).json(f"{self.path}/commits")
 
     def current(self) -> Commit:
-        log = self._log()
-        last = log.orderBy(F.desc("version")).first() if log is not None else None
-        if last is None:
-            return Commit(0, None, 0, {})
+        last = self._commits().orderBy(F.desc("version")).first()
         return Commit(
             last["version"],
             last["batch_id"],
@@ -59,8 +54,7 @@ class ArticleStore:
         )
 
     def has_batch(self, batch_id: str) -> bool:
-        log = self._log()
-        return log is not None and not log.where(F.col("batch_id") == batch_id).isEmpty()
+        return not self._commits().where(F.col("batch_id") == batch_id).isEmpty()
 
     def _read(self, commit: Commit, buckets: list[int] | None = None) -> DataFrame:
         wanted = commit.buckets if buckets is None else buckets
@@ -76,16 +70,30 @@ class ArticleStore:
     def read(self) -> DataFrame:
         return self._read(self.current())
 
-    def _commit(self, commit: Commit) -> None:
-        row = (
-            commit.version,
-            commit.batch_id,
-            commit.last_id,
-            [(b, v) for b, v in sorted(commit.buckets.items())],
-        )
-        self.spark.createDataFrame([row], _COMMITS).coalesce(1).write.mode("append").json(
-            f"{self.path}/commits"
+    def _commit(self, commit: Commit, mode: str = "append") -> None:
+        row = dataclasses.asdict(commit)
+        row["buckets"] = [
+            {"bucket": b, "version": v} for b, v in sorted(commit.buckets.items())
+        ]
+        line = self.spark.range(1).select(F.lit(json.dumps(row)).alias("value"))
+        line.coalesce(1).write.mode(mode).text(f"{self.path}/commits")
+
+    def _write_version(self, articles: DataFrame, version: int) -> tuple[list[int], int]:
+        """Write articles below a new version; returns their buckets and highest id."""
+        seen = Observation()
+        placed = articles.withColumn("url_bucket", self._bucket()).observe(
+            seen,
+            F.collect_set("url_bucket").alias("buckets"),
+            F.coalesce(F.max("article_id"), F.lit(0)).alias("last_id"),
         )
+        placed.hint("rebalance", "url_bucket").write.mode("overwrite").partitionBy(
+            "url_bucket"
+        ).parquet(f"{self.path}/data/v={version}")
+        return seen.get["buckets"], seen.get["last_id"]
+
+    def _staged(self, batch: DataFrame, path: str) -> DataFrame:
+        batch.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(batch.schema).parquet(path)
 
     def apply(
         self,
@@ -93,66 +101,59 @@ class ArticleStore:
         sites: DataFrame,
         run_ts: datetime.datetime,
         batch_id: str | None = None,
+        stage: bool = True,
     ) -> DataFrame:
-        """Store a batch of article rows; returns its change log with rejected rows apart.
+        """Store a batch of article rows; returns the change log of the accepted ones.
 
-        A ``batch_id`` that was stored before is not applied again. Batch and change log are
-        written first: later steps read those files, so a lost executor costs no recomputation
-        of the extraction, and the log remains as the run's record.
+        A ``batch_id`` that was stored before is not applied again. The batch is staged as files,
+        unless it is read from files anyway (``stage=False``), and the log is written before the
+        merge: a lost executor costs no new extraction, and the log stays as the batch's record.
         """
         now = self.current()
-        staged = f"{self.path}/batches/id={batch_id or now.version + 1}"
+        folder = f"{self.path}/batches/id={batch_id or now.version + 1}"
         if batch_id is not None and self.has_batch(batch_id):
-            return self.spark.read.parquet(f"{staged}/changes")
+            return self._changes(folder)
 
-        batch.withColumn("url_bucket", self._bucket()).write.mode("overwrite").parquet(
-            f"{staged}/rows"
-        )
-        rows = self.spark.read.parquet(f"{staged}/rows")
+        rows = batch.withColumn("url_bucket", self._bucket())
+        if stage:
+            rows = self._staged(rows, f"{folder}/rows")
         touched = [r["url_bucket"] for r in rows.select("url_bucket").distinct().collect()]
         state = self._read(now, touched)
 
         checked = check_articles(rows, state, sites)
-        fine = accepted(checked)
-        change_log(fine, state).write.mode("overwrite").parquet(f"{staged}/changes")
-        rejected(checked).select("url", "site_id", "ingest_seq", "reject_reason").write.mode(
-            "overwrite"
-        ).parquet(f"{staged}/rejected")
-        changes = self.spark.read.parquet(f"{staged}/changes")
-
-        version = now.version + 1
-        merged = upsert(state, rows, changes, run_ts, F.lit(now.last_id))
-        merged.withColumn("url_bucket", self._bucket()).hint("rebalance", "url_bucket").write.mode(
-            "overwrite"
-        ).partitionBy("url_bucket").parquet(f"{self.path}/data/v={version}")
-        new_ids = changes.where("status = 'NEW'").count()
-        written = (
-            self.spark.read.parquet(f"{self.path}/data/v={version}")
-            .select("url_bucket")
-            .distinct()
-            .collect()
-            if touched
-            else []
+        log = change_log(accepted(checked), state).unionByName(
+            rejected(checked).select("url", "site_id", "ingest_seq", "reject_reason"),
+            allowMissingColumns=True,
         )
+        log.write.mode("overwrite").parquet(f"{folder}/log")
+        changes = self._changes(folder)
+        merged = upsert(state, rows, changes, run_ts, F.lit(now.last_id))
+        buckets, last_id = self._write_version(merged, now.version + 1)
         self._commit(
             Commit(
-                version,
+                now.version + 1,
                 batch_id,
-                now.last_id + new_ids,
-                {**now.buckets, **{r["url_bucket"]: version for r in written}},
+                max(now.last_id, last_id),
+                {**now.buckets, **{b: now.version + 1 for b in buckets}},
             )
         )
         return changes
 
+    def _log_of(self, folder: str) -> DataFrame:
+        schema = StructType([*CHANGES.fields, StructField("reject_reason", StringType())])
+        return self.spark.read.schema(schema).parquet(f"{folder}/log")
+
+    def _changes(self, folder: str) -> DataFrame:
+        return self._log_of(folder).where("reject_reason is null").drop("reject_reason")
+
+    def rejects(self, batch_id: str) -> DataFrame:
+        """Rows of a stored batch that broke a constraint, with the reason."""
+        log = self._log_of(f"{self.path}/batches/id={batch_id}")
+        return log.where("reject_reason is not null").drop("content_hash", "status")
+
     def load(self, articles: DataFrame) -> None:
         """Fill an empty store from a table of articles."""
-        now = self.current()
-        if now.version:
+        if self.current().version:
             raise ValueError(f"{self.path} holds articles already")
-        conform(articles, ARTICLES).withColumn("url_bucket", self._bucket()).hint(
-            "rebalance", "url_bucket"
-        ).write.mode("overwrite").partitionBy("url_bucket").parquet(f"{self.path}/data/v=1")
-        loaded = self.spark.read.parquet(f"{self.path}/data/v=1")
-        last_id = loaded.agg(F.coalesce(F.max("article_id"), F.lit(0))).first()[0]
-        buckets = loaded.select("url_bucket").distinct().collect()
-        self._commit(Commit(1, None, last_id, {r["url_bucket"]: 1 for r in buckets}))
+        buckets, last_id = self._write_version(conform(articles, ARTICLES), 1)
+        self._commit(Commit(1, None, last_id, dict.fromkeys(buckets, 1)))

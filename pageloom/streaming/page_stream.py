@@ -38,7 +38,7 @@ def start_page_stream(
         folder = f"{raw_path}/batch={batch_id}"
         batch.write.mode("overwrite").parquet(folder)
         stored = batch.sparkSession.read.parquet(folder)
-        store_articles(store, stored, active, run_ts, f"stream-{batch_id}")
+        store_articles(store, stored, active, run_ts, f"stream-{batch_id}", stage=False)
 
     return (
         predicted.writeStream.foreachBatch(handle)

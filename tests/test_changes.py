@@ -175,6 +175,9 @@ def test_store(spark, folder):
     assert (rows["u3"]["body"], rows["u3"]["title"], rows["u3"]["article_id"]) == ("B", "t1", 4)
     assert (rows["u3"]["scraped_at"], rows["u3"]["last_cited_date"]) == (NOW, LATER)
     assert rows["v"]["article_id"] == 21 and rows["u5"]["last_cited_date"] == NOW
+    stray = batch_of(spark, [(5, "w", "A")]).withColumn("site_id", F.lit(99).cast("bigint"))
+    assert store.apply(stray, sites, LATER, "b4").count() == 0
+    assert values(store.rejects("b4"), "url", "reject_reason") == [("w", "unknown_site")]
     # An empty batch is a run without operations.
     assert store.apply(batch_of(spark, []), sites, LATER, "b3").count() == 0
     assert store.read().count() == 21
