@@ -4,6 +4,7 @@ import datetime
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from checks.base import table
@@ -12,7 +13,7 @@ from pageloom.operators import reports
 from pageloom.operators.changes import change_log
 from pageloom.operators.frontier import attach_site
 from pageloom.plans.page_flow import fetched_items
-from pageloom.plans.scoring import rule_labeller, store_articles
+from pageloom.plans.scoring import model_labeller, rule_labeller, store_articles
 from pageloom.session import pin_small
 from pageloom.sinks.article_store import ArticleStore
 from pageloom.sources.pages import stream_pages
@@ -75,6 +76,30 @@ def test_stream_equals_batch(spark, folder):
     assert streamed.current().version == version
 
 
+def test_model_labels_a_stream(spark, folder):
+    """The trained model serves as labeller on streamed pages; a class of all pages stores them."""
+    from checks.base import fixture
+    from pageloom.operators import classify as C
+    from pageloom.operators.features import add_path_features
+
+    pages = table(spark, SF_DIR, "pages")
+    items = fetched_items(pages)
+    labelled = add_path_features(items).withColumn(
+        "label", F.when(F.col("text_length") > 0, "Article").otherwise("other")
+    )
+    model = C.fit_forest(labelled, C.ForestSettings(num_trees=3, max_depth=3))
+    sites = pin_small(fixture(spark, SF_DIR, "fx_sites").withColumn("active", F.lit(True)))
+    store = ArticleStore(spark, f"{folder}/store", buckets=2)
+    start_page_stream(
+        stream_pages(spark, SF_DIR, "pages.parquet"), sites, None, model_labeller(model), store,
+        f"{folder}/raw", f"{folder}/checkpoint", NOW,
+    ).awaitTermination()
+    raw = spark.read.parquet(f"{folder}/raw")
+    assert raw.count() == pages.count()
+    assert {r[0] for r in raw.select("predicted_label").distinct().collect()} <= {"Article", "other"}
+    assert store.read().count() > 0
+
+
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"]
 
 
