@@ -4,9 +4,9 @@ import dataclasses
 import datetime
 import json
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from pageloom.operators.changes import change_log, upsert
 from pageloom.operators.integrity import accepted, check_articles, rejected, url_key
@@ -80,16 +80,16 @@ class ArticleStore:
 
     def _write_version(self, articles: DataFrame, version: int) -> tuple[list[int], int]:
         """Write articles below a new version; returns their buckets and highest id."""
-        seen = Observation()
-        placed = articles.withColumn("url_bucket", self._bucket()).observe(
-            seen,
-            F.collect_set("url_bucket").alias("buckets"),
-            F.coalesce(F.max("article_id"), F.lit(0)).alias("last_id"),
-        )
-        placed.hint("rebalance", "url_bucket").write.mode("overwrite").partitionBy(
-            "url_bucket"
-        ).parquet(f"{self.path}/data/v={version}")
-        return seen.get["buckets"], seen.get["last_id"]
+        path = f"{self.path}/data/v={version}"
+        articles.withColumn("url_bucket", self._bucket()).hint(
+            "rebalance", "url_bucket"
+        ).write.mode("overwrite").partitionBy("url_bucket").parquet(path)
+        # Read back from the files' key columns; an Observation would tie the session to models.
+        schema = StructType([*ARTICLES.fields, StructField("url_bucket", IntegerType())])
+        written = self.spark.read.schema(schema).parquet(path)
+        return written.agg(
+            F.collect_set("url_bucket"), F.coalesce(F.max("article_id"), F.lit(0))
+        ).first()
 
     def _staged(self, batch: DataFrame, path: str) -> DataFrame:
         batch.write.mode("overwrite").parquet(path)

@@ -29,19 +29,17 @@ def start_page_stream(
     its batch in the store's log, so nothing is stored twice.
     """
     active = pin_small(sites.where(F.col("active")))
-    owned = attach_site(pages, active, "url").drop("site_host")
-    predicted = labeller(
-        fetched_items(owned, rules).withColumn("ingest_seq", F.col("page_id"))
-    )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        owned = attach_site(batch, active, "url").drop("site_host")
+        items = fetched_items(owned, rules).withColumn("ingest_seq", F.col("page_id"))
         folder = f"{raw_path}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(folder)
+        labeller(items).write.mode("overwrite").parquet(folder)
         stored = batch.sparkSession.read.parquet(folder)
         store_articles(store, stored, active, run_ts, f"stream-{batch_id}", stage=False)
 
     return (
-        predicted.writeStream.foreachBatch(handle)
+        pages.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
