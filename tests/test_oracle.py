@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.catalog import ORACLE_SQL as ORACLE
+from checks.catalog import QUERIES
 
 SF_DIR = pathlib.Path("/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
