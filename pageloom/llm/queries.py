@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, token_count
+from pageloom.llm import bpe, exact_dedup, simhash, token_count
+from pageloom.llm.shared import let_workers_import
 
 #: Folder of the published tokenizer files; a parameter of the queries below.
 TOKENIZERS = public_tokenizers.path("")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,6 +31,15 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str, limit: int = 1024) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
@@ -37,8 +48,15 @@ def op9_token_counts(spark: SparkSession, sf_dir: str, limit: int = 1024) -> Dat
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_bpe_round_trip": op2_bpe_round_trip,
-    "op9_token_counts": op9_token_counts,
+    f.__name__: f for f in (op2_bpe_round_trip, op4_simhash_near_dedup, op6_exact_dedup, op9_token_counts)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_dedup": r"""
+        WITH hashed AS (
+            SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+            doc_id IS NOT DISTINCT FROM min(doc_id) OVER same AS kept, text_sha256
+        FROM hashed WINDOW same AS (PARTITION BY text_sha256)""",
+}

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,17 @@ from pyspark.sql import functions as F
 
 #: Rows and text bytes that one step of a Python task holds at a time.
 STEP_ROWS = 1000
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Puts this package on the search path of Python workers that run on the same machine as the driver.
+
+    On a cluster the package is shipped with ``--py-files``; the path then does no harm.
+    """
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH", "")]))
 
 
 def shared_root(spark: SparkSession) -> str:
