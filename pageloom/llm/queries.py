@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, exact_dedup, simhash, token_count
+from pageloom.llm import bpe, decontam, exact_dedup, simhash, token_count
 from pageloom.llm.shared import let_workers_import
 
 #: Folder of the published tokenizer files; a parameter of the queries below.
@@ -40,6 +40,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str, limit: int = 1024) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
@@ -48,7 +52,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str, limit: int = 1024) -> Dat
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_round_trip, op4_simhash_near_dedup, op6_exact_dedup, op9_token_counts)
+    f.__name__: f for f in (op2_bpe_round_trip, op4_simhash_near_dedup, op6_exact_dedup, op7_decontamination, op9_token_counts)
 }
 
 ORACLE_SQL: dict[str, str] = {
