@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, decontam, exact_dedup, simhash, token_count
+from pageloom.llm import bpe, decontam, exact_dedup, simhash, token_count, toxicity
 from pageloom.llm.shared import let_workers_import
 
 #: Folder of the published tokenizer files; a parameter of the queries below.
@@ -36,6 +36,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit_on(docs, _table(spark, sf_dir, "labels")))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -52,7 +57,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str, limit: int = 1024) -> Dat
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_round_trip, op4_simhash_near_dedup, op6_exact_dedup, op7_decontamination, op9_token_counts)
+    f.__name__: f for f in (op2_bpe_round_trip, op4_simhash_near_dedup, op5_toxicity, op6_exact_dedup, op7_decontamination, op9_token_counts)
 }
 
 ORACLE_SQL: dict[str, str] = {
