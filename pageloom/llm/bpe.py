@@ -22,7 +22,7 @@ from pageloom.llm.bpe_model import PrefixEncoder, model_of
 from pageloom.llm.shared import Memo, steps, text_of
 
 #: Distinct stretches of text whose ids a Python process remembers (up to twice as many).
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 
 _ENCODERS: dict[bytes, TextEncoder] = {}
 

@@ -79,7 +79,7 @@ class BpeModel:
         self._left: dict[int, list[tuple[int, int]]] = {}
         self._right: dict[int, list[tuple[int, int]]] = {}
         self._alone: dict[int, bool] = {}
-        self.fits = Memo(self._fits, 200_000)
+        self.fits = Memo(self._fits, 150_000)
 
     def _check_settings(self, spec: dict) -> None:
         before = spec["pre_tokenizer"]
@@ -173,7 +173,10 @@ class BpeModel:
         """Text of ids. Word vocabularies have no decoder: their tokens are joined by spaces."""
         known = self.tokens
         if self.word_style:
-            return " ".join([known[i] for i in ids if i in known])
+            try:
+                return " ".join(map(known.__getitem__, ids))
+            except KeyError:
+                return " ".join([known[i] for i in ids if i in known])
         special = {i for i in self.special.values()}
         out, run = [], []
         for i in ids:
@@ -208,7 +211,7 @@ class PrefixEncoder:
             self.length[token] = len(text)
             self.automaton.add_word(text, (token, len(text)))
         self.automaton.make_automaton()
-        self.words = Memo(self.encode_word, 100_000)
+        self.words = Memo(self.encode_word, 80_000)
 
     def encode_word(self, piece: str) -> list[int]:
         """Token ids of one pre-token."""

@@ -24,7 +24,7 @@ from pageloom.llm.bpe_model import BpeModel, model_of
 from pageloom.llm.shared import Memo, steps, text_of
 
 #: Distinct stretches of text whose counts a Python process remembers (up to twice as many).
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Pre-tokens with more letters than this are merged with a heap.
 LONG = 200
 
