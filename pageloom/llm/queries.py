@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, chat, decontam, exact_dedup, secret_scan, simhash, token_count, toxicity
+from pageloom.llm import bpe, chat, decontam, exact_dedup, language_id, secret_scan, simhash, token_count, token_shards, toxicity
 from pageloom.llm.shared import let_workers_import
 
 #: Folder of the published tokenizer files; a parameter of the queries below.
@@ -20,6 +20,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with all their evidence, and documents by text and source; texts not held out teach the trigrams."""
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", toxicity.held_out())
+    counts = language_id.trigram_counts(docs.where("NOT held_out"), "text", "lang", language_id.LANGUAGES)
+    pages = language_id.evidence_of_pages(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
+    own = docs.select("doc_id", "held_out", F.col("source").alias("host"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = own.unionByName(pages, allowMissingColumns=True)
+    found = language_id.fuse(language_id.with_text_evidence(rows, language_id.log_likelihoods(counts)))
+    return found.select("doc_id", "page_id", "held_out", "host", "declared", "suffix", "lang", F.round("confidence", 6).alias("confidence"), "text_lang")
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, TOKENIZERS + "word_bpe_49k.json", decoded=True)
@@ -67,6 +78,16 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_token_shards(spark: SparkSession, sf_dir: str, key: int = 20240201) -> DataFrame:
+    """The manifest of the shards, with digests of the records read back from the files."""
+    docs = _table(spark, sf_dir, "documents")
+    root, manifest = token_shards.write_shards(docs, TOKENIZERS + "byte_bpe_50k.tiktoken", public_tokenizers.PATTERN, key)
+    read = token_shards.read_slots(spark, root).select("slot", F.sha2("tokens", 256).alias("read_sha256"))
+    return manifest.join(read, "slot").select(
+        "slot", "shard", "byte_offset", "n_tokens", "doc_ids", "read_sha256", (F.col("sha256") == F.col("read_sha256")).alias("verified")
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str, limit: int = 1024) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
@@ -89,7 +110,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_round_trip, op3_chat_format, op4_simhash_near_dedup, op5_toxicity, op6_exact_dedup, op7_decontamination, op9_token_counts, op10_secret_scan)
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op2_bpe_round_trip,
+        op3_chat_format,
+        op4_simhash_near_dedup,
+        op5_toxicity,
+        op6_exact_dedup,
+        op7_decontamination,
+        op8_token_shards,
+        op9_token_counts,
+        op10_secret_scan,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
