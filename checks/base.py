@@ -5,7 +5,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageloom.session import pin_small, spread
 from checks.fixtures import FIXTURES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,17 +55,12 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = FIXTURES[name]
     inputs = set(re.findall(r"\{(\w+)\}", sql))
     frames = {
-        n: fixture(spark, sf_dir, n) if n in FIXTURES else _input(spark, sf_dir, n)
+        n: fixture(spark, sf_dir, n) if n in FIXTURES else table(spark, sf_dir, n)
         for n in inputs
     }
     return spark.sql(sql, **frames)
 
 
-def _input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = table(spark, sf_dir, name)
-    return spread(df) if name in ("pages", "documents") else df
-
-
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registry of the pages' hosts; held locally while it is small."""
-    return pin_small(fixture(spark, sf_dir, "fx_sites"))
+    """The registry of the pages' hosts."""
+    return fixture(spark, sf_dir, "fx_sites")

@@ -1,7 +1,10 @@
 """Queries of sources and sinks: written by Spark below the shared folder, then read back."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from checks import sqlgen as S
 from checks.base import fixture, query, sites, table
@@ -14,11 +17,13 @@ from checks.fixtures import (
 )
 from checks.q_pages import ITEMS, RULE_LABEL, items
 from pageloom.operators import registry
+from pageloom.operators.changes import stored_articles
 from pageloom.schemas import LABELLED_ITEMS, PAGE_ITEMS, SITES, conform
 from pageloom.session import scratch_path
 from pageloom.sinks import items as item_sinks
+from pageloom.sinks.registry import write_sites
 from pageloom.sources import items as item_sources
-from pageloom.sources.keywords import keyword_table
+from pageloom.sources.keywords import read_keywords_yaml
 from pageloom.sources.registry import read_sites
 from pageloom.sources.rules import read_rules
 
@@ -99,7 +104,15 @@ _WORDS = " UNION ALL ".join(
 )
 def s4(spark, sf):
     """The loaded keywords, each with the number of page URLs that hold it."""
-    keywords = keyword_table(spark, CATEGORY_WORDS, GENERAL_WORDS, IRRELEVANT_WORDS)
+    config = {
+        "categories": {name: {"keywords": ws} for name, ws in CATEGORY_WORDS.items()},
+        "general_category_keywords": GENERAL_WORDS,
+        "irrelevant_keywords": IRRELEVANT_WORDS,
+    }
+    path = scratch_path(spark, "keywords")
+    # JSON is YAML as well.
+    spark.createDataFrame([(json.dumps(config),)], "value string").coalesce(1).write.text(path)
+    keywords = read_keywords_yaml(spark, path)
     distinct = sorted({r["keyword"] for r in keywords.select("keyword").collect()})
     url = F.lower("url")
     hits = (
@@ -154,7 +167,7 @@ def s5(spark, sf):
     )
 
 
-_ARRAY_ROWS = 500
+_ARRAY_ROWS = 50
 
 
 def write_json_arrays(df: DataFrame, path: str, seq: str, spoil_every: int = 0) -> None:
@@ -184,7 +197,7 @@ def s6(spark, sf):
     path = scratch_path(spark, "items")
     kept = [f.name for f in PAGE_ITEMS.fields]
     write_json_arrays(items(spark, sf).select("page_id", *kept), path, "page_id")
-    return item_sources.read_items(spark, path, glob="*.txt").select(
+    return item_sources.read_items(spark, path, multi_line=True, glob="*.txt").select(
         "url",
         F.coalesce("title", F.lit("")).alias("title"),
         F.col("text_length").cast("bigint"),
@@ -228,12 +241,15 @@ def s7_rejected(spark, sf):
     return bad.agg(F.count(F.lit(1)).alias("files"))
 
 
-@query("s9_state_lookup", "SELECT article_id, url, content_hash FROM fx_state WHERE url IN (SELECT url FROM fx_batch)")
+@query(
+    "s9_state_lookup",
+    """SELECT article_id, url, content_hash FROM fx_state
+       WHERE url IN (SELECT url FROM fx_batch WHERE ingest_seq % 2 = 0)""",
+)
 def s9(spark, sf):
+    """Articles known for half of the batch's rows."""
     state, batch = fixture(spark, sf, "fx_state"), fixture(spark, sf, "fx_batch")
-    return state.select("article_id", "url", "content_hash").join(
-        batch.select("url"), "url", "left_semi"
-    )
+    return stored_articles(state, batch.where("ingest_seq % 2 = 0"))
 
 
 # Pages without an owning site have no route; the folder name has no dots.
@@ -251,20 +267,20 @@ def routed_items(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "k1_write_items",
-    f"""SELECT replace(route, '.', '_') AS site_folder, url, title,
+    f"""SELECT route AS site_domain, url, title,
                length(article_body)::BIGINT AS text_length
         FROM (SELECT *, {_ROUTE} AS route FROM ({ITEMS}) AS i) AS r WHERE route IS NOT NULL""",
 )
 def k1(spark, sf):
     path = scratch_path(spark, "raw")
     item_sinks.write_items(routed_items(spark, sf), path)
-    back = spark.read.schema(PAGE_ITEMS).json(path)
-    return back.select("site_folder", "url", "title", F.col("text_length").cast("bigint"))
+    back = item_sources.read_items(spark, path)
+    return back.select("site_domain", "url", "title", F.col("text_length").cast("bigint"))
 
 
 @query(
     "k2_write_predictions",
-    f"""SELECT replace(route, '.', '_') AS site_folder, url, title, md5(article_body) AS body_md5,
+    f"""SELECT route AS site_domain, url, title, md5(article_body) AS body_md5,
                CASE WHEN {RULE_LABEL} THEN 'article' ELSE 'Άλλο' END AS predicted_label
         FROM (SELECT *, {_ROUTE} AS route FROM ({ITEMS}) AS i) AS r WHERE route IS NOT NULL""",
 )
@@ -274,9 +290,10 @@ def k2(spark, sf):
     item_sinks.write_predictions(
         routed_items(spark, sf).withColumn("predicted_label", label), path
     )
-    back = spark.read.schema("url string, title string, article_body string, predicted_label string")
-    return back.json(path).select(
-        "site_folder", "url", "title", F.md5("article_body").alias("body_md5"), "predicted_label"
+    schema = StructType([*PAGE_ITEMS.fields, StructField("predicted_label", StringType())])
+    back, _ = item_sources.read_labelled(spark, path, schema, multi_line=False)
+    return back.select(
+        "site_domain", "url", "title", F.md5("article_body").alias("body_md5"), "predicted_label"
     )
 
 
@@ -317,7 +334,8 @@ def k3(spark, sf):
 def k4(spark, sf):
     known = sites(spark, sf)
     run_ts = spark.sql(f"SELECT TIMESTAMP '{RUN_TS}' AS t").first()["t"]
-    visited = registry.active_sites(known)
-    return registry.touch_visited(known, visited, run_ts).select(
+    path = scratch_path(spark, "visited")
+    write_sites(registry.touch_visited(known, registry.active_sites(known), run_ts), path)
+    return read_sites(spark, path).select(
         "domain", F.coalesce(F.date_format("last_visited", _TIME), F.lit("")).alias("last_visited")
     )

@@ -8,7 +8,7 @@ from checks.base import fixture, query
 from checks.fixtures import RUN_TS
 from pageloom.operators import changes as D
 from pageloom.operators import integrity
-from pageloom.session import pin_small, scratch_path
+from pageloom.session import scratch_path
 from pageloom.sinks.article_store import ArticleStore
 
 _TIME = "yyyy-MM-dd HH:mm:ss"
@@ -19,7 +19,7 @@ def run_ts(spark: SparkSession):
 
 
 def src_sites(spark: SparkSession, sf: str) -> DataFrame:
-    return pin_small(fixture(spark, sf, "fx_src_sites"))
+    return fixture(spark, sf, "fx_src_sites")
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:

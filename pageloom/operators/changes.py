@@ -34,6 +34,12 @@ def first_image(images: Column) -> Column:
     return F.try_element_at(images, F.lit(1))
 
 
+def stored_articles(state: DataFrame, batch: DataFrame) -> DataFrame:
+    """Id and hash of the stored articles that a batch names by URL."""
+    keys = state.select("article_id", "url", "content_hash")
+    return keys.join(batch.select("url"), "url", "left_semi")
+
+
 def content_hash(body: Column) -> Column:
     return F.md5(body.cast("binary"))
 
@@ -77,61 +83,92 @@ def change_log(batch: DataFrame, state: DataFrame, run_rows: int = RUN_ROWS) ->
 def url_outcomes(changes: DataFrame) -> DataFrame:
     """Per URL: is it new, when did it come first, and which row holds its final content."""
     seq = F.col("ingest_seq")
-    return changes.groupBy("url").agg(
-        F.min(seq).alias("first_seq"),
-        F.max(F.when(F.col("status") != "UNCHANGED", seq)).alias("changed_seq"),
-        F.max(F.when(F.col("status") == "NEW", F.col("site_id"))).alias("new_site_id"),
-        F.bool_or(F.col("status") == "NEW").alias("is_new"),
+    changed = F.when(F.col("status") != "UNCHANGED", F.struct(seq, "content_hash"))
+    return (
+        changes.groupBy("url")
+        .agg(
+            F.min(seq).alias("first_seq"),
+            F.max(changed).alias("_changed"),
+            F.max(F.when(F.col("status") == "NEW", F.col("site_id"))).alias("new_site_id"),
+            F.bool_or(F.col("status") == "NEW").alias("is_new"),
+        )
+        .withColumn("changed_seq", F.col("_changed.ingest_seq"))
+        .withColumn("changed_hash", F.col("_changed.content_hash"))
+        .drop("_changed")
     )
 
 
-def number_new(outcomes: DataFrame, last_id: Column, run_rows: int = RUN_ROWS) -> DataFrame:
-    """Give new URLs the ids after ``last_id`` in order of their first appearance."""
-    return number_rows(outcomes, "first_seq", last_id, "new_id", run_rows, F.col("is_new"))
-
-
-def upsert(
-    state: DataFrame,
-    batch: DataFrame,
-    changes: DataFrame,
-    run_ts: datetime.datetime,
+def number_new(
+    outcomes: DataFrame,
     last_id: Column,
     run_rows: int = RUN_ROWS,
+    ranged: DataFrame | None = None,
 ) -> DataFrame:
-    """The article state after the batch.
+    """Give new URLs the ids after ``last_id`` in order of their first appearance.
 
-    New URLs are inserted; changed ones take title, body, image and hash of their last changed
-    row; every URL seen gets a new ``last_cited_date``. ``site_id`` and ``scraped_at`` stay.
+    ``ranged`` is a table with ``ingest_seq`` that is cheaper to read than the outcomes.
     """
-    outcomes = number_new(url_outcomes(changes), last_id, run_rows)
-    content = batch.select(
-        "url", F.col("ingest_seq").alias("changed_seq"), "title", "body", "image_url", "content_hash"
-    )
-    # (url, sequence number) is unique on both sides, so no key of this join is hot; a URL
-    # without a changed row finds no content.
-    patch = outcomes.join(content, ["url", "changed_seq"], "left").withColumn("_seen", F.lit(True))
+    bounds = None if ranged is None else ranged.select(F.col("ingest_seq").alias("first_seq"))
+    return number_rows(outcomes, "first_seq", last_id, "new_id", run_rows, F.col("is_new"), bounds)
+
+
+def changed_contents(outcomes: DataFrame, batch: DataFrame) -> DataFrame:
+    """``url, title, body, image_url`` of the row that holds each new or changed URL's content.
+
+    (URL, sequence number) is unique but for rows that were delivered twice, so no key is hot;
+    of those rows one is taken.
+    """
+    wanted = outcomes.where("changed_seq is not null").select("url", F.col("changed_seq").alias("ingest_seq"), F.col("changed_hash").alias("content_hash"))
+    keys = ["url", "ingest_seq", "content_hash"]
+    rows = batch.select(*keys, F.struct("title", "body", "image_url").alias("content"))
+    found = rows.join(wanted, keys, "left_semi").groupBy(*keys).agg(F.min("content").alias("content"))
+    return found.select("url", "content.*")
+
+
+def upsert_keys(
+    keys: DataFrame, outcomes: DataFrame, run_ts: datetime.datetime, version: int
+) -> DataFrame:
+    """The keys of the state after a batch; texts take no part.
 
-    old, new = state.alias("old"), patch.alias("new")
+    New URLs are inserted; changed ones take hash and content version of the batch; every URL seen
+    gets a new ``last_cited_date``. ``site_id`` and ``scraped_at`` stay.
+    """
+    old, new = keys.alias("old"), outcomes.withColumn("_seen", F.lit(True)).alias("new")
     exists = F.col("old.article_id").isNotNull()
     changed = F.col("new.changed_seq").isNotNull()
     now = F.lit(run_ts).cast("timestamp")
-
-    def content_of(name: str) -> Column:
-        return F.when(changed, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
-
-    merged = old.join(new, F.col("old.url") == F.col("new.url"), "full_outer").select(
+    return old.join(new, F.col("old.url") == F.col("new.url"), "full_outer").select(
         F.coalesce("old.article_id", "new.new_id").alias("article_id"),
         F.when(exists, F.col("old.site_id")).otherwise(F.col("new.new_site_id")).alias("site_id"),
         F.coalesce("old.url", "new.url").alias("url"),
-        content_of("title"),
-        content_of("body"),
-        content_of("image_url"),
-        content_of("content_hash"),
+        F.when(changed, F.col("new.changed_hash")).otherwise(F.col("old.content_hash")).alias("content_hash"),
         F.when(exists, F.col("old.scraped_at")).otherwise(now).alias("scraped_at"),
         F.when(F.col("new._seen"), now).otherwise(F.col("old.last_cited_date")).alias(
             "last_cited_date"
         ),
+        F.when(changed, F.lit(version)).otherwise(F.col("old.content_version")).cast("bigint").alias("content_version"),
     )
+
+
+def upsert(
+    state: DataFrame,
+    batch: DataFrame,
+    changes: DataFrame,
+    run_ts: datetime.datetime,
+    last_id: Column,
+    run_rows: int = RUN_ROWS,
+) -> DataFrame:
+    """The article state after the batch, as one table.
+
+    Keys and texts are merged apart: only texts of new and changed URLs move with the batch, and
+    stored texts are joined once, to the keys that still point at them.
+    """
+    outcomes = number_new(url_outcomes(changes), last_id, run_rows, batch)
+    keys = upsert_keys(state.withColumn("content_version", F.lit(0)), outcomes, run_ts, 1)
+    texts = ["url", "title", "body", "image_url"]
+    old = state.select(*texts, F.lit(0).cast("bigint").alias("content_version"))
+    new = changed_contents(outcomes, batch).withColumn("content_version", F.lit(1).cast("bigint"))
+    merged = keys.join(old.unionByName(new), ["url", "content_version"])
     return conform(merged, ARTICLES)
 
 

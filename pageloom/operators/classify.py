@@ -13,7 +13,7 @@ from pageloom.fixed_values import FEATURES
 from pageloom.operators.features import align_features
 from pageloom.schemas import EmptyInput, require_columns
 
-MAX_CLASSES = 1000
+NO_CLASS = "(none)"
 
 
 @dataclasses.dataclass(frozen=True)
@@ -57,7 +57,8 @@ def label_encoder() -> StringIndexer:
 
 
 def is_test_row(url: Column) -> Column:
-    """A stable quarter of the URLs, by the first digit of their hash."""
+    """A stable quarter of the URLs, by the first digit of their hash; no URL counts as empty."""
+    url = F.coalesce(url, F.lit(""))
     return F.substring(F.md5(url.cast("binary")), 1, 1).isin("0", "1", "2", "3")
 
 
@@ -102,14 +103,18 @@ def predict(model: PipelineModel, items: DataFrame) -> DataFrame:
 
 
 def prediction_counts(predictions: DataFrame) -> DataFrame:
-    return predictions.groupBy("label", "predicted_label").agg(F.count(F.lit(1)).alias("n"))
+    """Rows by label and prediction; a missing one is a class of its own."""
+    named = [F.coalesce(c, F.lit(NO_CLASS)).alias(c) for c in ("label", "predicted_label")]
+    return predictions.select(*named).groupBy("label", "predicted_label").agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
 
 def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def classification_report(predictions: DataFrame) -> DataFrame:
+def counted_report(counts: DataFrame) -> DataFrame:
     """Precision, recall, F1 and support per class, then accuracy and the two averages.
 
     Classes are those among labels or predictions; an undefined ratio is 0.
@@ -121,8 +126,7 @@ def classification_report(predictions: DataFrame) -> DataFrame:
         F.struct(F.col("predicted_label").alias("class"), zero.alias("actual"), n.alias("predicted"), zero.alias("hits")),
     )
     per_class = (
-        prediction_counts(predictions)
-        .select(F.inline(sides))
+        counts.select(F.inline(sides))
         .groupBy("class")
         .agg(*[F.sum(c).alias(c) for c in ("actual", "predicted", "hits")])
         .withColumn("precision", _ratio(F.col("hits"), F.col("predicted")))
@@ -156,26 +160,28 @@ def classification_report(predictions: DataFrame) -> DataFrame:
     return rows.unionByName(totals.select(F.inline(lines)))
 
 
-def present_classes(predictions: DataFrame) -> list[str]:
-    """Sorted classes among labels and predictions; their number is checked."""
-    counts = prediction_counts(predictions)
-    names = counts.select(F.explode(F.array("label", "predicted_label")).alias("class")).distinct()
-    found = [r["class"] for r in names.limit(MAX_CLASSES + 1).collect()]
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return sorted(found)
+def classification_report(predictions: DataFrame) -> DataFrame:
+    """Report over rows with ``label`` and ``predicted_label``."""
+    return counted_report(prediction_counts(predictions))
+
+
+def counted_matrix(counts: DataFrame, classes: list[str] | None = None) -> DataFrame:
+    """One row per actual class, one column per predicted class, zeros included.
+
+    The classes come from the counts unless they are given; a classifier has no more of them than
+    its encoder has labels, which it holds in memory as well.
+    """
+    if classes is None:
+        names = counts.select(F.explode(F.array("label", "predicted_label")).alias("class"))
+        classes = sorted(r["class"] for r in names.distinct().collect())
+    spine = counts.sparkSession.createDataFrame([(c,) for c in classes], "label string")
+    cells = counts.groupBy("label").pivot("predicted_label", classes).sum("n")
+    return spine.join(cells, "label", "left").fillna(0, subset=classes).orderBy("label")
 
 
 def confusion_matrix(predictions: DataFrame, classes: list[str] | None = None) -> DataFrame:
-    """One row per actual class, one column per predicted class, zeros included."""
-    classes = classes or present_classes(predictions)
-    spine = predictions.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(c) for c in classes])).alias("label")
-    )
-    counts = (
-        prediction_counts(predictions).groupBy("label").pivot("predicted_label", classes).sum("n")
-    )
-    return spine.join(counts, "label", "left").fillna(0, subset=classes).orderBy("label")
+    """Matrix over rows with ``label`` and ``predicted_label``."""
+    return counted_matrix(prediction_counts(predictions), classes)
 
 
 def dense_label_index(df: DataFrame) -> DataFrame:

@@ -39,22 +39,35 @@ def extract_metadata(pages: DataFrame) -> DataFrame:
 
 
 def fill_empty_bodies(pages: DataFrame) -> DataFrame:
-    """Fallback text for pages whose body is empty after cleanup."""
-    return pages.withColumn(
-        "article_body",
-        F.when(F.col("article_body") == "", H.fallback_text(F.col("html"))).otherwise(
-            F.col("article_body")
-        ),
-    )
+    """Fallback text for pages whose body is empty after cleanup, from ``fallback_body`` or the html."""
+    ready = "fallback_body" in pages.columns
+    fallback = F.col("fallback_body") if ready else H.fallback_text(F.col("html"))
+    filled = F.when(F.col("article_body") == "", fallback).otherwise(F.col("article_body"))
+    return pages.withColumn("article_body", filled).drop("fallback_body")
+
+
+def parse_pages(pages: DataFrame, any_rules: bool = True) -> DataFrame:
+    """Everything that a page's html gives, in one pass; no ``html`` is left.
+
+    With rules, which may empty any body, the fallback text is kept beside the main text; without,
+    it is only needed where the line filter leaves nothing.
+    """
+    bodies = extract_metadata(extract_main_text(pages))
+    if any_rules:
+        return bodies.withColumn("fallback_body", H.fallback_text(F.col("html"))).drop("html")
+    return fill_empty_bodies(drop_boilerplate_lines(bodies)).drop("html")
+
+
+def clean_pages(parsed: DataFrame, rules: DataFrame | None) -> DataFrame:
+    """Bodies of parsed pages, cleaned by the rules of their sites."""
+    if rules is None:
+        return parsed
+    return fill_empty_bodies(drop_boilerplate_lines(apply_site_rules(parsed, rules)))
 
 
 def extract_pages(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
-    """Cleaned body, title, image and metadata flag of each page; ``html`` is dropped.
+    """Cleaned body, title, image and metadata flag of each page.
 
-    No step shuffles the pages as long as the rules are small enough to broadcast.
+    ``html`` is read in one narrow pass and dropped before the rules are joined.
     """
-    bodies = extract_main_text(pages)
-    if rules is not None:
-        bodies = apply_site_rules(bodies, rules)
-    filled = fill_empty_bodies(drop_boilerplate_lines(bodies))
-    return extract_metadata(filled).drop("html")
+    return clean_pages(parse_pages(pages, rules is not None), rules)

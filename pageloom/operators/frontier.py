@@ -105,11 +105,19 @@ def explode_links(hrefs: DataFrame) -> DataFrame:
 
 
 def attach_site(df: DataFrame, sites: DataFrame, url: str) -> DataFrame:
-    """Add ``site_domain`` and ``site_host`` of the site whose start URL shares the host."""
-    hosts = sites.select(
-        F.col("domain").alias("site_domain"),
+    """Add ``site_domain`` and ``site_host`` of the site whose start URL shares the host.
+
+    Of sites with one host, the last in priority order owns it, as in ``site_lookup``.
+    """
+    order = [-F.col("priority")] if "priority" in sites.columns else []
+    named = sites.select(
+        "domain",
         U.frontier_host(F.col("start_url")).alias("site_host"),
-    ).where(F.col("site_host") != "")
+        F.struct(*[c.alias(f"_{i}") for i, c in enumerate([*order, F.col("domain")])]).alias("_order"),
+    )
+    hosts = named.where(F.col("site_host") != "").groupBy("site_host").agg(
+        F.max_by("domain", "_order").alias("site_domain")
+    )
     return df.join(hosts, U.frontier_host(F.col(url)) == F.col("site_host"))
 
 
@@ -152,11 +160,12 @@ def first_visits(
     A minimum combines on the map side, so a URL that every page links to costs one row per task.
     """
     keys = ["site_domain", "full_url"] if per_site else ["full_url"]
-    if history is not None:
-        links = links.join(history.select(*keys).distinct(), keys, "left_anti")
     rest = [c for c in links.columns if c not in keys and c not in ("src_page_id", "link_pos")]
     first = F.min(F.struct("src_page_id", "link_pos", *rest)).alias("first")
-    return links.groupBy(*keys).agg(first).select(*keys, "first.*")
+    firsts = links.groupBy(*keys).agg(first).select(*keys, "first.*")
+    if history is None:
+        return firsts
+    return firsts.join(history.select(*keys).distinct(), keys, "left_anti")
 
 
 def build_frontier(
@@ -168,7 +177,21 @@ def build_frontier(
     per_site: bool = True,
 ) -> DataFrame:
     """Frontier of depth 1 with the provenance of each link."""
-    hrefs = attach_site(followable_hrefs(pages), sites, "src_url")
+    return frontier_of(
+        followable_hrefs(pages), sites, category_keywords, irrelevant_keywords, history, per_site
+    )
+
+
+def frontier_of(
+    hrefs: DataFrame,
+    sites: DataFrame,
+    category_keywords: list[str],
+    irrelevant_keywords: list[str],
+    history: DataFrame | None = None,
+    per_site: bool = True,
+) -> DataFrame:
+    """The same from the hrefs of pages (``src_page_id, src_url, hrefs``)."""
+    hrefs = attach_site(hrefs, sites, "src_url")
     links = on_site(resolve_links(explode_links(hrefs)), None if per_site else sites)
     relevant = links.drop("site_host").where(
         ~is_irrelevant(F.col("full_url"), irrelevant_keywords)

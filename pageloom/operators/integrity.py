@@ -12,7 +12,7 @@ def url_key(url: str = "url"):
 
 
 def check_articles(batch: DataFrame, state: DataFrame, sites: DataFrame) -> DataFrame:
-    """Add ``reject_reason``: unknown site, or a different URL with an equal key.
+    """Add ``reject_reason``: no URL, unknown site, or a different URL with an equal key.
 
     The URL that came first holds the key, stored URLs before all others. A clash needs URLs of
     full key length, so only those are compared; the holder is a minimum, which combines on the
@@ -20,9 +20,10 @@ def check_articles(batch: DataFrame, state: DataFrame, sites: DataFrame) -> Data
     """
     known = sites.select("site_id").distinct().withColumn("_known", F.lit(True))
     checked = batch.join(known, "site_id", "left").withColumn(
-        "reject_reason", F.when(F.col("_known").isNull(), "unknown_site")
+        "reject_reason",
+        F.when(F.col("url").isNull(), "missing_url").when(F.col("_known").isNull(), "unknown_site"),
     ).drop("_known")
-    is_long = F.length("url") >= URL_KEY_CHARS
+    is_long = F.coalesce(F.length("url") >= URL_KEY_CHARS, F.lit(False))
     long_rows = checked.where(is_long)
     claims = long_rows.where("reject_reason is null").select(
         url_key().alias("_key"), F.struct(F.col("ingest_seq").alias("seq"), "url").alias("claim")

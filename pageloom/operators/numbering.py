@@ -1,7 +1,9 @@
 """Order-dependent values without one task per key: work in runs of the sequence number first.
 
-A sequence number is unique and dense (a position in the input), so a run of ``run_rows``
-numbers bounds the rows of any window group, however hot its key is.
+The range of the sequence numbers is cut into runs of equal width, as many as ``run_rows`` rows each would
+need. Dense positions, and ids that spread over their range (hashes, snowflakes), so give runs of about
+``run_rows`` rows, which bound the rows of any window group, however hot its key is; and there is one run
+for that many rows, however sparse the numbers are.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -11,8 +13,18 @@ from pyspark.sql import Window as W
 RUN_ROWS = 1 << 20
 
 
-def _run(order: str, run_rows: int) -> Column:
-    return F.expr(f"`{order}` div {run_rows}")
+def with_run(df: DataFrame, order: str, run_rows: int, ranged: DataFrame) -> DataFrame:
+    """Add ``_run``, which never falls as ``order`` rises; ``ranged`` gives the range of the numbers.
+
+    The numbers are compared as doubles: rounding keeps their order, and no difference overflows.
+    """
+    seq = F.col(order).cast("double")
+    bounds = ranged.agg(
+        F.struct(F.min(seq).alias("low"), F.max(seq).alias("high"), F.count(order).alias("n"))
+    ).scalar()
+    runs = F.ceil(F.greatest(bounds["n"], F.lit(1)) / run_rows)
+    width = F.greatest((bounds["high"] - bounds["low"] + 1) / runs, F.lit(1.0))
+    return df.withColumn("_run", F.floor((seq - bounds["low"]) / width))
 
 
 def number_rows(
@@ -22,14 +34,17 @@ def number_rows(
     name: str,
     run_rows: int = RUN_ROWS,
     only: Column | None = None,
+    ranged: DataFrame | None = None,
 ) -> DataFrame:
     """Consecutive numbers after ``start`` in the order of a unique sequence column.
 
     Rows are numbered inside each run; the runs' counts, one row per run, give the offsets.
-    With ``only``, rows that fail it stay without a number.
+    With ``only``, rows that fail it stay without a number. ``ranged`` is a table with the same
+    column that is cheaper to read than ``df``, if there is one.
     """
     counted = F.when(F.lit(True) if only is None else only, 1).otherwise(0)
-    runs = df.withColumns({"_run": _run(order, run_rows), "_counted": counted})
+    runs = with_run(df, order, run_rows, df if ranged is None else ranged)
+    runs = runs.withColumn("_counted", counted)
     counts = runs.groupBy("_run").agg(F.sum("_counted").alias("_rows"))
     before = W.orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
@@ -56,27 +71,28 @@ def previous_value(
     """Add ``previous``, a struct with the preceding row's value for the same key.
 
     The first row of a key takes the value from ``initial`` (columns key and value); without
-    such a row ``previous`` is null. Rows inside a run look back inside the run; only the first
-    and last row of each run then meet in a second window, together with the initial rows, so a
-    hot key is never gathered in one task.
+    such a row ``previous`` is null. Rows inside a run look back inside the run. Only the first
+    and last row of a key in each run are shuffled again: they meet in a second window, together
+    with the initial rows, so a hot key is never gathered in one task.
     """
     run = W.partitionBy(key, "_run").orderBy(order)
-    inside = batch.withColumn("_run", _run(order, run_rows)).withColumns(
+    inside = with_run(batch, order, run_rows, batch).withColumns(
         {
             "_inside": F.lag(F.struct(F.col(value))).over(run),
             "_last": F.lead(order).over(run).isNull(),
         }
     )
-    edge = F.col("_inside").isNull() | F.col("_last")
-    split = inside.withColumns(
-        {"_run": F.when(edge, F.lit(-1)).otherwise(F.col("_run")), "_given": F.lit(False)}
-    )
-    given = initial.select(key, value).withColumns({"_run": F.lit(-1), "_given": F.lit(True)})
-    both = split.unionByName(given, allowMissingColumns=True)
-    across = W.partitionBy(key, "_run").orderBy(F.desc("_given"), order)
-    return (
-        both.withColumn("_across", F.lag(F.struct(F.col(value))).over(across))
+    is_edge = F.col("_inside").isNull() | F.col("_last")
+    edges = inside.where(is_edge).withColumn("_given", F.lit(False))
+    given = initial.select(key, value).withColumn("_given", F.lit(True))
+    across = W.partitionBy(key).orderBy(F.desc("_given"), order)
+    looked = (
+        edges.unionByName(given, allowMissingColumns=True)
+        .withColumn("_across", F.lag(F.struct(F.col(value))).over(across))
         .where(~F.col("_given"))
         .withColumn("previous", F.coalesce("_inside", "_across"))
-        .select(*batch.columns, "previous")
+    )
+    columns = [*batch.columns, "previous"]
+    return looked.select(*columns).unionByName(
+        inside.where(~is_edge).withColumnRenamed("_inside", "previous").select(*columns)
     )

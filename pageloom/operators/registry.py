@@ -41,7 +41,7 @@ def insert_ignore(sites: DataFrame, seed: DataFrame) -> DataFrame:
     )
     new = first.join(sites.select("domain"), "domain", "left_anti")
     last_id = sites.agg(F.coalesce(F.max("site_id"), F.lit(0)).alias("last_id")).scalar()
-    numbered = number_rows(new, "seed_seq", last_id, "site_id").drop("seed_seq")
+    numbered = number_rows(new, "seed_seq", last_id, "site_id", ranged=seed).drop("seed_seq")
     return sites.unionByName(with_defaults(numbered), allowMissingColumns=True)
 
 

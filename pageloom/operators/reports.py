@@ -90,26 +90,3 @@ def storage_efficiency(stats: DataFrame) -> DataFrame:
         "pct",
         F.when(everything > 0, F.col("operations") / everything * 100).otherwise(F.lit(0.0)),
     )
-
-
-def summary_text(summary: DataFrame, efficiency: DataFrame) -> DataFrame:
-    """The two tables as display lines with one decimal, totals last."""
-    first = summary.orderBy("is_total", "domain").select(
-        F.format_string(
-            "%-30s | %-10d | %-10d | %18.1f%%",
-            "domain",
-            "total_pages",
-            "predicted_articles",
-            "filtering_pct",
-        ).alias("line")
-    )
-    second = efficiency.select(
-        F.format_string(
-            "%-18s | %-18d | %10.1f%% | %s",
-            F.concat(F.lit("["), "status", F.lit("]")),
-            "operations",
-            "pct",
-            "impact",
-        ).alias("line")
-    )
-    return first.unionAll(second)

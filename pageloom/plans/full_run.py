@@ -5,14 +5,16 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pageloom.operators import registry, reports
-from pageloom.plans.page_flow import crawl_items
+from pageloom.plans.page_flow import parse_for_run, run_items, run_links
 from pageloom.plans.scoring import Labeller, store_articles
-from pageloom.session import pin_small
 from pageloom.sinks import items as item_sinks
 from pageloom.sinks.article_store import ArticleStore
+from pageloom.sinks.registry import write_sites
 from pageloom.sources.keywords import KeywordLists
+from pageloom.sources.registry import read_sites
 
 
 @dataclasses.dataclass(frozen=True)
@@ -39,26 +41,36 @@ def run(
 ) -> RunResult:
     """Run all active sites at once; pages are split by rows, not by site.
 
-    Predictions are written once and read back for storage and reports, so html is parsed once.
+    Each page's html is read once: hrefs and texts are written, and frontier and items are made from
+    them. The frontier is written too, and predictions before they are stored. The registry with the
+    new visit times is written below ``out``.
     """
-    active = pin_small(sites.where(F.col("active")))
-    links, items = crawl_items(pages, active, keywords, rules)
-    predictions_path = f"{out}/predictions"
+    active = sites.where(F.col("active"))
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{out}/{name}")
+
+    parsed = written(parse_for_run(pages, rules is not None), "parsed")
+    links = written(run_links(parsed, active, keywords), "frontier")
+    items = run_items(parsed, active, rules, links)
     predicted = labeller(items.withColumn("ingest_seq", F.col("page_id")))
-    item_sinks.write_predictions(
-        predicted.withColumn("domain", F.col("site_domain")), predictions_path, "parquet"
-    )
-    stored = spark.read.parquet(predictions_path)
+    path = f"{out}/predictions"
+    item_sinks.write_predictions(predicted, path, "parquet")
+    stored = spark.read.schema(predicted.schema).parquet(path)
     changes = store_articles(store, stored, active, run_ts, run_id, stage=False)
 
+    write_sites(registry.touch_visited(sites, active, run_ts), f"{out}/sites")
+
     domains = active.select("site_id", "domain")
     statuses = reports.status_counts(changes.join(domains, "site_id"))
-    counted = stored.withColumn("site_domain", F.col("domain"))
-    stats = reports.run_stats(reports.pages_per_site(active, counted), statuses)
+    stats = reports.run_stats(reports.pages_per_site(active, stored), statuses)
     item_sinks.append_run(stats, f"{out}/run_stats", run_id)
-    stats = spark.read.parquet(f"{out}/run_stats").where(F.col("run_id") == run_id).drop("run_id")
+    known = StructType([*stats.schema.fields, StructField("run_id", StringType())])
+    reports_read = spark.read.schema(known).parquet(f"{out}/run_stats")
+    stats = reports_read.where(F.col("run_id") == run_id).drop("run_id")
     return RunResult(
-        sites=registry.touch_visited(sites, active, run_ts),
+        sites=read_sites(spark, f"{out}/sites"),
         frontier=links,
         changes=changes,
         stats=stats,

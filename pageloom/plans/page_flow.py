@@ -9,27 +9,57 @@ from pageloom.sources.keywords import KeywordLists
 
 
 def fetched_items(
-    pages: DataFrame, rules: DataFrame | None = None, links: DataFrame | None = None
+    pages: DataFrame,
+    rules: DataFrame | None = None,
+    links: DataFrame | None = None,
+    sites: DataFrame | None = None,
 ) -> DataFrame:
-    """Items of fetched pages: extraction, provenance, features.
+    """Items of fetched pages: extraction, owning site, provenance, features.
 
-    Extraction is narrow and drops the html; only items travel to the join with the links.
+    With ``sites``, only pages that one of them owns are kept. Extraction is narrow and drops the
+    html; only its results travel to the joins.
     """
-    extracted = extract.extract_pages(pages, rules)
+    return items_of(extract.parse_pages(pages, rules is not None), rules, links, sites)
+
+
+def items_of(
+    parsed: DataFrame,
+    rules: DataFrame | None = None,
+    links: DataFrame | None = None,
+    sites: DataFrame | None = None,
+) -> DataFrame:
+    """The same from parsed pages."""
+    if sites is not None:
+        parsed = frontier.attach_site(parsed, sites, "url").drop("site_host")
+    cleaned = extract.clean_pages(parsed, rules)
     if links is not None:
-        extracted = frontier.attach_provenance(extracted, links)
-    return page_items(extracted)
+        cleaned = frontier.attach_provenance(cleaned, links)
+    return page_items(cleaned)
 
 
-def crawl_items(
-    pages: DataFrame, sites: DataFrame, keywords: KeywordLists, rules: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Frontier and items of the pages of the given sites.
+def parse_for_run(pages: DataFrame, any_rules: bool) -> DataFrame:
+    """One pass over the html of a run: hrefs of link sources, and the parts of the items.
 
-    With a ``depth`` column, home pages (depth 0) give links and the others give items;
-    without it every page does both.
+    With a ``depth`` column, pages of depth 0 give links and the others give items; without it
+    every page does both.
     """
-    links = frontier.build_frontier(pages, sites, keywords.category, keywords.irrelevant)
-    content = pages.where(F.col("depth") >= 1) if "depth" in pages.columns else pages
-    owned = frontier.attach_site(content, sites, "url").drop("site_host")
-    return links, fetched_items(owned, rules, links)
+    is_source = F.coalesce(F.col("depth"), F.lit(0)) < 1 if "depth" in pages.columns else F.lit(True)
+    hrefs = frontier.chosen_hrefs(frontier.page_anchors(F.col("html")))
+    kept = F.array_distinct(F.filter(hrefs, frontier.is_followable))
+    return extract.parse_pages(pages.withColumn("hrefs", F.when(is_source, kept)), any_rules)
+
+
+def run_links(parsed: DataFrame, sites: DataFrame, keywords: KeywordLists) -> DataFrame:
+    """Frontier of the parsed pages of the given sites."""
+    sources = parsed.where(F.col("hrefs").isNotNull()).select(
+        F.col("page_id").alias("src_page_id"), F.col("url").alias("src_url"), "hrefs"
+    )
+    return frontier.frontier_of(sources, sites, keywords.category, keywords.irrelevant)
+
+
+def run_items(
+    parsed: DataFrame, sites: DataFrame, rules: DataFrame | None, links: DataFrame
+) -> DataFrame:
+    """Items of the parsed pages of the given sites."""
+    content = parsed.where(F.col("depth") >= 1) if "depth" in parsed.columns else parsed
+    return items_of(content.drop("hrefs"), rules, links, sites)

@@ -1,18 +1,37 @@
-"""The article state at rest: immutable versions of URL buckets and a log of commits."""
+"""The article state at rest: versions of narrow keys, contents that only grow, a log of commits."""
 
 import dataclasses
 import datetime
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
-
-from pageloom.operators.changes import change_log, upsert
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+
+from pageloom.operators.changes import (
+    change_log,
+    changed_contents,
+    number_new,
+    upsert_keys,
+    url_outcomes,
+)
 from pageloom.operators.integrity import accepted, check_articles, rejected, url_key
 from pageloom.schemas import ARTICLES, CHANGES, conform
 
-_COMMITS = "version bigint, batch_id string, last_id bigint, buckets array<struct<bucket int, version bigint>>"
+_COMMITS = (
+    "version bigint, batch_id string, last_id bigint, bucket_count int, "
+    "buckets array<struct<bucket int, version bigint>>, block bigint"
+)
+#: Commits are kept in blocks of so many; only the newest block is read.
+_BLOCK = 64
+KEYS = StructType(
+    [
+        *[f for f in ARTICLES.fields if f.name not in ("title", "body", "image_url")],
+        StructField("content_version", LongType()),
+    ]
+)
+CONTENTS = StructType([f for f in ARTICLES.fields if f.name in ("url", "title", "body", "image_url")])
 
 
 @dataclasses.dataclass(frozen=True)
@@ -20,22 +39,25 @@ class Commit:
     version: int
     batch_id: str | None
     last_id: int
+    bucket_count: int
     buckets: dict[int, int]
 
 
 class ArticleStore:
-    """Articles under ``path``, split by a hash of the URL key.
+    """Articles under ``path``: narrow keys by a hash of the URL key, and contents, which only grow.
 
-    A batch rewrites only the buckets it touches, below a new version folder; a small commit row
-    then makes them current. Readers see the last commit, and nothing that is read is overwritten.
+    A batch rewrites the keys of the buckets it touches, and adds the contents of new and changed
+    articles, below a new version; a small commit row then makes them current. Readers see the last
+    commit, and nothing that is read is overwritten. The text of an article that did not change is
+    neither read nor written. The number of buckets is fixed by the first commit.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.buckets = buckets
         # A new store starts with an empty commit; an existing log is left alone.
-        self._commit(Commit(0, None, 0, {}), mode="ignore")
+        self._commit(Commit(0, None, 0, buckets, {}), mode="ignore")
+        self.buckets = self.current().bucket_count
 
     def _bucket(self) -> Column:
         # URLs with equal keys share a bucket, so key clashes show up inside one.
@@ -44,56 +66,84 @@ class ArticleStore:
     def _commits(self) -> DataFrame:
         return self.spark.read.schema(_COMMITS).json(f"{self.path}/commits")
 
+    def _newest(self) -> DataFrame:
+        """The commits of the newest block; older ones are listed, but not read."""
+        commits = self._commits()
+        newest = commits.select("block").distinct().agg(F.max("block")).first()[0]
+        return commits.where(F.col("block") == newest)
+
     def current(self) -> Commit:
-        last = self._commits().orderBy(F.desc("version")).first()
+        last = self._newest().orderBy(F.desc("version")).first()
         return Commit(
             last["version"],
             last["batch_id"],
             last["last_id"],
+            last["bucket_count"],
             {b["bucket"]: b["version"] for b in last["buckets"]},
         )
 
     def has_batch(self, batch_id: str) -> bool:
-        return not self._commits().where(F.col("batch_id") == batch_id).isEmpty()
+        """Whether a batch was committed: its mark, or its commit if the mark was not written."""
+        try:
+            marked = not self.spark.read.text(f"{self._folder(batch_id)}/committed").isEmpty()
+        except AnalysisException:
+            marked = False
+        return marked or not self._newest().where(F.col("batch_id") == batch_id).isEmpty()
+
+    def _folder(self, batch_id: str) -> str:
+        return f"{self.path}/batches/id={batch_id}"
 
-    def _read(self, commit: Commit, buckets: list[int] | None = None) -> DataFrame:
+    def _keys(self, commit: Commit, buckets: list[int] | None = None) -> DataFrame:
         wanted = commit.buckets if buckets is None else buckets
         paths = [
-            f"{self.path}/data/v={commit.buckets[b]}/url_bucket={b}"
+            f"{self.path}/keys/v={commit.buckets[b]}/url_bucket={b}"
             for b in wanted
             if b in commit.buckets
         ]
         if not paths:
-            return self.spark.createDataFrame([], ARTICLES)
-        return self.spark.read.schema(ARTICLES).parquet(*paths)
+            return self.spark.createDataFrame([], KEYS)
+        return self.spark.read.schema(KEYS).parquet(*paths)
 
     def read(self) -> DataFrame:
-        return self._read(self.current())
+        """All articles with their texts."""
+        keys = self._keys(self.current())
+        versioned = StructType([*CONTENTS.fields, StructField("content_version", LongType())])
+        try:
+            contents = self.spark.read.schema(versioned).parquet(f"{self.path}/contents")
+        except AnalysisException:
+            contents = self.spark.createDataFrame([], versioned)
+        return conform(keys.join(contents, ["url", "content_version"]), ARTICLES)
 
     def _commit(self, commit: Commit, mode: str = "append") -> None:
         row = dataclasses.asdict(commit)
         row["buckets"] = [
             {"bucket": b, "version": v} for b, v in sorted(commit.buckets.items())
         ]
-        line = self.spark.range(1).select(F.lit(json.dumps(row)).alias("value"))
-        line.coalesce(1).write.mode(mode).text(f"{self.path}/commits")
+        line = self.spark.range(1).select(
+            F.lit(json.dumps(row)).alias("value"), F.lit(commit.version // _BLOCK).alias("block")
+        )
+        line.coalesce(1).write.mode(mode).partitionBy("block").text(f"{self.path}/commits")
 
-    def _write_version(self, articles: DataFrame, version: int) -> tuple[list[int], int]:
-        """Write articles below a new version; returns their buckets and highest id."""
-        path = f"{self.path}/data/v={version}"
-        articles.withColumn("url_bucket", self._bucket()).hint(
+    def _write_keys(self, keys: DataFrame, version: int) -> tuple[list[int], int]:
+        """Write keys below a new version; returns their buckets and highest id."""
+        path = f"{self.path}/keys/v={version}"
+        keys.withColumn("url_bucket", self._bucket()).hint(
             "rebalance", "url_bucket"
         ).write.mode("overwrite").partitionBy("url_bucket").parquet(path)
         # Read back from the files' key columns; an Observation would tie the session to models.
-        schema = StructType([*ARTICLES.fields, StructField("url_bucket", IntegerType())])
+        schema = StructType([*KEYS.fields, StructField("url_bucket", IntegerType())])
         written = self.spark.read.schema(schema).parquet(path)
         return written.agg(
             F.collect_set("url_bucket"), F.coalesce(F.max("article_id"), F.lit(0))
         ).first()
 
-    def _staged(self, batch: DataFrame, path: str) -> DataFrame:
-        batch.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(batch.schema).parquet(path)
+    def _write_contents(self, contents: DataFrame, version: int) -> None:
+        path = f"{self.path}/contents/content_version={version}"
+        conform(contents, CONTENTS).write.mode("overwrite").parquet(path)
+
+    def _staged(self, df: DataFrame, path: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def apply(
         self,
@@ -106,11 +156,13 @@ class ArticleStore:
         """Store a batch of article rows; returns the change log of the accepted ones.
 
         A ``batch_id`` that was stored before is not applied again. The batch is staged as files,
-        unless it is read from files anyway (``stage=False``), and the log is written before the
-        merge: a lost executor costs no new extraction, and the log stays as the batch's record.
+        unless it is read from files anyway (``stage=False``), and log and outcomes are written
+        before the merge: a lost executor costs no new extraction, and the log stays as the
+        batch's record.
         """
         now = self.current()
-        folder = f"{self.path}/batches/id={batch_id or now.version + 1}"
+        version = now.version + 1
+        folder = self._folder(batch_id or str(version))
         if batch_id is not None and self.has_batch(batch_id):
             return self._changes(folder)
 
@@ -118,25 +170,32 @@ class ArticleStore:
         if stage:
             rows = self._staged(rows, f"{folder}/rows")
         touched = [r["url_bucket"] for r in rows.select("url_bucket").distinct().collect()]
-        state = self._read(now, touched)
+        keys = self._keys(now, touched)
 
-        checked = check_articles(rows, state, sites)
-        log = change_log(accepted(checked), state).unionByName(
+        checked = check_articles(rows, keys, sites)
+        log = change_log(accepted(checked), keys).unionByName(
             rejected(checked).select("url", "site_id", "ingest_seq", "reject_reason"),
             allowMissingColumns=True,
         )
         log.write.mode("overwrite").parquet(f"{folder}/log")
         changes = self._changes(folder)
-        merged = upsert(state, rows, changes, run_ts, F.lit(now.last_id))
-        buckets, last_id = self._write_version(merged, now.version + 1)
+        outcomes = number_new(url_outcomes(changes), F.lit(now.last_id), ranged=changes)
+        outcomes = self._staged(outcomes, f"{folder}/outcomes")
+        self._write_contents(changed_contents(outcomes, rows), version)
+        merged = upsert_keys(keys, outcomes, run_ts, version)
+        buckets, last_id = self._write_keys(merged, version)
         self._commit(
             Commit(
-                now.version + 1,
+                version,
                 batch_id,
                 max(now.last_id, last_id),
-                {**now.buckets, **{b: now.version + 1 for b in buckets}},
+                self.buckets,
+                {**now.buckets, **{b: version for b in buckets}},
             )
         )
+        if batch_id is not None:
+            mark = self.spark.range(1).select(F.lit(str(version)).alias("value"))
+            mark.coalesce(1).write.mode("overwrite").text(f"{folder}/committed")
         return changes
 
     def _log_of(self, folder: str) -> DataFrame:
@@ -148,12 +207,14 @@ class ArticleStore:
 
     def rejects(self, batch_id: str) -> DataFrame:
         """Rows of a stored batch that broke a constraint, with the reason."""
-        log = self._log_of(f"{self.path}/batches/id={batch_id}")
+        log = self._log_of(self._folder(batch_id))
         return log.where("reject_reason is not null").drop("content_hash", "status")
 
     def load(self, articles: DataFrame) -> None:
         """Fill an empty store from a table of articles."""
         if self.current().version:
             raise ValueError(f"{self.path} holds articles already")
-        buckets, last_id = self._write_version(conform(articles, ARTICLES), 1)
-        self._commit(Commit(1, None, last_id, dict.fromkeys(buckets, 1)))
+        self._write_contents(articles, 1)
+        keys = conform(articles.withColumn("content_version", F.lit(1)), KEYS)
+        buckets, last_id = self._write_keys(keys, 1)
+        self._commit(Commit(1, None, last_id, self.buckets, dict.fromkeys(buckets, 1)))

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 def _by_site(df: DataFrame) -> DataFrame:
     """Rows of a site together, large sites over several tasks, and few small files."""
     routed = df.where(F.col("site_domain").isNotNull())
-    return routed.withColumn("site_folder", F.replace("site_domain", F.lit("."), F.lit("_"))).drop(
-        "site_domain"
-    ).hint("rebalance", "site_folder")
+    folder = F.replace("site_domain", F.lit("."), F.lit("_"))
+    return routed.withColumn("site_folder", folder).hint("rebalance", "site_folder")
 
 
 def _write_by_site(df: DataFrame, path: str, fmt: str, partial: bool) -> None:

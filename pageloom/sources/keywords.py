@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from pageloom import fixed_values
 from pageloom.schemas import KEYWORDS
 
-MAX_KEYWORDS = 20_000
-
 
 @dataclasses.dataclass(frozen=True)
 class KeywordLists:
@@ -43,15 +41,19 @@ def default_keywords(spark: SparkSession) -> DataFrame:
 
 
 def read_keywords_yaml(spark: SparkSession, path: str) -> DataFrame:
-    """Keywords of a YAML configuration; what cannot be read is left out with a warning."""
+    """Keywords of a YAML configuration file.
+
+    The three parts are read one after another; from the first that cannot be read on, all are left
+    out, with a warning.
+    """
     categories, general, irrelevant = {}, [], []
     try:
         import yaml
 
         text = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
         config = yaml.safe_load(text) or {}
-        for name, entry in (config.get("categories") or {}).items():
-            categories[name] = [str(k) for k in entry.get("keywords", [])]
+        parts = (config.get("categories") or {}).items()
+        categories = {name: [str(k) for k in entry.get("keywords", [])] for name, entry in parts}
         general = config.get("general_category_keywords", [])
         irrelevant = config.get("irrelevant_keywords", [])
     except Exception as error:
@@ -60,10 +62,11 @@ def read_keywords_yaml(spark: SparkSession, path: str) -> DataFrame:
 
 
 def keyword_lists(keywords: DataFrame) -> KeywordLists:
-    """The lists as Python values for literal predicates; their size is checked."""
-    rows = keywords.select("kind", "keyword").distinct().limit(MAX_KEYWORDS + 1).collect()
-    if len(rows) > MAX_KEYWORDS:
-        raise ValueError(f"more than {MAX_KEYWORDS} keywords")
+    """The lists as Python values for literal predicates.
+
+    They come from a configuration file, which the driver has read as a whole.
+    """
+    rows = keywords.select("kind", "keyword").distinct().collect()
     return KeywordLists(
         category=sorted({r["keyword"] for r in rows if r["kind"] != "irrelevant"}),
         irrelevant=sorted({r["keyword"] for r in rows if r["kind"] == "irrelevant"}),

@@ -1,18 +1,15 @@
 """Readers of the per-site cleanup rules."""
 
-import re
 import warnings
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.fixed_values import SITE_RULES
 from pageloom.operators.cleanup import PATTERN_FLAGS
 from pageloom.schemas import RULES
 
-MAX_RULES = 20_000
-
 
 def usable_rules(raw: DataFrame) -> DataFrame:
     """Rules with a domain and patterns; of repeated domains the last one stays.
@@ -25,40 +22,38 @@ def usable_rules(raw: DataFrame) -> DataFrame:
 
 
 def checked_rules(rules: DataFrame) -> DataFrame:
-    """The rules as a local table, or no rules at all when a pattern is invalid.
+    """The rules, or no rules at all when a pattern is invalid for the JVM, which applies them.
 
-    Patterns must be valid for Python and for the JVM, which applies them.
+    One aggregate over all patterns decides; none of them comes to the driver.
     """
-    spark = rules.sparkSession
-    rows = rules.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
+    pattern = F.concat(F.lit(PATTERN_FLAGS), F.col("p"))
+    tried = rules.select(F.explode("patterns").alias("p")).select(F.regexp_count(F.lit("x"), pattern).alias("n"))
     try:
-        for row in rows:
-            for pattern in row["patterns"]:
-                re.compile(pattern, re.IGNORECASE | re.DOTALL)
-        local = rule_table(spark, [(r["domain"], r["patterns"]) for r in rows])
-        pattern = F.concat(F.lit(PATTERN_FLAGS), F.col("p"))
-        local.select(F.explode("patterns").alias("p")).select(
-            F.sum(F.regexp_count(F.lit("x"), pattern))
-        ).collect()
-        return local
-    except (re.error, PySparkException) as error:
+        tried.agg(F.sum("n")).collect()
+        return rules
+    except PySparkException as error:
         warnings.warn(f"cleanup rules ignored: {error}")
-        return rule_table(spark, [])
+        return rules.limit(0)
 
 
-def rule_table(spark: SparkSession, rows: list[tuple[str, list[str]]]) -> DataFrame:
-    """A rules table whose size the planner knows."""
-    return spark.createDataFrame(spark.createDataFrame(rows, RULES).toArrow(), RULES)
+def string_elements(json: Column) -> Column:
+    """Strings of a JSON array in order, null in place of anything else; null if it is no array."""
+    values = F.from_json(json, "array<variant>")
+    return F.transform(
+        values, lambda v: F.when(F.schema_of_variant(v) == "STRING", v.cast("string"))
+    )
 
 
 def read_rules(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Rules of a JSON array (or of JSON lines); a malformed array gives no rules."""
+    """Rules of a JSON array (or of JSON lines); a malformed array gives no rules.
+
+    Only strings are patterns.
+    """
     raw = (
-        spark.read.schema("domain string, patterns array<string>, rule_seq bigint")
+        spark.read.schema("domain string, patterns string, rule_seq bigint")
         .option("multiLine", multi_line)
         .json(path)
+        .withColumn("patterns", string_elements(F.col("patterns")))
     )
     # Rows of one array come from one task, so the generated ids follow their order.
     placed = raw.withColumn("rule_seq", F.coalesce("rule_seq", F.monotonically_increasing_id()))
@@ -66,4 +61,4 @@ def read_rules(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
 
 
 def default_rules(spark: SparkSession) -> DataFrame:
-    return rule_table(spark, [(r["domain"], r["patterns"]) for r in SITE_RULES])
+    return spark.createDataFrame([(r["domain"], r["patterns"]) for r in SITE_RULES], RULES)

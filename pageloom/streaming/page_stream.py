@@ -1,16 +1,21 @@
 """Pages as they arrive: extraction, prediction, raw output and upsert per micro-batch."""
 
 import datetime
+import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pageloom.operators.frontier import attach_site
 from pageloom.plans.page_flow import fetched_items
 from pageloom.plans.scoring import Labeller, store_articles
-from pageloom.session import pin_small
 from pageloom.sinks.article_store import ArticleStore
+from pageloom.sinks.items import write_predictions
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps with its checkpoint, however often it is started again."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
 
 
 def start_page_stream(
@@ -22,21 +27,26 @@ def start_page_stream(
     raw_path: str,
     checkpoint: str,
     run_ts: datetime.datetime,
+    links: DataFrame | None = None,
 ) -> StreamingQuery:
     """Process all pages that are there, then stop.
 
-    A micro-batch replayed after a failure writes its raw output to the same folder and finds
-    its batch in the store's log, so nothing is stored twice.
+    ``links`` is the frontier that the pages were fetched from; each page takes flag and source of
+    its link from it. Output is written by site below the batch's folder. A micro-batch replayed
+    after a failure writes to the same folder and finds its batch in the store's log; the log names
+    batches by the stream's id, so another stream into the same store is not taken for a replay.
     """
-    active = pin_small(sites.where(F.col("active")))
+    active = sites.where(F.col("active"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        owned = attach_site(batch, active, "url").drop("site_host")
-        items = fetched_items(owned, rules).withColumn("ingest_seq", F.col("page_id"))
-        folder = f"{raw_path}/batch={batch_id}"
-        labeller(items).write.mode("overwrite").parquet(folder)
-        stored = batch.sparkSession.read.parquet(folder)
-        store_articles(store, stored, active, run_ts, f"stream-{batch_id}", stage=False)
+        spark = batch.sparkSession
+        stream = stream_id(spark, checkpoint)
+        items = fetched_items(batch, rules, links, active)
+        predicted = labeller(items.withColumn("ingest_seq", F.col("page_id")))
+        folder = f"{raw_path}/stream={stream}/batch={batch_id}"
+        write_predictions(predicted, folder, "parquet")
+        stored = spark.read.schema(predicted.schema).parquet(folder)
+        store_articles(store, stored, active, run_ts, f"{stream}-{batch_id}", stage=False)
 
     return (
         pages.writeStream.foreachBatch(handle)

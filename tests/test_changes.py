@@ -190,3 +190,49 @@ def test_result_does_not_depend_on_partitions(spark):
         values(D.change_log(batch_of(spark, rows).repartition(n), state, 16)) for n in (1, 3, 11)
     ]
     assert logs[0] == logs[1] == logs[2]
+
+
+def test_rows_delivered_twice_make_one_article(spark, folder):
+    rows = [(1, "u", "A"), (1, "u", "A"), (2, "v", "B"), (2, "v", "B")]
+    batch, state = batch_of(spark, rows), state_of(spark, [])
+    after = D.upsert(state, batch, D.change_log(batch, state), NOW, F.lit(0))
+    assert values(after, "url", "article_id", "body") == [("u", 1, "A"), ("v", 2, "B")]
+    store = ArticleStore(spark, folder, buckets=4)
+    store.apply(batch, spark.createDataFrame([(1,)], "site_id bigint"), NOW, "b")
+    assert values(store.read(), "url", "article_id", "body") == [("u", 1, "A"), ("v", 2, "B")]
+    # Opened with another number of buckets, the store keeps its own.
+    again = ArticleStore(spark, folder, buckets=7)
+    assert again.buckets == 4
+    log = again.apply(batch, spark.createDataFrame([(1,)], "site_id bigint"), LATER, "c")
+    assert {r["status"] for r in log.collect()} == {"UNCHANGED"} and again.read().count() == 2
+
+
+def test_rows_without_a_url_are_rejected(spark):
+    batch = batch_of(spark, [(1, None, "A"), (2, "u", "B")])
+    checked = integrity.check_articles(batch, state_of(spark, []), spark.createDataFrame([(1,)], "site_id bigint"))
+    assert values(integrity.rejected(checked), "ingest_seq", "reject_reason") == [(1, "missing_url")]
+    assert integrity.accepted(checked).count() == 1
+
+
+def test_sparse_numbers_need_few_runs(spark):
+    """Hashed sequence numbers over the whole range, negative ones too."""
+    from pageloom.operators.numbering import with_run
+
+    df = spark.range(5000).select(F.xxhash64("id").alias("s"))
+    runs = with_run(df, "s", 500, df).groupBy("_run").count().collect()
+    assert len(runs) <= 11 and max(r["count"] for r in runs) < 1000
+    numbers = [r["n"] for r in number_rows(df, "s", F.lit(0), "n", run_rows=500).orderBy("s").collect()]
+    assert numbers == list(range(1, 5001))
+    rng = random.Random(9)
+    seqs = [rng.randrange(-(2**63), 2**63) for _ in range(300)]
+    rows = [(s, rng.choice(["hot", "hot", "u1", "u2"]), rng.choice("AB")) for s in seqs]
+    check(spark, [(3, "hot", "A", md5("A"))], rows, 20)
+
+
+def test_commits_are_read_by_block(spark, folder):
+    from pageloom.sinks import article_store
+
+    store = ArticleStore(spark, folder, buckets=2)
+    for version in (63, 64, 65):
+        store._commit(article_store.Commit(version, f"b{version}", version, 2, {}))
+    assert store.current().version == 65 and store._newest().count() == 2

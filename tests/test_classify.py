@@ -73,3 +73,13 @@ def test_split_is_stable(spark):
     df = rows(spark)
     parts = [values(C.split_rows(df.repartition(n))[1], "url") for n in (1, 5)]
     assert parts[0] == parts[1] and 30 < len(parts[0]) < 90
+
+
+def test_missing_labels_and_urls(spark):
+    pairs = [("a", "a"), (None, "a"), ("a", None), ("b", "b")]
+    df = spark.createDataFrame(pairs, "label string, predicted_label string")
+    assert [tuple(r) for r in C.confusion_matrix(df).collect()] == [
+        (C.NO_CLASS, 0, 1, 0), ("a", 1, 1, 0), ("b", 0, 0, 1),
+    ]
+    bare = spark.createDataFrame([(None, "a"), ("u", "a")], "url string, label string")
+    assert sum(part.count() for part in C.split_rows(bare)) == 2

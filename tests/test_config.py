@@ -60,7 +60,7 @@ irrelevant_keywords: [PDF, "404"]
         warnings.simplefilter("always")
         broken = "categories:\n  a: {keywords: [x]}\n  b: [1]\nirrelevant_keywords: [y]\n"
         lists = keyword_lists(read_keywords_yaml(spark, put(tmp_path, "b.yml", broken)))
-        assert lists.category == ["x"] and lists.irrelevant == [] and seen
+        assert lists.category == [] and lists.irrelevant == [] and seen
 
 
 def test_rule_file(spark, tmp_path):
@@ -71,9 +71,11 @@ def test_rule_file(spark, tmp_path):
         {"patterns": ["x"]},
         {"domain": "a.gr", "patterns": ["Ω+", None, "z"]},
         {"domain": "c.gr", "patterns": "no list"},
+        {"domain": "d.gr", "patterns": [5, "x", {"p": "("}, ["y"], True]},
+        {"domain": "e.gr", "patterns": [7]},
     ]
     found = read_rules(spark, put(tmp_path, "r.json", json.dumps(rules, indent=2)))
-    assert values(found) == [("a.gr", ["Ω+", "z"])]
+    assert values(found) == [("a.gr", ["Ω+", "z"]), ("d.gr", ["x"]), ("e.gr", [])]
     assert default_rules(spark).count() == len(fixed_values.SITE_RULES) == 4
 
 
@@ -89,7 +91,7 @@ def test_item_files(spark, tmp_path):
     put(tmp_path, "raw_a.json", json.dumps([{"url": "u1", "title": "Ώρα", "image_urls": ["i"]}, {"url": "u2"}], ensure_ascii=False, indent=2))
     put(tmp_path, "raw_b.json", "[]")
     put(tmp_path, "notes.txt", "no json")
-    found = read_items(spark, str(tmp_path))
+    found = read_items(spark, str(tmp_path), multi_line=True)
     assert values(found, "url", "title", "image_urls") == [("u1", "Ώρα", ["i"]), ("u2", None, None)]
 
 
