@@ -18,26 +18,16 @@ _NO_TEXT = (
     )
     + ")"
 )
+_SIDE_TAGS = ["div", "section", "article", "ul", "ol", "li", "p", "span"]
 _SIDE_CLASS = (
     r"""\b[^>]*\s(?:class|id)\s*=\s*["'](?:[^"']*\s)?(?:ad|comments?)(?:\s[^"']*)?["'][^>]*>"""
 )
-_SIDE_BLOCKS = (
-    "(?is)<(?:"
-    + "|".join(
-        rf"{t}{_SIDE_CLASS}.*?</{t}\s*>" for t in ["div", "section", "ul", "ol", "p", "span"]
-    )
-    + ")"
-)
 _LINE_ENDS = r"(?i)<(?:/(?:p|h[1-6]|li|div)|p|br)\b[^>]*>"
 _TAG = "<[^>]*>"
 _ATTRIBUTE = r"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _FALLBACK_REGIONS = (
     r"(?is)<(?:article\b[^>]*>.*?</article\s*>|"
-    + "|".join(
-        rf"""{t}\b[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?(?:post-body|main-content)(?:\s[^"']*)?["'][^>]*>.*?</{t}\s*>"""
-        for t in ["div", "section", "main"]
-    )
-    + ")"
+    + r"""([a-z][a-z0-9]*)\b[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?(?:post-body|main-content)(?:\s[^"']*)?["'][^>]*>.*?</\1\s*>)"""
 )
 _CODE_LIKE = r"(?isU)[{};]|\b(?:var|function|script)\b"
 
@@ -73,12 +63,75 @@ def _region(html: Column, tag: str) -> Column:
     return let(closed, lambda parts: F.when(F.size(parts) == 2, falsy_to_null(parts[0])))
 
 
+def _pieces(html: Column, tag: str) -> Column:
+    """The markup cut before each opening and after each closing tag of a kind."""
+    return F.split(html, rf"(?i)(?=<{tag}\b)|(?<=</{tag}\s{{0,9}}>)")
+
+
+def _opens(piece: Column, tag: str) -> Column:
+    return piece.rlike(rf"(?i)^<{tag}\b").cast("int")
+
+
+def _closes(piece: Column, tag: str) -> Column:
+    return piece.rlike(rf"(?i)</{tag}\s*>$").cast("int")
+
+
+def _regions(html: Column, tag: str) -> Column:
+    """All outermost elements of a kind with what is nested in them, one after the other.
+
+    A page with one such element, the usual case, needs no counting.
+    """
+
+    def step(state: Column, piece: Column) -> Column:
+        inside = state["depth"] + _opens(piece, tag)
+        text = F.when(state["depth"] == 0, F.concat(F.lit("\n"), piece)).otherwise(piece)
+        return F.struct(
+            F.greatest(inside - _closes(piece, tag), F.lit(0)).alias("depth"),
+            F.when(inside > 0, F.concat(state["kept"], text)).otherwise(state["kept"]).alias("kept"),
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept"))
+    every = F.aggregate(_pieces(html, tag), start, step, lambda state: falsy_to_null(state["kept"]))
+    many = F.regexp_count(html, F.lit(rf"(?i)<{tag}\b")) > 1
+    return F.when(many, every).otherwise(_region(html, tag))
+
+
+def _without_side(html: Column, tag: str) -> Column:
+    """The markup without advertisement and comment elements of a kind, nested ones included.
+
+    Markup in which such an element is never closed stays as it is.
+    """
+    start_tag = rf"(?is)^<{tag}{_SIDE_CLASS}"
+
+    def step(state: Column, piece: Column) -> Column:
+        begins = (state["depth"] == 0) & piece.rlike(start_tag)
+        hidden = begins | (state["depth"] > 0)
+        depth = F.when(hidden, state["depth"] + _opens(piece, tag) - _closes(piece, tag)).otherwise(0)
+        kept = F.when(hidden, state["kept"]).otherwise(F.concat(state["kept"], piece))
+        return F.struct(F.greatest(depth, F.lit(0)).alias("depth"), kept.alias("kept"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept"))
+    cut = F.aggregate(_pieces(html, tag), start, step, lambda s: F.when(s["depth"] == 0, s["kept"]))
+    return F.when(html.rlike(rf"(?is)<{tag}{_SIDE_CLASS}"), F.coalesce(cut, html)).otherwise(html)
+
+
+def without_side_blocks(html: Column) -> Column:
+    any_tag = rf"(?is)<(?:{'|'.join(_SIDE_TAGS)}){_SIDE_CLASS}"
+
+    def all_tags(markup: Column, tags: list[str]) -> Column:
+        if not tags:
+            return markup
+        return let(_without_side(markup, tags[0]), lambda rest: all_tags(rest, tags[1:]))
+
+    return let(html, lambda h: F.when(h.rlike(any_tag), all_tags(h, _SIDE_TAGS)).otherwise(h))
+
+
 def text_region(html: Column) -> Column:
-    """Markup of the main region without navigation and other non-text blocks."""
+    """Markup of the main region: no navigation, advertisements, comments or other side blocks."""
     return let(
-        F.regexp_replace(html, _NO_TEXT, ""),
+        without_side_blocks(F.regexp_replace(html, _NO_TEXT, "")),
         lambda clean: F.coalesce(
-            _region(clean, "article"), _region(clean, "main"), _region(clean, "body"), clean
+            _regions(clean, "article"), _regions(clean, "main"), _region(clean, "body"), clean
         ),
     )
 
@@ -88,8 +141,7 @@ def region_text(region: Column) -> Column:
 
     The last two patterns leave single spaces and line ends alone and match only what changes.
     """
-    kept = F.regexp_replace(region, _SIDE_BLOCKS, "")
-    text = F.regexp_replace(F.regexp_replace(kept, _LINE_ENDS, "\n"), _TAG, "")
+    text = F.regexp_replace(F.regexp_replace(region, _LINE_ENDS, "\n"), _TAG, "")
     spaces = "[ \t\r\x0b\x0c\u00a0]{2,}|[\t\r\x0b\x0c\u00a0]"
     folded = F.regexp_replace(decode_entities(text), spaces, " ")
     return strip(F.regexp_replace(folded, "[ \n]{2,}", "\n"))

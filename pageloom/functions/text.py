@@ -1,6 +1,7 @@
 """Text expressions."""
 
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,29 +12,12 @@ WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Named character references that occur in news pages.
-NAMED_ENTITIES = [
-    ("lt", "<"),
-    ("gt", ">"),
-    ("quot", '"'),
-    ("apos", "'"),
-    ("nbsp", "\u00a0"),
-    ("copy", "©"),
-    ("reg", "®"),
-    ("middot", "·"),
-    ("laquo", "«"),
-    ("raquo", "»"),
-    ("ndash", "–"),
-    ("mdash", "—"),
-    ("hellip", "…"),
-    ("lsquo", "‘"),
-    ("rsquo", "’"),
-    ("ldquo", "“"),
-    ("rdquo", "”"),
-    ("bull", "•"),
-    ("euro", "€"),
-    ("amp", "&"),
-]
+# The characters that numbers 128 to 159 stand for in pages (Windows-1252).
+WINDOWS_1252 = {
+    n: bytes([n]).decode("cp1252", "replace") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)
+}
+#: All named references of the HTML standard in one text: mark, name, mark, characters.
+_NAMES = "".join(f"\x01{name}\x02{chars}" for name, chars in html5.items() if name.endswith(";")) + "\x01"
 
 
 def strip(col: Column) -> Column:
@@ -71,26 +55,29 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _named(name: Column) -> Column:
-    quoted = [
-        "'{}', '{}'".format(entity, char.replace("'", r"\'")) for entity, char in NAMED_ENTITIES
-    ]
-    return F.try_element_at(F.expr(f"map({', '.join(quoted)})"), name)
+    """Characters of a named reference; null for a name that the standard does not have."""
+    key = F.concat(F.lit("\x01"), name, F.lit(";\x02"))
+    after = F.call_function("substring_index", F.lit(_NAMES), key, F.lit(-1))
+    return F.when(F.contains(F.lit(_NAMES), key), F.substring_index(after, "\x01", 1))
 
 
 def _numbered(ref: Column) -> Column:
     """Character of ``#123`` or ``#x7b``; null for a number that names none."""
-    code = (
-        F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10))
-        .otherwise(F.substring(ref, 2, 7))
-        .cast("int")
+    hexadecimal = ref.rlike("^#[xX]")
+    digits = F.regexp_replace(F.regexp_replace(ref, "^#[xX]?", ""), "^0+", "")
+    code = F.when(
+        F.length(digits) <= 7,
+        F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int"),
     )
+    old = F.create_map(*[F.lit(x) for pair in WINDOWS_1252.items() for x in pair])
     usable = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    return F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    char = F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    return F.when(code.between(128, 159), F.coalesce(F.try_element_at(old, code), char)).otherwise(char)
 
 
 def _decode_piece(piece: Column) -> Column:
     """Text after an ampersand, with the reference it starts with."""
-    ref = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{2,8});", 1)
+    ref = F.regexp_extract(piece, "^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);", 1)
     char = F.when(F.startswith(ref, F.lit("#")), _numbered(ref)).otherwise(_named(ref))
     rest = F.substring(piece, F.length(ref) + 2, F.length(piece))
     return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))

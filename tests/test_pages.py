@@ -25,6 +25,9 @@ def test_entities(spark):
         "&# 5; &#xZZ; &#0;": "&# 5; &#xZZ; &#0;",
         "&unknown; &": "&unknown; &",
         "": "",
+        "caf&eacute; &Alpha;&frac12;&thinsp;&rarr;": "café Α½\u2009→",
+        "&#150;&#x80;&#x0000041;&NotEqualTilde;": "–€A≂̸",
+        "&#99999999999; &#x110000;": "&#99999999999; &#x110000;",
     }
     assert evaluate(
         spark, [(k,) for k in cases], "t string", X.decode_entities(F.col("t"))
@@ -42,6 +45,12 @@ def test_main_text(spark):
         "plain  text": "plain text",
         "<body><p class='admin'>kept</p><p class='ad big'>gone</p></body>": "kept",
         "": "",
+        "<article>Lead</article><p>x</p><ARTICLE><p>More</p></article >": "Lead\nMore",
+        "<article>A<article>B</article>C</article><p>out</p>": "ABC",
+        "<article><p>T</p><div class='comments'><div><p>A says</p></div><div>B says</div></div><p>U</p></article>": "T\nU",
+        "<main><p>M</p><ul><li class=comment>no</li><li class='comment'>c<ul><li>d</li></ul></li></ul></main>": "M\nno",
+        "<main><p>M</p><article class='comment'>not this</article></main>": "M",
+        "<main><p>M</p><div class='ad'>never closed</main>": "M\nnever closed",
     }
     assert evaluate(
         spark, [(k,) for k in cases], "h string", H.main_text(F.col("h"))
@@ -86,10 +95,11 @@ def test_fallback_drops_short_and_code_like_nodes(spark):
         "<p>functional lines are long enough to stay</p></article>"
         "<div class='x post-body'><span>twenty characters of text</span></div>"
         "<div class='post-bodyguard'><span>not part of the content</span></div>"
+        "<td class='main-content'><b>a cell with text in the content</b></td>"
     )
     assert evaluate(spark, [(page,)], "h string", H.fallback_text(F.col("h"))) == [
         "Μια αρκετά μεγάλη παράγραφος κειμένου\n\n"
-        "functional lines are long enough to stay\n\ntwenty characters of text"
+        "functional lines are long enough to stay\n\ntwenty characters of text\n\na cell with text in the content"
     ]
 
 
