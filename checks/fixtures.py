@@ -58,6 +58,14 @@ FIXTURES = {
                                  ELSE '' END) AS head
               FROM {pages}) AS marked
     """,
+    "fx_linked": """
+        SELECT page_id, url,
+               CASE WHEN page_id % 2 = 0
+                    THEN replace(html, '</article>',
+                                 concat('<p>Seen <a href="', url, '">here</a></p></article>'))
+                    ELSE html END AS html
+        FROM {fx_pages}
+    """,
     "fx_src_sites": """
         SELECT CAST(substr(source, 4) AS BIGINT) + 1 AS site_id,
                concat(CASE WHEN substr(source, 4) = '2' THEN 'www.' ELSE '' END,

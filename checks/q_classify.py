@@ -150,3 +150,76 @@ def k6(spark, sf):
     path = scratch_path(spark, "model")
     save_model(spark, C.fit_forest(train, SETTINGS), path)
     return C.predict(load_model(spark, path), items).select("url", "predicted_label")
+
+
+_SMALL = C.ForestSettings(num_trees=10, max_depth=6)
+
+
+@query(
+    "m1_input_checks",
+    """SELECT doc_id, CASE WHEN doc_id % 7 = 0 OR label IS NULL THEN 'missing_label'
+                           WHEN doc_id % 11 = 0 THEN 'missing_url' ELSE '' END AS reject_reason
+       FROM fx_labelled""",
+)
+def m1(spark, sf):
+    """Training rows with the reason why they cannot be used as they are."""
+    doc = F.col("doc_id")
+    gaps = fixture(spark, sf, "fx_labelled").withColumns(
+        {
+            "label": F.when(doc % 7 != 0, F.col("label")),
+            "url": F.when(doc % 11 != 0, F.col("url")),
+        }
+    )
+    checked = C.check_rows(gaps)
+    return checked.select("doc_id", F.coalesce("reject_reason", F.lit("")).alias("reject_reason"))
+
+
+_FEATURE_ROWS = ", ".join(
+    f"('{name}')"
+    for name in [
+        "url_length", "url_depth", "title_length", "text_length", "text_density", "has_date_pattern_in_url",
+        "xpath_depth", "xpath_contains_article", "xpath_contains_main_content", "xpath_contains_story", "is_article_in_category",
+    ]
+)
+
+
+@query(
+    "m6_forest_weights",
+    f"SELECT feature, 1.0::DOUBLE AS total, true AS usable FROM (VALUES {_FEATURE_ROWS}) AS f(feature)",
+)
+def m6_weights(spark, sf):
+    """The forest weighs every feature of the list, none below zero, one in total."""
+    train, _ = C.split_rows(C.fill_missing_features(C.check_training_rows(labelled(spark, sf))))
+    weights = C.fit_forest(train, _SMALL).stages[2].featureImportances.toArray()
+    rows = [(f, round(float(weights.sum()), 6), bool(0 <= w <= 1)) for f, w in zip(C.FEATURES, weights)]
+    return spark.createDataFrame(rows, "feature string, total double, usable boolean")
+
+
+_CLASS = "CASE doc_id % 3 WHEN 0 THEN 'article' WHEN 1 THEN 'category' ELSE 'other' END"
+
+
+def _separable(spark: SparkSession, sf: str) -> DataFrame:
+    """Items whose class can be read off one feature."""
+    items = labelled(spark, sf).withColumn("label", F.expr(_CLASS))
+    size = F.when(F.col("label") == "article", 3000).when(F.col("label") == "category", 300).otherwise(20)
+    return items.withColumn("text_length", size).withColumn("text_density", size.cast("double"))
+
+
+@query("m9_separable_labels", f"SELECT url, {_CLASS} AS predicted_label FROM fx_labelled")
+def m9_separable(spark, sf):
+    """Labels of all items by a forest fitted on three quarters of a table that can be told apart."""
+    items = _separable(spark, sf)
+    train, _ = C.split_rows(items)
+    return C.predict(C.fit_forest(train, _SMALL), items).select("url", "predicted_label")
+
+
+@query("k6_same_labels", "SELECT url, true AS same FROM fx_labelled")
+def k6_same(spark, sf):
+    """A saved and reloaded model gives each item the label that it gave before."""
+    items = labelled(spark, sf)
+    train, _ = C.split_rows(C.fill_missing_features(C.check_training_rows(items)))
+    model, path = C.fit_forest(train, _SMALL), scratch_path(spark, "model")
+    save_model(spark, model, path)
+    first = C.predict(model, items).withColumnRenamed("predicted_label", "first_label")
+    both = C.predict(load_model(spark, path), first)
+    return both.select("url", (F.col("predicted_label") == F.col("first_label")).alias("same"))

@@ -15,6 +15,19 @@ FEATURES = [
     "is_article_in_category",
 ]
 
+# A date in the path of a URL.
+DATE_PATH = r"(?U)/\d{4}/\d{2}/\d{2}/"
+
+# Characters of text and of title that an article has more than.
+ARTICLE_TEXT_CHARS, ARTICLE_TITLE_CHARS = 150, 10
+
+# Least characters of a text node of the fallback, and what makes it look like code.
+FALLBACK_NODE_CHARS = 20
+CODE_LIKE = r"(?isU)[{};]|\b(?:var|function|script)\b"
+
+# Name of the total row of the reports.
+TOTAL = "TOTAL PIPELINE PERFORMANCE"
+
 # A line holding one of these phrases is boilerplate on every site.
 BOILERPLATE_PHRASES = ["Ακολουθήστε μας", "Follow us", "Διαβάστε ακόμη"]
 

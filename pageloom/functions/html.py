@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pageloom.fixed_values import CODE_LIKE, FALLBACK_NODE_CHARS
 from pageloom.functions.text import decode_entities, falsy_to_null, let, strip
 
 
@@ -29,7 +30,6 @@ _FALLBACK_REGIONS = (
     r"(?is)<(?:article\b[^>]*>.*?</article\s*>|"
     + r"""([a-z][a-z0-9]*)\b[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?(?:post-body|main-content)(?:\s[^"']*)?["'][^>]*>.*?</\1\s*>)"""
 )
-_CODE_LIKE = r"(?isU)[{};]|\b(?:var|function|script)\b"
 
 REGION_OR_ANCHOR = (
     r"(?is)<main\b[^>]*>.*?</main\s*>|<article\b[^>]*>.*?</article\s*>|<a\s[^>]*>"
@@ -158,7 +158,7 @@ def fallback_text(html: Column) -> Column:
     nodes = F.transform(
         F.split(F.array_join(regions, ""), _TAG), lambda n: strip(decode_entities(n))
     )
-    kept = F.filter(nodes, lambda n: (F.length(n) >= 20) & ~n.rlike(_CODE_LIKE))
+    kept = F.filter(nodes, lambda n: (F.length(n) >= FALLBACK_NODE_CHARS) & ~n.rlike(CODE_LIKE))
     return F.coalesce(F.array_join(kept, "\n\n"), F.lit(""))
 
 

@@ -3,13 +3,13 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pageloom.fixed_values import DATE_PATH
 from pageloom.functions.text import let
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 _ROOT = r"^((?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?#]*)"
 _BEFORE_QUERY = r"^([^?#]*)"
-_DATE_PATH = r"(?U)/\d{4}/\d{2}/\d{2}/"
 
 
 def netloc(url: Column) -> Column:
@@ -108,4 +108,4 @@ def canonical_url(url: Column) -> Column:
 
 
 def has_date_path(url: Column) -> Column:
-    return url.rlike(_DATE_PATH)
+    return url.rlike(DATE_PATH)

@@ -35,6 +35,12 @@ def check_training_rows(df: DataFrame) -> DataFrame:
     return require_columns(labelled, FEATURES)
 
 
+def check_rows(df: DataFrame) -> DataFrame:
+    """Add ``reject_reason``: no label, or no URL, by which rows are split."""
+    reason = F.when(F.col("label").isNull(), "missing_label").when(F.col("url").isNull(), "missing_url")
+    return df.withColumn("reject_reason", reason)
+
+
 def labelled_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("label").isNotNull())
 

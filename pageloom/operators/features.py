@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.fixed_values import FEATURES
+from pageloom.fixed_values import ARTICLE_TEXT_CHARS, ARTICLE_TITLE_CHARS, FEATURES
 from pageloom.functions import urls as U
 from pageloom.functions.text import count_of
 from pageloom.schemas import PAGE_ITEMS, conform
@@ -41,8 +41,8 @@ def add_rule_label(df: DataFrame) -> DataFrame:
     """``is_article_in_category``: a long titled text that is *not* behind a category link."""
     rule = (
         ~F.coalesce(F.col("is_category_link"), F.lit(False))
-        & (F.col("text_length") > 150)
-        & (F.col("title_length") > 10)
+        & (F.col("text_length") > ARTICLE_TEXT_CHARS)
+        & (F.col("title_length") > ARTICLE_TITLE_CHARS)
     )
     return df.withColumn("is_article_in_category", rule)
 

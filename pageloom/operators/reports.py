@@ -4,10 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pageloom.fixed_values import STATUS_IMPACT
+from pageloom.fixed_values import STATUS_IMPACT, TOTAL
 from pageloom.schemas import RUN_STATS, conform
 
-TOTAL = "TOTAL PIPELINE PERFORMANCE"
 
 
 def pages_per_site(sites: DataFrame, items: DataFrame) -> DataFrame:

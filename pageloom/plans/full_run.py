@@ -21,6 +21,7 @@ from pageloom.sources.registry import read_sites
 class RunResult:
     sites: DataFrame
     frontier: DataFrame
+    items: DataFrame
     changes: DataFrame
     stats: DataFrame
     summary: DataFrame
@@ -72,6 +73,7 @@ def run(
     return RunResult(
         sites=read_sites(spark, f"{out}/sites"),
         frontier=links,
+        items=stored,
         changes=changes,
         stats=stats,
         summary=reports.run_summary(stats),

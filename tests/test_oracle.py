@@ -40,6 +40,7 @@ def test_query(spark, duck, name):
 
 
 def test_only_models_lack_sql():
+    """Fit, scores and reload as such; their checkable facts are queries of their own."""
     assert set(QUERIES) - set(ORACLE) == {"m6_fit_forest", "m9_predict_labels", "k6_model_round_trip"}
 
 
