@@ -58,8 +58,15 @@ def attribute(tag: Column, name: str) -> Column:
 
 def _region(html: Column, tag: str) -> Column:
     """Content of the first element of a kind; null without a closing tag or without content."""
-    after = F.get(F.split(html, rf"(?i)<{tag}\b[^>]*>", 2), F.lit(1))
-    closed = F.split(after, rf"(?i)</{tag}\s*>", 2)
+    return _until_closed(_after_opening(html, tag), tag)
+
+
+def _after_opening(html: Column, tag: str) -> Column:
+    return F.get(F.split(html, rf"(?i)<{tag}\b[^>]*>", 2), F.lit(1))
+
+
+def _until_closed(rest: Column, tag: str) -> Column:
+    closed = F.split(rest, rf"(?i)</{tag}\s*>", 2)
     return let(closed, lambda parts: F.when(F.size(parts) == 2, falsy_to_null(parts[0])))
 
 
@@ -92,8 +99,10 @@ def _regions(html: Column, tag: str) -> Column:
 
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept"))
     every = F.aggregate(_pieces(html, tag), start, step, lambda state: falsy_to_null(state["kept"]))
-    many = F.regexp_count(html, F.lit(rf"(?i)<{tag}\b")) > 1
-    return F.when(many, every).otherwise(_region(html, tag))
+    return let(
+        _after_opening(html, tag),
+        lambda rest: F.when(rest.rlike(rf"(?i)<{tag}\b"), every).otherwise(_until_closed(rest, tag)),
+    )
 
 
 def _without_side(html: Column, tag: str) -> Column:
@@ -116,14 +125,25 @@ def _without_side(html: Column, tag: str) -> Column:
 
 
 def without_side_blocks(html: Column) -> Column:
+    """The markup without advertisements and comments.
+
+    Elements that hold no other one of their kind go first, by one expression; what is left then, if
+    anything, is nested and needs counting.
+    """
     any_tag = rf"(?is)<(?:{'|'.join(_SIDE_TAGS)}){_SIDE_CLASS}"
+    flat = "|".join(
+        rf"{t}{_SIDE_CLASS}[^<]*+(?:<(?!/?{t}\b)[^<]*+)*+</{t}\s*>" for t in _SIDE_TAGS
+    )
 
     def all_tags(markup: Column, tags: list[str]) -> Column:
         if not tags:
             return markup
         return let(_without_side(markup, tags[0]), lambda rest: all_tags(rest, tags[1:]))
 
-    return let(html, lambda h: F.when(h.rlike(any_tag), all_tags(h, _SIDE_TAGS)).otherwise(h))
+    return let(
+        F.regexp_replace(html, f"(?is)<(?:{flat})", ""),
+        lambda h: F.when(h.rlike(any_tag), all_tags(h, _SIDE_TAGS)).otherwise(h),
+    )
 
 
 def text_region(html: Column) -> Column:

@@ -16,6 +16,8 @@ WHITESPACE = (
 WINDOWS_1252 = {
     n: bytes([n]).decode("cp1252", "replace") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)
 }
+#: Names looked up first; all others follow.
+COMMON_NAMES = ["amp", "lt", "gt", "quot", "apos", "nbsp", "copy", "middot", "laquo", "raquo", "ndash", "mdash", "hellip"]
 #: All named references of the HTML standard in one text: mark, name, mark, characters.
 _NAMES = "".join(f"\x01{name}\x02{chars}" for name, chars in html5.items() if name.endswith(";")) + "\x01"
 
@@ -58,7 +60,9 @@ def _named(name: Column) -> Column:
     """Characters of a named reference; null for a name that the standard does not have."""
     key = F.concat(F.lit("\x01"), name, F.lit(";\x02"))
     after = F.call_function("substring_index", F.lit(_NAMES), key, F.lit(-1))
-    return F.when(F.contains(F.lit(_NAMES), key), F.substring_index(after, "\x01", 1))
+    rare = F.when(F.contains(F.lit(_NAMES), key), F.substring_index(after, "\x01", 1))
+    common = F.create_map(*[F.lit(x) for n in COMMON_NAMES for x in (n, html5[f"{n};"])])
+    return F.coalesce(F.try_element_at(common, name), rare)
 
 
 def _numbered(ref: Column) -> Column:
