@@ -41,6 +41,8 @@ SHARD_RECORDS = 8192
 BLOCK = 1024
 DEALT_BYTES = 24 << 20
 ROUNDS = 6
+#: Compression of token blocks on their way to the shards.
+PACK_LEVEL = 9
 
 _BLOCKS = "part int, first long, n int, valid array<int>, docs array<array<long>>, blob binary"
 _DEALT = "shard int, slots array<long>, valid array<int>, docs array<array<long>>, blob binary"
@@ -98,7 +100,7 @@ def sequences(df: DataFrame, rank_file: str, pattern: str, id_col: str, text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoding_of(sent.value, pattern).encode_ordinary, TaskContext.get().partitionId()
         end = len(encoding_of(sent.value, pattern)._mergeable_ranks)
-        packer = zstandard.ZstdCompressor(level=3)
+        packer = zstandard.ZstdCompressor(level=PACK_LEVEL)
         tokens, owners, first = np.zeros(0, np.uint16), [], 0  # owners: (where a text begins, its id)
 
         def block(n: int) -> pa.RecordBatch:
@@ -160,7 +162,7 @@ def write_shards(
     order, stride = Permutation(total, key), 2 * length
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, waiting, size = zstandard.ZstdCompressor(level=3), {}, 0
+        packer, waiting, size = zstandard.ZstdCompressor(level=PACK_LEVEL), {}, 0
         for batch in batches:
             for row in batch.to_pylist():
                 content = zstandard.ZstdDecompressor().decompress(row["blob"])
