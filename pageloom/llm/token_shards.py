@@ -36,10 +36,10 @@ from xxhash import xxh64_intdigest
 from pageloom.llm.shared import shared_path, steps, stored, text_of
 
 SEQUENCE = 1024
-SHARD_RECORDS = 8192
+SHARD_RECORDS = 4096
 #: Sequences in a stored block, and bytes that a task collects before it deals them out.
 BLOCK = 1024
-DEALT_BYTES = 24 << 20
+DEALT_BYTES = 12 << 20
 ROUNDS = 6
 #: Compression of token blocks on their way to the shards.
 PACK_LEVEL = 9
@@ -190,7 +190,7 @@ def write_shards(
                     placed[at] = row["valid"][i], row["docs"][i]
         if len(placed) != records:
             raise RuntimeError(f"shard {shard} has {len(placed)} of {records} records")
-        _put(root, f"shard-{shard:08d}.bin", bytes(content))
+        _put(root, f"shard-{shard:08d}.bin", content)
         valid, docs = zip(*(placed[at] for at in range(records)))
         digests = [hashlib.sha256(content[i * stride : (i + 1) * stride]).hexdigest() for i in range(records)]
         columns = [shard * shard_records + np.arange(records), np.full(records, shard, np.int32), np.arange(records) * stride]
@@ -211,7 +211,7 @@ def _dealt(waiting: dict[int, list[tuple]], packer: zstandard.ZstdCompressor) ->
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "slots", "valid", "docs", "blob"])
 
 
-def _put(root: str, name: str, content: bytes) -> None:
+def _put(root: str, name: str, content: bytearray) -> None:
     """Writes a file so that it has its name only when it is complete."""
     system, folder = fs.FileSystem.from_uri(root)
     system.create_dir(folder, recursive=True)
