@@ -37,7 +37,7 @@ class TextEncoder:
 
     def _chunk(self, chunk: str) -> bytes:
         special = self.model.special.get(chunk)
-        return array("i", self.words.encode_chunk(chunk) if special is None else [special]).tobytes()
+        return self.words.encode_chunk(chunk) if special is None else array("i", [special]).tobytes()
 
     def _cut(self, text: str) -> list[str]:
         parts = self.model.with_special(text)

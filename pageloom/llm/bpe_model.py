@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 
 import ahocorasick
 import regex
@@ -211,7 +212,7 @@ class PrefixEncoder:
             self.length[token] = len(text)
             self.automaton.add_word(text, (token, len(text)))
         self.automaton.make_automaton()
-        self.words = Memo(self.encode_word, 80_000)
+        self.words = Memo(lambda piece: array("i", self.encode_word(piece)).tobytes(), 80_000)
 
     def encode_word(self, piece: str) -> list[int]:
         """Token ids of one pre-token."""
@@ -229,11 +230,9 @@ class PrefixEncoder:
         ids.reverse()
         return ids
 
-    def encode_chunk(self, chunk: str) -> list[int]:
-        words, pieces = self.words, self.model.pretokens(chunk)
-        if len(pieces) == 1:
-            return words[pieces[0]]
-        return [i for piece in pieces for i in words[piece]]
+    def encode_chunk(self, chunk: str) -> bytes:
+        """Token ids of a stretch of text, as int32 in bytes."""
+        return b"".join([self.words[piece] for piece in self.model.pretokens(chunk)])
 
     def trim(self) -> None:
         self.words.trim()

@@ -114,7 +114,7 @@ class ItemIndex:
         for words in self.words:
             for word in words:
                 numbers.setdefault(word, len(numbers) + 1)
-        self.number = Memo(lambda chunk: numbers.get(w, 0) if (w := word_of(chunk)) else -1, 100_000)
+        self.number = Memo(lambda chunk: numbers.get(w, 0) if (w := word_of(chunk)) else -1, 30_000)
         by_size: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
         for item, words in enumerate(self.words):
             size = min(self.size, len(words))

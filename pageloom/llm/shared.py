@@ -68,6 +68,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBat
         rows = max(1, min(STEP_ROWS, STEP_BYTES // per_row))
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()
 
 
 class Memo(dict):
