@@ -1,13 +1,15 @@
 """Op 5: toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text. Both follow a common base trained on
-ordinary text, so that they differ in what is typical of their class only. A text is cut into windows of a few
-words. The gain of a window is its compressed length with the ordinary dictionary less that with the toxic one.
-Labelled texts that the dictionaries have not seen calibrate what each gain is worth (the logarithm of how much more
-often toxic windows reach it), and a logistic function of a text's windows gives its score; 0.5 is the threshold.
+A pair of zstandard dictionaries is trained, one on toxic and one on ordinary text; their size follows the sample. Both
+follow a common base trained on ordinary text, so that they differ in what is typical of their class only. A text is
+cut into windows of a few words. The gain of a window is its compressed length with the ordinary dictionary less that
+with the toxic one. Labelled texts that the dictionaries have not seen calibrate what each gain is worth (the logarithm
+of how much more often toxic windows reach it), and a logistic function of a text's windows gives its score; 0.5 is the
+threshold.
 
-The dictionaries are trained in rounds. Windows of toxic texts in which a first dictionary, trained on other toxic
-texts, finds a gain are searched for the words that make the gain. The final dictionaries hold those that are telling.
+A second pair holds selected words and is made in rounds. Windows of toxic texts in which a first dictionary, trained on
+other toxic texts, finds a gain are searched for the words that make the gain; those that are telling are kept. It finds
+a small vocabulary of toxic words, and the trained pair a rich one. The logistic function weighs the gains of both.
 
 All windows of every text are scored. Only the fit is bounded: SAMPLE_ROWS labelled rows of each class, chosen by a hash
 of the id, and SAMPLE_WINDOWS windows of each, chosen by a hash of the window. Rows without a label, or with a null
@@ -37,7 +39,9 @@ SAMPLE_ROWS = 3000
 SAMPLE_WINDOWS = 150
 WINDOW_WORDS = 12
 LONGEST_WORD = 64
-BASE_BYTES, FIRST_BYTES, FINAL_BYTES = 64 << 10, 2048, 1536
+BASE_BYTES, FIRST_BYTES, LIST_BYTES = 64 << 10, 2048, 1536
+#: The trained pair has this part of the bytes of the smaller class's sample.
+TRAINED_PART = 3
 #: Gain of the windows that are searched for the words which make it, and what a word must add.
 SEARCHED_GAIN, WORD_GAIN = 2, 2
 #: Gains are told apart between these limits; a strong one is at least the last.
@@ -56,10 +60,13 @@ def windows(text: bytes) -> list[bytes]:
     return [b" " + b" ".join(words[i : i + WINDOW_WORDS]) + b" " for i in range(0, len(words), WINDOW_WORDS)]
 
 
-def train(samples: list[bytes], size: int) -> bytes:
-    """Content of a dictionary trained on the samples; the samples' end if they are too few to train on."""
+def train(samples: list[bytes], size: int, times: int = 4) -> bytes:
+    """Content of a dictionary trained on the samples; the samples' end if they are too few to train on.
+
+    They are if they have no more than ``times`` its bytes.
+    """
     joined = b"".join(samples)
-    if len(joined) > 4 * size and len(samples) >= 16:
+    if len(joined) > times * size and len(samples) >= 16:
         try:
             return zstandard.train_dictionary(size, samples).as_bytes()
         except zstandard.ZstdError:
@@ -87,24 +94,31 @@ class Compressors:
 
 @dataclass
 class Model:
-    """Dictionaries, worth of each gain, and weights. ``base`` is empty where nothing could be learned."""
+    """Pairs of dictionaries (toxic, ordinary), worth of each gain by pair, and weights.
+
+    There is no pair where nothing could be learned.
+    """
 
     base: bytes
-    toxic: bytes
-    ordinary: bytes
-    worth: list[float]
+    pairs: list[tuple[bytes, bytes]]
+    worth: list[list[float]]
     weights: list[float]
 
-    def scores(self, gains: list[np.ndarray]) -> np.ndarray:
-        """Scores of texts, from the gains of their windows."""
-        return _chance(_features(gains, np.array(self.worth)) @ np.array(self.weights))
+    def scores(self, gains: list[list[np.ndarray]]) -> np.ndarray:
+        """Scores of texts, from the gains of their windows with each pair."""
+        return _chance(_features_of_pairs(gains, self.worth) @ np.array(self.weights))
 
     def scorer(self) -> Callable[[list[bytes]], np.ndarray]:
         """A function from texts to scores; it holds the compressors."""
-        if not self.base:
-            return lambda texts: self.scores([np.zeros(0, np.int64)] * len(texts))
-        compressors = Compressors(self.base, self.toxic, self.ordinary)
-        return lambda texts: self.scores([compressors.gains(windows(t)) for t in texts])
+        if not self.pairs:
+            return lambda texts: np.full(len(texts), _chance(np.array(self.weights[0])))
+        compressors = [Compressors(self.base, *pair) for pair in self.pairs]
+
+        def scores(texts: list[bytes]) -> np.ndarray:
+            parts = list(map(windows, texts))
+            return self.scores([list(map(c.gains, parts)) for c in compressors])
+
+        return scores
 
 
 def _features(gains: list[np.ndarray], worth: np.ndarray) -> np.ndarray:
@@ -117,6 +131,12 @@ def _features(gains: list[np.ndarray], worth: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(gains)), total / np.sqrt(counts + 1), np.log1p(counts), total / some, np.log1p(strong), np.sqrt(strong / some)], axis=1)
 
 
+def _features_of_pairs(gains: list[list[np.ndarray]], worth: list[list[float]]) -> np.ndarray:
+    """The features of each pair side by side; the constant and the number of windows once."""
+    first, *others = (_features(g, np.array(w)) for g, w in zip(gains, worth))
+    return np.hstack([first, *(np.delete(x, [0, 2], axis=1) for x in others)])
+
+
 def _chance(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -143,7 +163,7 @@ def fit(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Model:
     """A model from the windows of labelled texts. The last two fifths of each class calibrate it."""
     prior = (len(toxic) + 1) / (len(toxic) + len(ordinary) + 2)
     if len(toxic) < 5 or len(ordinary) < 5:
-        return Model(b"", b"", b"", [0.0] * (MOST_GAIN - LEAST_GAIN + 1), [float(np.log(prior / (1 - prior)))] + [0.0] * 5)
+        return Model(b"", [], [], [float(np.log(prior / (1 - prior)))])
     cut_t, cut_o = 3 * len(toxic) // 5, 3 * len(ordinary) // 5
     halves_t = [toxic[i:cut_t:2] for i in (0, 1)]
     halves_o = [ordinary[i:cut_o:2] for i in (0, 1)]
@@ -160,7 +180,16 @@ def fit(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Model:
     for _ in range(ROUNDS):  # what was found makes sharper dictionaries, which find more of it
         sharper = Compressors(base, *_dictionaries(stems, common))
         stems = _told_apart(set(_words_with_gain(sharper, toxic[:cut_t])) | set(stems), words_t, words_o)
-    return _calibrated(base, *_dictionaries(stems, common), toxic[cut_t:], ordinary[cut_o:])
+    pairs = [_dictionaries(stems, common), _trained(toxic[:cut_t], ordinary[:cut_o])]
+    return _calibrated(base, pairs, toxic[cut_t:], ordinary[cut_o:])
+
+
+def _trained(*classes: list[list[bytes]]) -> tuple[bytes, bytes]:
+    """A dictionary of each class, trained on all windows. Copies of a window count once."""
+    samples = [list(dict.fromkeys(w for d in docs for w in d)) for docs in classes]
+    size = max(8, min(sum(map(len, s)) for s in samples) // TRAINED_PART)
+    toxic, ordinary = (train(s, size, TRAINED_PART - 1) for s in samples)
+    return toxic, ordinary
 
 
 def _new_words(docs: list[list[bytes]]) -> list[set[bytes]]:
@@ -186,7 +215,7 @@ def _told_apart(words: set[bytes], toxic: list[set[bytes]], ordinary: list[set[b
 
 
 def _dictionaries(stems: Counter, typical: Counter) -> tuple[bytes, bytes]:
-    toxic = _from_words(stems, FINAL_BYTES)
+    toxic = _from_words(stems, LIST_BYTES)
     return toxic, _from_words(typical, max(8, len(toxic)))
 
 
@@ -196,18 +225,25 @@ def _from_words(words: Counter, size: int) -> bytes:
     return b"".join(b" " + w for w, _ in ordered)[-size:]
 
 
-def _calibrated(base: bytes, toxic: bytes, ordinary: bytes, toxic_docs: list[list[bytes]], ordinary_docs: list[list[bytes]]) -> Model:
-    compressors = Compressors(base, toxic, ordinary)
-    gains = [[compressors.gains(d) for d in docs] for docs in (toxic_docs, ordinary_docs)]
+def _calibrated(base: bytes, pairs: list[tuple[bytes, bytes]], toxic_docs: list[list[bytes]], ordinary_docs: list[list[bytes]]) -> Model:
+    gains, worth = [], []
+    for pair in pairs:
+        compressors = Compressors(base, *pair)
+        each = [[compressors.gains(d) for d in docs] for docs in (toxic_docs, ordinary_docs)]
+        gains.append(each[0] + each[1])
+        worth.append(_worth(*each).tolist())
+    label = np.array([1.0] * len(toxic_docs) + [0.0] * len(ordinary_docs))
+    return Model(base, pairs, worth, _logistic(_features_of_pairs(gains, worth), label).tolist())
+
+
+def _worth(*classes: list[np.ndarray]) -> np.ndarray:
+    """The logarithm of how much more often windows of the first class have each gain."""
     shares = []
-    for each in gains:
+    for each in classes:
         flat = np.clip(np.concatenate([np.zeros(0, np.int64), *each]), LEAST_GAIN, MOST_GAIN) - LEAST_GAIN
         seen = 1 + np.bincount(flat, minlength=MOST_GAIN - LEAST_GAIN + 1)
         shares.append(seen / seen.sum())
-    worth = np.log(shares[0] / shares[1])
-    label = np.array([1.0] * len(toxic_docs) + [0.0] * len(ordinary_docs))
-    weights = _logistic(_features(gains[0] + gains[1], worth), label)
-    return Model(base, toxic, ordinary, worth.tolist(), weights.tolist())
+    return np.log(shares[0] / shares[1])
 
 
 def _logistic(x: np.ndarray, label: np.ndarray, ridge: float = 0.05) -> np.ndarray:

@@ -34,6 +34,25 @@ def test_toxicity_held_out(spark):
     assert left == toxicity.score(docs, model).where("predicted = 0").count()
 
 
+def test_toxicity_of_many_words():
+    """No toxic word is in more than a few toxic texts, and some are in ordinary ones."""
+    rnd = random.Random(7)
+    common, bad = ([_prose(rnd, 1) + _prose(rnd, 1) for _ in range(n)] for n in (3000, 300))
+    texts = []
+    for i in range(4000):
+        words = rnd.choices(common, k=80)
+        for _ in range(4 if i % 4 == 0 else i % 10 == 1):
+            words[rnd.randrange(80)] = rnd.choice(bad)
+        texts.append(" ".join(words).encode())
+    taught = [[toxicity.windows(t) for t in texts[k:3200:4]] for k in range(4)]
+    scorer = toxicity.fit(taught[0], taught[1] + taught[2] + taught[3]).scorer()
+    scores = scorer(texts[3200:])
+    toxic = scores[::4]
+    ordinary = [s for i, s in enumerate(scores) if i % 4]
+    above = sum(a > b for a in toxic for b in ordinary) / (len(toxic) * len(ordinary))
+    assert above > 0.85
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (None, 1), (3, None)], "doc_id long, toxic int")
     model = toxicity.fit_on(odd, labels)
