@@ -13,7 +13,7 @@ a small vocabulary of toxic words, and the trained pair a rich one. The logistic
 
 All windows of every text are scored. Only the fit is bounded: SAMPLE_ROWS labelled rows of each class, chosen by a hash
 of the id, and SAMPLE_WINDOWS windows of each, chosen by a hash of the window. Rows without a label, or with a null
-one, take no part in it; of repeated labels the largest counts.
+one, take no part in it; of repeated labels the largest counts, of repeated ids the text with the least hash.
 
 Null texts count as empty. A text without windows has the score of no evidence. Repeated rows get equal scores. With no
 labelled rows of one class, every score is the share of toxic rows (one half if there are none at all).
@@ -273,6 +273,7 @@ def fit_on(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
     one, other = (chosen.where(c).orderBy(*order).limit(SAMPLE_ROWS) for c in ("_label = 1", "_label <> 1"))
     sample = F.broadcast(one.unionByName(other))  # at most twice SAMPLE_ROWS rows
     texts = df.select(F.col(id_col).alias("_id"), F.encode(text_of(text_col), "UTF-8").alias("text")).join(sample, "_id")
+    texts = texts.groupBy("_id", "_label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # combines on the map side
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):

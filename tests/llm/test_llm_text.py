@@ -53,6 +53,18 @@ def test_toxicity_of_many_words():
     assert above > 0.85
 
 
+def test_toxicity_sample_has_a_row_per_id(spark, monkeypatch):
+    rows = [(i % 7, f"text {i} of {i % 7}") for i in range(300)] + [(3, f"copy {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 7)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "fit", lambda *classes: classes)
+    taught = labels.where(~toxicity.held_out())
+    toxic, ordinary = toxicity.fit_on(docs, labels)
+    assert len(toxic) == taught.where("toxic = 1").count() > 0
+    assert len(ordinary) == taught.where("toxic = 0").count() > 0
+    assert (toxic, ordinary) == toxicity.fit_on(docs.orderBy("text"), labels)
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (None, 1), (3, None)], "doc_id long, toxic int")
     model = toxicity.fit_on(odd, labels)
