@@ -44,10 +44,10 @@ def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Document ids with their token ids and number of tokens."""
+    """Document ids with their token ids, number of tokens, and digest of the text decoded from the ids."""
     let_workers_import(spark)
-    coded = bpe.encode(docs.select("doc_id", "text"), TOKENIZERS + "word_bpe_49k.json")
-    return coded.selectExpr("doc_id", "CAST(size(ids) AS BIGINT) AS n_tokens", "ids")
+    coded = bpe.encode(docs.select("doc_id", "text"), TOKENIZERS + "word_bpe_49k.json", decoded=True)
+    return coded.selectExpr("doc_id", "CAST(size(ids) AS BIGINT) AS n_tokens", "ids", "sha2(decoded, 256) AS decoded_sha256")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -1,6 +1,7 @@
 """The registered queries, and the pipeline against brute force."""
 
 import collections
+import hashlib
 import pathlib
 
 import duckdb
@@ -62,3 +63,11 @@ def test_stages_keep_the_columns(spark, sf_dir, odd, none):
             kept = stage(spark, docs, sf_dir)
             assert kept.columns == docs.columns and kept.count() <= docs.count()
         assert corpus_pipeline.encode(spark, docs, sf_dir).count() == docs.count()
+
+
+def test_last_stage_decodes(spark, sf_dir, documents, texts):
+    library = Tokenizer.from_file(queries.TOKENIZERS + "word_bpe_49k.json")
+    got = corpus_pipeline.encode(spark, documents, sf_dir).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(list(r.ids), skip_special_tokens=False).encode()).hexdigest()
