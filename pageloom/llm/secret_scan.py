@@ -28,7 +28,7 @@ KINDS = ["assign", "access", "hex", "opaque"]
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}(?![A-Za-z0-9+/_-])")
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}(?![A-Za-z0-9+/_-])")
 PLACEHOLDER = re.compile(r"(?i)example|sample|changeme|placeholder|dummy|x{4}|0{6}|1234|abcd")
 #: Owners from which on a value is a copied example, and bits per character from which on it looks random.
 EXAMPLE_OWNERS = 3

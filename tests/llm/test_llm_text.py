@@ -186,6 +186,13 @@ def test_secret_query(spark, sf_dir, texts):
         assert set(filter(None, line.split(","))) <= set(r.spans.split(","))
 
 
+def test_opaque_after_equals_sign():
+    value = "Qw3rTyU1oPaSdF9hJkLzXcVbN7mQw2Er"
+    for text in (f"AWS_SECRET_KEY={value}", f"see http://host/path?sig={value}&n=1", f"k: {value}", f'k="{value}=="'):
+        start = text.index(value)
+        assert secret_scan.opaque_spans(text, secret_scan.base_spans(text)) == [(start, 3, start + 32, value)]
+
+
 def test_ownership_tells_examples_from_live_secrets(spark, odd, none):
     live, copied, opaque = "9f8a7c6b5d4e3f2a1b0c9d8e", "5a4b3c2d1e0f9a8b7c6d5e4f", "Qw3rTyU1oPaSdF9hJkLzXcVbN7mQw2Er"
     rows = [(1, f"token={live} {opaque}", "ann/one"), (2, f"token={live}", "ann/two")]
