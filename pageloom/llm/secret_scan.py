@@ -2,8 +2,9 @@
 
 Candidates are found by pattern in every text. Their hashes are then counted over the corpus by distinct repositories
 and owners: a value that many owners have is an example that was copied around; a value of one owner that looks
-random is likely live. Candidates of the base patterns are always reported. Opaque strings (long, mixed letters and
-digits, without a telling name) are reported only if they look live and belong to one owner.
+random is likely live; one of more owners, but fewer than an example has, is shared. Owners alone decide, as one owner
+may use a secret in any number of repositories. Candidates of the base patterns are always reported. Opaque strings
+(long, mixed letters and digits, without a telling name) are reported if they look random and are no example.
 
 Offsets count code points; ends are exclusive. Null texts count as empty. A null repository or owner counts as one
 unknown one. Repeated rows give repeated results, and count once for ownership. An empty table gives an empty result.
@@ -100,19 +101,20 @@ def ownership(scanned: DataFrame) -> DataFrame:
 
 
 def classify(scanned: DataFrame) -> DataFrame:
-    """Adds to the scanned rows ``added`` (opaque spans that are reported), ``n_example`` and ``n_live``."""
+    """Adds to the scanned rows ``added`` (opaque spans that are reported), ``n_example``, ``n_live`` and ``n_shared``."""
     owned = stored(ownership(scanned), "secret-owners")
     spans = scanned.where(F.size("found") > 0).select("row", F.explode("found").alias("span"))
-    judged = spans.withColumn("secret", F.col("span.secret")).join(owned, "secret").select("row", "span", (F.col("n_owners") >= EXAMPLE_OWNERS).alias("example"), (F.expr("span.random") & (F.col("n_owners") == 1)).alias("live"))
+    judged = spans.withColumn("secret", F.col("span.secret")).join(owned, "secret").select("row", "span", (F.col("n_owners") >= EXAMPLE_OWNERS).alias("example"), (F.expr("span.random") & (F.col("n_owners") == 1)).alias("live"), (F.expr("span.random") & F.col("n_owners").between(2, EXAMPLE_OWNERS - 1)).alias("shared"))
     opaque = F.col("span.kind") == KINDS.index("opaque")
     by_row = judged.groupBy("row").agg(
-        F.collect_list(F.when(opaque & F.col("live"), F.col("span"))).alias("added"),
+        F.collect_list(F.when(opaque & (F.col("live") | F.col("shared")), F.col("span"))).alias("added"),
         F.sum((F.col("example") & ~opaque).cast("long")).alias("n_example"),
         F.sum(F.col("live").cast("long")).alias("n_live"),
+        F.sum(F.col("shared").cast("long")).alias("n_shared"),
     )
     none = F.array().cast(f"array<{_SPAN}>")
     return scanned.join(by_row, "row", "left").select(
-        "row", "doc_id", "repo", "owner", "found", F.coalesce("added", none).alias("added"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"), F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live")
+        "row", "doc_id", "repo", "owner", "found", F.coalesce("added", none).alias("added"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"), F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared")
     )
 
 

@@ -186,6 +186,14 @@ def test_secret_query(spark, sf_dir, texts):
         assert set(filter(None, line.split(","))) <= set(r.spans.split(","))
 
 
+def test_opaque_secret_of_two_owners_is_reported(spark):
+    value = "Qw3rTyU1oPaSdF9hJkLzXcVbN7mQw2Er"
+    for owners, wanted in ((1, (1, 0, 1)), (2, (0, 1, 1)), (3, (0, 0, 0))):
+        df = spark.createDataFrame([(i, f"k {value}", f"owner{i}/repo") for i in range(owners)], "doc_id long, text string, source string")
+        got = secret_scan.classify(secret_scan.scan(df)).collect()
+        assert [(r.n_live, r.n_shared, len(r.added)) for r in got] == [wanted] * owners
+
+
 def test_opaque_after_equals_sign():
     value = "Qw3rTyU1oPaSdF9hJkLzXcVbN7mQw2Er"
     for text in (f"AWS_SECRET_KEY={value}", f"see http://host/path?sig={value}&n=1", f"k: {value}", f'k="{value}=="'):
