@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, chat, decontam, exact_dedup, language_id, secret_scan, simhash, token_count, token_shards, toxicity
-from pageloom.llm.shared import let_workers_import
+from pageloom.llm import bpe, byte_bpe, chat, chat_repair, decontam, exact_dedup, language_id, periodic_runs, secret_scan, simhash, token_count, token_shards, toxicity
+from pageloom.llm.shared import let_workers_import, text_of
 
 #: Folder of the published tokenizer files; a parameter of the queries below.
 TOKENIZERS = public_tokenizers.path("")
@@ -109,6 +109,67 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(chats: DataFrame) -> DataFrame:
+    """Conversations with faults put in by the checksum of conversation and turn; null values count as one space."""
+    space = F.lit(" ")
+    rows = chats.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"))
+    named = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    fault = rows.withColumn("fault", F.crc32(named) % 20).where("fault <> 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    times = F.when(F.col("fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return fault.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    solved, turns = chat_repair.repair(damaged(chats))
+    found = solved.drop("edits").withColumnRenamed("conv_id", "known")
+    digests = chat_repair.digests(turns).withColumnRenamed("conv_id", "whose")
+    rows = chats.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("known")), "left").join(digests, F.col("conv_id").eqNullSafe(F.col("whose")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return rows.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by the checksum of the id, repeat some of their words up to the end."""
+    numbered = docs.select("doc_id", text_of("text").alias("text"), F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    parted = numbered.withColumn("words", F.when(F.col("h") % 10 == 0, split))
+    g, n = F.expr("h div 10"), F.size("words")
+    placed = parted.withColumns({"n": n, "g": g}).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = placed.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    made = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return period.select("doc_id", F.when(F.col("n") > 0, F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_runs(_table(spark, sf_dir, "documents")))
+    written = F.array_join(F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n"))), "")
+    best = found.withColumn("best", periodic_runs.longest_run())
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(written, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.encode(docs, TOKENIZERS + "byte_bpe_50k.tiktoken", public_tokenizers.PATTERN, outputs=("packed", "decoded"))
+    return coded.select(
+        "doc_id",
+        F.expr("octet_length(packed) div 4").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -122,6 +183,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_shards,
         op9_token_counts,
         op10_secret_scan,
+        op11_conversation_repair,
+        op12_periodic_runs,
+        op13_byte_bpe_round_trip,
     )
 }
 

@@ -16,7 +16,7 @@ from test_llm_near import _groups as exact_groups
 
 
 def test_registered():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_near_dedup", "decontamination", "bpe_encoding"]
 
