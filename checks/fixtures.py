@@ -66,6 +66,36 @@ FIXTURES = {
                     ELSE html END AS html
         FROM {fx_pages}
     """,
+    # Pages whose elements are nested, whose attributes hold brackets, and whose text is not all in one article.
+    "fx_nested": """
+        SELECT page_id, url,
+               CASE page_id % 6
+               WHEN 0 THEN concat(head, '<main><p>An introduction that stands before the articles, number ', page_id,
+                   '.</p><article>', body, '</article><div><a href="/mid/', page_id,
+                   '">Related reading</a></div><article><p>Second text.</p><article><p>A nested text that is long enough, ',
+                   page_id, '</p></article><a href="/in/', page_id,
+                   '">in</a></article><p>And some closing words after the last of the articles.</p></main><a href="/out/',
+                   page_id, '">out</a>', tail)
+               WHEN 1 THEN concat(head, '<div class="main-content wide"><div><p>The lead of page number ', page_id,
+                   '</p></div>', body, '<div class="x post-body"><p>Inner words of page number ', page_id,
+                   '</p></div><p>The tail of page number ', page_id, '</p></div>', tail)
+               WHEN 2 THEN concat(head, '<img src="/lead/', page_id,
+                   '.jpg"><figure><figure><figcaption>Caption</figcaption></figure><img alt="1 > 0" src="/fig/', page_id,
+                   '.jpg"></figure><article>', body, '</article>', tail)
+               WHEN 3 THEN concat(head, '<article data-x="a > b"><p title=''x > y < z''>T', page_id, '</p>', body,
+                   '<article>z</article><a title="more > less" href="/q/', page_id, '?z=1">q</a><img src="/art/', page_id,
+                   '.jpg"></article><a href="/after/', page_id, '">after</a>', tail)
+               WHEN 4 THEN concat(head, '<section><ul><li><a href="/l1/', page_id,
+                   '">First of many links</a></li><li><a href="/l2">Second of many links</a></li></ul>', body,
+                   '<p>Short.</p><p>A closing paragraph of page number ', page_id,
+                   ', long enough to count.</p><ul><li><a href="/l3">Third of the links</a></li></ul></section>', tail)
+               ELSE concat(head, '<main><section><main>', body, '</main><a href="/p/', page_id,
+                   '">p</a></section></main><a href="/r/', page_id, '">r</a>', tail) END AS html
+        FROM (SELECT page_id, url, split_part(html, '<article>', 1) AS head,
+                     split_part(split_part(html, '<article>', 2), '</article>', 1) AS body,
+                     split_part(html, '</article>', 2) AS tail
+              FROM {pages}) AS parts
+    """,
     "fx_src_sites": """
         SELECT CAST(substr(source, 4) AS BIGINT) + 1 AS site_id,
                concat(CASE WHEN substr(source, 4) = '2' THEN 'www.' ELSE '' END,

@@ -74,12 +74,26 @@ def decode(x: str) -> str:
     return x
 
 
-def visible(html: str) -> str:
+def visible(html: str, silent: str = "") -> str:
     return gsub(
-        html, r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+        html, r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>", silent
     )
 
 
+def plain(markup: str) -> str:
+    """Angle brackets in attribute values as character references."""
+    tokens = r"""(?s)</?[a-zA-Z](?:[^>=]|=\s*(?:"[^"]*"|'[^']*')?)*>|[^<]+|<"""
+    inner = "replace(replace(t[2:-2], '<', '&lt;'), '>', '&gt;')"
+    safe = f"CASE WHEN t[1] = '<' AND length(t) > 1 THEN '<' || {inner} || '>' ELSE t END"
+    return f"array_to_string(list_transform(regexp_extract_all({markup}, {text(tokens)}), lambda t: {safe}), '')"
+
+
+def region_text(region: str) -> str:
+    lines = gsub(region, r"(?i)<(?:/(?:p|h[1-6]|li|div)|p|br)\b[^>]*>", "\n")
+    flat = gsub(decode(gsub(lines, "<[^>]*>")), "[ \t\r\x0b\x0c\u00a0]+", " ")
+    return strip(gsub(flat, " ?\n[ \n]*", "\n"))
+
+
 def main_text(html: str) -> str:
     silent = ["script", "style", "nav", "footer", "aside", "form", "noscript", "iframe", "svg"]
     clean = gsub(
@@ -94,9 +108,7 @@ def main_text(html: str) -> str:
         + f", {clean})"
     )
     kept = gsub(region, r"""(?is)<div class="(?:ad|comments?)">.*?</div>""")
-    lines = gsub(kept, r"(?i)<(?:/(?:p|h[1-6]|li|div)|p|br)\b[^>]*>", "\n")
-    flat = gsub(decode(gsub(lines, "<[^>]*>")), "[ \t\r\x0b\x0c\u00a0]+", " ")
-    return strip(gsub(flat, " ?\n[ \n]*", "\n"))
+    return region_text(kept)
 
 
 def clean_lines(x: str) -> str:

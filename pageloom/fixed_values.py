@@ -25,6 +25,10 @@ ARTICLE_TEXT_CHARS, ARTICLE_TITLE_CHARS = 150, 10
 FALLBACK_NODE_CHARS = 20
 CODE_LIKE = r"(?isU)[{};]|\b(?:var|function|script)\b"
 
+# Characters that a block of text costs, what a character of a link counts against it, and what a block
+# in an article counts more than its characters.
+BLOCK_CHARS, LINK_WEIGHT, ARTICLE_BONUS = 30, 3, 200
+
 # Name of the total row of the reports.
 TOTAL = "TOTAL PIPELINE PERFORMANCE"
 

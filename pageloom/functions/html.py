@@ -3,22 +3,12 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pageloom.fixed_values import CODE_LIKE, FALLBACK_NODE_CHARS
+from pageloom.fixed_values import ARTICLE_BONUS, BLOCK_CHARS, CODE_LIKE, FALLBACK_NODE_CHARS, LINK_WEIGHT
+from pageloom.functions import tags as T
 from pageloom.functions.text import decode_entities, falsy_to_null, let, strip
 
-
-def _blocks(tags: list[str]) -> str:
-    return "|".join(rf"{t}\b[^>]*>.*?</{t}\s*>" for t in tags)
-
-
-_SILENT = r"(?is)<(?:!--.*?-->|" + _blocks(["script", "style"]) + ")"
-_NO_TEXT = (
-    r"(?is)<(?:!--.*?-->|"
-    + _blocks(
-        ["script", "style", "nav", "footer", "aside", "form", "noscript", "iframe", "svg"]
-    )
-    + ")"
-)
+_NO_TEXT_TAGS = ["nav", "footer", "aside", "form", "noscript", "iframe", "svg"]
+_NO_TEXT = "(?is)<(?:" + "|".join(rf"{t}\b[^>]*>.*?</{t}\s*>" for t in _NO_TEXT_TAGS) + ")"
 _SIDE_TAGS = ["div", "section", "article", "ul", "ol", "li", "p", "span"]
 _SIDE_CLASS = (
     r"""\b[^>]*\s(?:class|id)\s*=\s*["'](?:[^"']*\s)?(?:ad|comments?)(?:\s[^"']*)?["'][^>]*>"""
@@ -26,20 +16,21 @@ _SIDE_CLASS = (
 _LINE_ENDS = r"(?i)<(?:/(?:p|h[1-6]|li|div)|p|br)\b[^>]*>"
 _TAG = "<[^>]*>"
 _ATTRIBUTE = r"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-_FALLBACK_REGIONS = (
-    r"(?is)<(?:article\b[^>]*>.*?</article\s*>|"
-    + r"""([a-z][a-z0-9]*)\b[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?(?:post-body|main-content)(?:\s[^"']*)?["'][^>]*>.*?</\1\s*>)"""
+#: A tag of the class of a content container, in double, single or no quotes; class names keep their case.
+_CONTENT = "(?:post-body|main-content)"
+_CONTENT_TAG = (
+    r"(?s)<([a-zA-Z][a-zA-Z0-9-]*)\s(?:[^>]*\s)?(?i:class)\s*=\s*"
+    + rf"""(?:"(?:[^">]*\s)?{_CONTENT}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{_CONTENT}(?:\s[^'>]*)?'|{_CONTENT}(?=[\s>]))"""
 )
+#: Begin and end of an outermost article among the blocks: characters that no page may hold.
+_BEGIN, _END = "\ufdd0", "\ufdd1"
 
-REGION_OR_ANCHOR = (
-    r"(?is)<main\b[^>]*>.*?</main\s*>|<article\b[^>]*>.*?</article\s*>|<a\s[^>]*>"
-)
 ANCHOR = r"(?is)<a\s[^>]*>"
 
 
 def visible_markup(html: Column) -> Column:
-    """The page without comments, scripts and styles."""
-    return F.regexp_replace(html, _SILENT, "")
+    """The page without comments, scripts and styles; no attribute value holds an angle bracket."""
+    return T.plain_markup(html)
 
 
 def raw_attribute(tag: Column, name: str) -> Column:
@@ -56,20 +47,6 @@ def attribute(tag: Column, name: str) -> Column:
     return unquote(raw_attribute(tag, name))
 
 
-def _region(html: Column, tag: str) -> Column:
-    """Content of the first element of a kind; null without a closing tag or without content."""
-    return _until_closed(_after_opening(html, tag), tag)
-
-
-def _after_opening(html: Column, tag: str) -> Column:
-    return F.get(F.split(html, rf"(?i)<{tag}\b[^>]*>", 2), F.lit(1))
-
-
-def _until_closed(rest: Column, tag: str) -> Column:
-    closed = F.split(rest, rf"(?i)</{tag}\s*>", 2)
-    return let(closed, lambda parts: F.when(F.size(parts) == 2, falsy_to_null(parts[0])))
-
-
 def _pieces(html: Column, tag: str) -> Column:
     """The markup cut before each opening and after each closing tag of a kind."""
     return F.split(html, rf"(?i)(?=<{tag}\b)|(?<=</{tag}\s{{0,9}}>)")
@@ -83,28 +60,6 @@ def _closes(piece: Column, tag: str) -> Column:
     return piece.rlike(rf"(?i)</{tag}\s*>$").cast("int")
 
 
-def _regions(html: Column, tag: str) -> Column:
-    """All outermost elements of a kind with what is nested in them, one after the other.
-
-    A page with one such element, the usual case, needs no counting.
-    """
-
-    def step(state: Column, piece: Column) -> Column:
-        inside = state["depth"] + _opens(piece, tag)
-        text = F.when(state["depth"] == 0, F.concat(F.lit("\n"), piece)).otherwise(piece)
-        return F.struct(
-            F.greatest(inside - _closes(piece, tag), F.lit(0)).alias("depth"),
-            F.when(inside > 0, F.concat(state["kept"], text)).otherwise(state["kept"]).alias("kept"),
-        )
-
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept"))
-    every = F.aggregate(_pieces(html, tag), start, step, lambda state: falsy_to_null(state["kept"]))
-    return let(
-        _after_opening(html, tag),
-        lambda rest: F.when(rest.rlike(rf"(?i)<{tag}\b"), every).otherwise(_until_closed(rest, tag)),
-    )
-
-
 def _without_side(html: Column, tag: str) -> Column:
     """The markup without advertisement and comment elements of a kind, nested ones included.
 
@@ -146,16 +101,137 @@ def without_side_blocks(html: Column) -> Column:
     )
 
 
-def text_region(html: Column) -> Column:
-    """Markup of the main region: no navigation, advertisements, comments or other side blocks."""
+def _outermost(pieces: Column) -> Column:
+    """The outermost elements of ``nested`` pieces, between marks."""
+    marked = lambda p: F.concat(
+        F.when((p["before"] == 1) & T.is_inside(p), _BEGIN).otherwise(""),
+        p["text"],
+        F.when((p["after"] == 1) & T.is_inside(p), _END).otherwise(""),
+    )
+    return F.array_join(F.transform(pieces, marked), "")
+
+
+def _scope(markup: Column) -> Column:
+    """Where the main text is looked for: ``main``, unless an article is outside of it; else the body, else all."""
+    after = F.get(F.split(markup, r"(?i)<body\b[^>]*>", 2), F.lit(1))
+    body = F.coalesce(falsy_to_null(F.split(after, r"(?i)</body\s*>", 2)[0]), markup)
+
+    def of_main(pieces: Column) -> Column:
+        outside = F.exists(pieces, lambda p: ~T.is_inside(p) & T.has_element(p["text"], "article"))
+        return F.when(outside, body).otherwise(F.coalesce(falsy_to_null(T.inside(pieces)), body))
+
+    return F.when(T.has_element(markup, "main"), let(T.nested(markup, "main"), of_main)).otherwise(body)
+
+
+def _plain_chars(markup: Column) -> Column:
+    return F.length(strip(decode_entities(F.regexp_replace(markup, f"{_TAG}|[{_BEGIN}{_END}]", ""))))
+
+
+def _block(part: Column, markup: Column) -> Column:
+    """A block with its score: characters of text, less those of links several times, less a fixed cost.
+
+    In an article nothing is taken off, and a bonus lets runs go on from one article to the next.
+    """
+    links = F.array_join(F.regexp_extract_all(markup, F.lit(r"(?is)<a\b[^>]*>(.*?)(?:</a\s*>|\z)"), F.lit(1)), "")
     return let(
-        without_side_blocks(F.regexp_replace(html, _NO_TEXT, "")),
-        lambda clean: F.coalesce(
-            _regions(clean, "article"), _regions(clean, "main"), _region(clean, "body"), clean
+        _plain_chars(markup),
+        lambda chars: F.struct(
+            markup.alias("markup"),
+            F.startswith(part, F.lit(_BEGIN)).alias("article"),
+            chars.alias("chars"),
+            F.when(F.startswith(part, F.lit(_BEGIN)), chars + ARTICLE_BONUS)
+            .otherwise(chars - LINK_WEIGHT * _plain_chars(links) - BLOCK_CHARS)
+            .alias("score"),
         ),
     )
 
 
+def _best_run(blocks: Column) -> Column:
+    """First and last index of the blocks with the greatest sum, each smoothed by its neighbours.
+
+    Of equal sums the one that ends first, of these the one that starts last. Blocks at both ends whose own score is not
+    positive are left out later.
+    """
+
+    def smoothed(block: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(blocks, i - 1)["score"]).otherwise(0)
+        return before + 2 * block["score"] + F.coalesce(F.get(blocks, i + 1)["score"], F.lit(0))
+
+    def step(s: Column, value: Column) -> Column:
+        goes_on = s["sum"] > 0
+        return let(
+            F.struct(
+                (F.when(goes_on, s["sum"]).otherwise(0) + value).alias("sum"),
+                F.when(goes_on, s["first"]).otherwise(s["at"]).alias("first"),
+            ),
+            lambda run: F.struct(
+                (s["at"] + 1).alias("at"),
+                run["sum"].alias("sum"),
+                run["first"].alias("first"),
+                F.when(run["sum"] > s["best"], run["sum"]).otherwise(s["best"]).alias("best"),
+                F.when(run["sum"] > s["best"], run["first"]).otherwise(s["from"]).alias("from"),
+                F.when(run["sum"] > s["best"], s["at"]).otherwise(s["to"]).alias("to"),
+            ),
+        )
+
+    zero = {"at": 0, "sum": 0, "first": 0, "best": 0, "from": 0, "to": -1}
+    start = F.struct(*[F.lit(v).alias(k) for k, v in zero.items()])
+    return F.aggregate(F.transform(blocks, smoothed), start, step, lambda s: F.struct(s["from"].alias("from"), s["to"].alias("to")))
+
+
+def _chosen(blocks: Column, run: Column) -> Column:
+    """Blocks of articles, and the best run from its first to its last good block; all if there are neither.
+
+    Beside articles only good blocks of the run are kept: short lines around them are captions and menus.
+    """
+    indexed = F.transform(blocks, lambda b, i: F.struct(i.alias("i"), b["score"].alias("score")))
+    good = F.filter(indexed, lambda x: x["i"].between(run["from"], run["to"]) & (x["score"] > 0))
+    span = lambda found: F.struct(F.element_at(found, 1)["i"].alias("from"), F.element_at(found, -1)["i"].alias("to"))
+
+    def kept(any_article: Column) -> Column:
+        return let(
+            span(good),
+            lambda s: F.filter(blocks, lambda b, i: b["article"] | (i.between(s["from"], s["to"]) & (~any_article | (b["score"] > 0)))),
+        )
+
+    return let(
+        F.exists(blocks, lambda b: b["article"]),
+        lambda any_article: F.when((F.size(good) > 0) | any_article, kept(any_article)).otherwise(blocks),
+    )
+
+
+def _of_blocks(marked: Column) -> Column:
+    """The best blocks of a scope whose outermost articles are marked."""
+    parts = F.split(marked, f"(?={_BEGIN})|(?<={_END})")
+    blocks = F.flatten(F.transform(parts, lambda part: F.transform(F.split(part, _LINE_ENDS), lambda m: _block(part, m))))
+    chosen = let(F.filter(blocks, lambda b: b["chars"] > 0), lambda full: let(_best_run(full), lambda run: _chosen(full, run)))
+    return F.array_join(F.transform(chosen, lambda b: b["markup"]), "\n")
+
+
+def text_region(html: Column) -> Column:
+    """Markup of the main text: no navigation, advertisements, comments or other side blocks.
+
+    If a page's scope holds articles and no other text, they are the region. Else it is what the scores of its blocks
+    choose, articles in any case.
+    """
+    articles = f"(?s){_BEGIN}.*?{_END}"
+
+    def of_marked(marked: Column) -> Column:
+        ended = F.when(F.contains(marked, F.lit(_BEGIN)) & ~F.contains(F.substring_index(marked, _BEGIN, -1), F.lit(_END)), F.concat(marked, F.lit(_END))).otherwise(marked)
+        return let(
+            ended,
+            lambda m: F.when(
+                F.contains(m, F.lit(_BEGIN)) & (_plain_chars(F.regexp_replace(m, articles, "")) == 0),
+                F.array_join(F.regexp_extract_all(m, F.lit(articles), F.lit(0)), "\n"),
+            ).otherwise(_of_blocks(m)),
+        )
+
+    clean = without_side_blocks(F.regexp_replace(T.plain_markup(html), _NO_TEXT, ""))
+    marked = lambda scope: F.when(T.has_element(scope, "article"), _outermost(T.nested(scope, "article"))).otherwise(scope)
+    region = let(clean, lambda c: let(let(_scope(c), marked), of_marked))
+    return F.translate(region, _BEGIN + _END, "")
+
+
 def region_text(region: Column) -> Column:
     """Text of a region, one line per block.
 
@@ -173,13 +249,34 @@ def main_text(html: Column) -> Column:
 
 
 def fallback_text(html: Column) -> Column:
-    """Long text nodes of the content containers, code-like ones left out."""
-    regions = F.regexp_extract_all(visible_markup(html), F.lit(_FALLBACK_REGIONS), F.lit(0))
-    nodes = F.transform(
-        F.split(F.array_join(regions, ""), _TAG), lambda n: strip(decode_entities(n))
-    )
-    kept = F.filter(nodes, lambda n: (F.length(n) >= FALLBACK_NODE_CHARS) & ~n.rlike(CODE_LIKE))
-    return F.coalesce(F.array_join(kept, "\n\n"), F.lit(""))
+    """Long text nodes of the content containers, code-like ones left out.
+
+    Containers come in the order of their tags, each with all text in it: a nested one's text is also its own.
+    """
+
+    def names(markup: Column) -> Column:
+        others = F.transform(F.regexp_extract_all(markup, F.lit(_CONTENT_TAG), F.lit(1)), F.lower)
+        article = F.when(T.has_element(markup, "article"), F.array(F.lit("article"))).otherwise(F.array().cast("array<string>"))
+        return F.array_union(article, others)
+
+    def opens_container(piece: Column) -> Column:
+        return (piece["opens"] == "article") | ((piece["opens"] != "") & piece["text"].rlike("^" + _CONTENT_TAG))
+
+    def of_containers(pieces: Column) -> Column:
+        whole = F.transform(pieces, lambda p, i: F.when(opens_container(p), T.element_at(pieces, p, i)))
+        nodes = F.transform(F.filter(whole, lambda w: w.isNotNull()), lambda w: F.split(w, _TAG))
+        clean = F.transform(F.flatten(nodes), lambda n: strip(decode_entities(n)))
+        kept = F.filter(clean, lambda n: (F.length(n) >= FALLBACK_NODE_CHARS) & ~n.rlike(CODE_LIKE))
+        return F.array_join(kept, "\n\n")
+
+    def of_markup(markup: Column) -> Column:
+        return let(
+            names(markup),
+            lambda found: F.when(F.size(found) > 0, let(T.nested(markup, F.array_join(found, "|")), of_containers)),
+        )
+
+    # What is left out still parts the text nodes around it
+    return F.coalesce(let(T.plain_markup(html, "<!>"), of_markup), F.lit(""))
 
 
 def meta_tags(markup: Column) -> Column:
@@ -206,13 +303,8 @@ def page_title(markup: Column, metas: Column) -> Column:
 
 
 def _first_image(markup: Column, container: str) -> Column:
-    inside = F.array_join(
-        F.regexp_extract_all(
-            markup, F.lit(rf"(?is)<{container}\b[^>]*>.*?</{container}\s*>"), F.lit(0)
-        ),
-        " ",
-    )
-    tag = F.regexp_extract(inside, r"(?is)<img\s(?:[^>]*\s)?src\s*=[^>]*>", 0)
+    within = T.inside(T.nested(markup, container))
+    tag = F.regexp_extract(within, r"(?is)<img\s(?:[^>]*\s)?src\s*=[^>]*>", 0)
     return falsy_to_null(attribute(tag, "src"))
 
 

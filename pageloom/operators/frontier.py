@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pageloom.fixed_values import ARTICLE_HREF_PARTS, SKIPPED_HREF_PREFIXES
 from pageloom.functions import html as H
+from pageloom.functions import tags as T
 from pageloom.functions import urls as U
 from pageloom.functions.text import contains_any, decode_entities, let, starts_with_any, strip
 from pageloom.operators.binding import bind
@@ -36,29 +37,21 @@ def is_followable(href: Column) -> Column:
     return (href != "") & ~starts_with_any(href, SKIPPED_HREF_PREFIXES)
 
 
-def _anchor(tag: Column, inside: bool) -> Column:
-    return F.struct(H.raw_attribute(tag, "href").alias("raw"), F.lit(inside).alias("inside"))
+def _anchor(tag: Column, inside: Column) -> Column:
+    return F.struct(H.raw_attribute(tag, "href").alias("raw"), inside.alias("inside"))
 
 
 def page_anchors(html: Column) -> Column:
     """Anchors in document order as ``array<struct<raw, inside>>``.
 
-    ``raw`` is the quoted href, empty without one; ``inside`` marks a main or article region.
+    ``raw`` is the quoted href, empty without one; ``inside`` marks those in a main or article element.
     """
-    pieces = F.regexp_extract_all(H.visible_markup(html), F.lit(H.REGION_OR_ANCHOR), F.lit(0))
-    return F.flatten(
-        F.transform(
-            pieces,
-            lambda piece: F.when(
-                piece.rlike(r"(?i)^<a\s"), F.array(_anchor(piece, False))
-            ).otherwise(
-                F.transform(
-                    F.regexp_extract_all(piece, F.lit(H.ANCHOR), F.lit(0)),
-                    lambda tag: _anchor(tag, True),
-                )
-            ),
-        )
-    )
+
+    def anchors(piece: Column) -> Column:
+        tags = F.regexp_extract_all(piece["text"], F.lit(H.ANCHOR), F.lit(0))
+        return F.transform(tags, lambda tag: _anchor(tag, T.is_inside(piece)))
+
+    return F.flatten(F.transform(T.nested(H.visible_markup(html), "main|article"), anchors))
 
 
 def _is_article_anchor(anchor: Column) -> Column:

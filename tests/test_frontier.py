@@ -26,6 +26,11 @@ def hrefs(spark, html):
         ("<!-- <a href='/c'>c</a> --><script>'<a href=\"/s\">'</script><a href='/k?a=1&amp;b'>k</a>", ["/k?a=1&b"]),
         ("<a href='/Article/1'>x</a><a href='/y'>y</a>", ["/Article/1", "/y"]),
         ("<abbr href='/no'>x</abbr><a\nclass=c\nhref='/y'>y</a>", ["/y"]),
+        ('<article><article>x</article><a href="/p1"></a></article><a href="/p2"></a>', ["/p1"]),
+        ("<main><article>x</main><a href='/p1'></a><a href='/p2'></a>", ["/p1", "/p2"]),
+        ("<main><section><main></main><a href='/p1'></a></section></main><a href='/p2'></a>", ["/p1"]),
+        ("<a title='1 > 0' href='/p1?a>b'>x</a><p data-x=\"<a href='/no'>\">", ["/p1?a>b"]),
+        ("<main-menu><a href='/1'>1</a></main-menu><a href='/2'>2</a>", ["/1", "/2"]),
         ("", []),
     ],
 )

@@ -1,9 +1,12 @@
 """Extraction, cleanup and features on literal pages."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from helpers import evaluate, values
 from pageloom.functions import html as H
+from pageloom.functions import tags as T
 from pageloom.functions import text as X
 from pageloom.operators import cleanup, extract, features
 from pageloom.sources.rules import default_rules
@@ -58,9 +61,88 @@ def test_main_text(spark):
     assert evaluate(spark, [(None,)], "h string", H.main_text(F.col("h"))) == [""]
 
 
+def test_text_around_articles(spark):
+    intro, outro = "An introduction that is long enough. " * 3, "Some closing words, long enough as well. " * 3
+    story, more = "Long enough text of a story. " * 4, "More of the story comes now. " * 4
+    cases = {
+        f"<main><p>{intro}</p><article><p>One.</p></article><p><a href=x>related link</a></p><article>Two.</article>"
+        f"<p>{outro}</p><ul><li><a>Home</a></li><li><a>More to read about that</a></li></ul></main>":
+            f"{intro.strip()}\nOne.\nTwo.\n{outro.strip()}",
+        "<body><ul><li><a href=/>Home</a></li><li><a href=/b>Somewhere else to go</a></li></ul><h1>Title</h1>"
+        f"<p>{story}</p><p>Short.</p><p>{more}</p><div><a href=/c>Read this next, it is great</a></div></body>":
+            f"{story.strip()}\nShort.\n{more.strip()}",
+        f"<body><main><p>menu</p></main><article>Outside of main.</article><p>{outro}</p></body>":
+            f"Outside of main.\n{outro.strip()}",
+        f"<body><article>Far</article><ul>{'<li><a>Some link</a></li>' * 50}</ul><article>apart</article></body>": "Far\napart",
+        "<body><p>Only</p><p>short</p><p>lines</p></body>": "Only\nshort\nlines",
+        '<p title="a > b">text</p>': "text",
+        "<body><article>never closed<p>more</p>": "never closed\nmore",
+        "<main><section><main>in</main> between </section></main><p>out</p>": "in between",
+        "<article-card><p>not an article</p></article-card>": "not an article",
+    }
+    assert evaluate(spark, [(k,) for k in cases], "h string", H.main_text(F.col("h"))) == list(cases.values())
+
+
+def test_best_run_of_blocks(spark):
+    """The fold over blocks against all runs, with ties."""
+    rnd = random.Random(1)
+    rows = [[rnd.randrange(-4, 5) for _ in range(rnd.randrange(0, 12))] for _ in range(300)]
+    blocks = F.transform("s", lambda x: F.struct(x.alias("score")))
+    found = evaluate(spark, [(r,) for r in rows], "s array<int>", H._best_run(blocks))
+    for scores, run in zip(rows, found):
+        padded = [0, *scores, 0]
+        smooth = [a + 2 * b + c for a, b, c in zip(padded, padded[1:], padded[2:])]
+        runs = [(sum(smooth[i : j + 1]), -j, i) for j in range(len(smooth)) for i in range(j + 1)]
+        best = max((r for r in runs if r[0] > 0), default=None)
+        if best is None:
+            assert run["to"] == -1
+        else:
+            assert (run["from"], run["to"]) == (best[2], -best[1])
+
+
+def test_attributes_with_brackets(spark):
+    cases = {
+        "<p title='a > b'>x</p>": "<p title='a &gt; b'>x</p>",
+        '<a\nhref = "/x?<b>" id=c>x</a> 1 < 2': '<a\nhref = "/x?&lt;b&gt;" id=c>x</a> 1 < 2',
+        "<p data='never closed>text</p>": "<p data='never closed>text</p>",
+        "<p class=it's>don't</p><q t=\">\">": "<p class=it's>don't</p><q t=\"&gt;\">",
+        "a<!-- <p t='>'> --><script>x='<'</script>b": "ab",
+        "": "",
+    }
+    assert evaluate(spark, [(k,) for k in cases], "h string", T.plain_markup(F.col("h"))) == list(cases.values())
+
+
+def test_nested_elements_of_the_fallback(spark):
+    one, two, three = "text that is long enough, one", "text that is long enough, two", "text that is long enough, three"
+    cases = {
+        f'<div class="main-content"><div>{one}</div><p>{two}</p></div><p>{three}</p>': [one, two],
+        # A nested container's text is also its own, after that of the outer one
+        f"<article>{one}<article>{two}</article>{three}</article>": [one, two, three, two],
+        f"<article>{one}<div class='x post-body'><div>{two}</div></div>{three}</article>": [one, two, three, two],
+        f"<section class=main-content><p>{one}": [one],
+        f"<main-content><p>{one}</p></main-content><td class='Main-Content'>{two}</td>": [],
+        f"<article>{one}<!-- c -->{two}</article></article>{three}": [one, two],
+        f"<div class='post-body'><article>{one}</div>{two}</article>": [one, one],
+    }
+    wanted = ["\n\n".join(v) for v in cases.values()]
+    assert evaluate(spark, [(k,) for k in cases], "h string", H.fallback_text(F.col("h"))) == wanted
+
+
+def test_nested_images(spark):
+    cases = {
+        '<article><article>x</article><p>y</p><img src="/a.jpg"></article>': "/a.jpg",
+        '<img src="/no.jpg"><figure><figure>z</figure><img alt="a > b" src="/a.jpg"></figure>': "/a.jpg",
+        '<article>x</article><img src="/no.jpg">': None,
+    }
+    visible = H.visible_markup(F.col("h"))
+    assert evaluate(spark, [(k,) for k in cases], "h string", H.main_image(visible, H.meta_tags(visible))) == list(cases.values())
+
+
 def test_deep_and_long_pages_do_not_overflow(spark):
     page = "<body>" + "<div>" * 20000 + "x" * 500000 + "</div>" * 20000 + "<p>" * 50000 + "</body>"
     assert len(evaluate(spark, [(page,)], "h string", H.main_text(F.col("h")))[0]) == 500000
+    page = "<article>" * 300 + "text that is long enough" + "</article>" * 300 + "<p t='" + "x=>" * 100_000 + "'>"
+    assert evaluate(spark, [(page,)], "h string", H.fallback_text(F.col("h"))) == ["\n\n".join(["text that is long enough"] * 300)]
 
 
 def cleaned(spark, url, body):
