@@ -63,14 +63,17 @@ def article_batch(predictions: DataFrame, sites: DataFrame) -> DataFrame:
     return storable(resolve_sites(only_articles(predictions), sites))
 
 
-def change_log(batch: DataFrame, state: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
+def change_log(
+    batch: DataFrame, state: DataFrame, run_rows: int = RUN_ROWS, ranged: DataFrame | None = None
+) -> DataFrame:
     """Status of every batch row against the row before it, or against the stored article.
 
-    Only URL, sequence number and hash are shuffled, never a body.
+    Only URL, sequence number and hash are shuffled, never a body. ``ranged`` is a table with ``ingest_seq`` that is
+    cheaper to read than the batch.
     """
     rows = batch.select("url", "site_id", "ingest_seq", "content_hash")
     looked_back = previous_value(
-        rows, "url", "ingest_seq", "content_hash", state.select("url", "content_hash"), run_rows
+        rows, "url", "ingest_seq", "content_hash", state.select("url", "content_hash"), run_rows, ranged
     )
     status = (
         F.when(F.col("previous").isNull(), "NEW")

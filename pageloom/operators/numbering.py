@@ -1,30 +1,52 @@
 """Order-dependent values without one task per key: work in runs of the sequence number first.
 
-The range of the sequence numbers is cut into runs of equal width, as many as ``run_rows`` rows each would
-need. Dense positions, and ids that spread over their range (hashes, snowflakes), so give runs of about
-``run_rows`` rows, which bound the rows of any window group, however hot its key is; and there is one run
-for that many rows, however sparse the numbers are.
+Runs are cut at quantiles of the sequence numbers, so each holds about ``run_rows`` rows, and never twice as many,
+whatever the numbers are: dense positions, hashes, snowflakes, or clusters far apart. That bounds the rows of any window
+group, however hot its key is. The quantiles come from one sketch that combines on the map side; the driver holds one
+number for each run. Both uses of a table's runs share these numbers, so they agree.
 """
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 RUN_ROWS = 1 << 20
+#: Quantiles that the first look takes; enough for half as many runs.
+QUANTILES = 1024
+#: Rank error of the sketch, as a part of the distance of two quantiles.
+SHARPNESS = 16
 
 
-def with_run(df: DataFrame, order: str, run_rows: int, ranged: DataFrame) -> DataFrame:
-    """Add ``_run``, which never falls as ``order`` rises; ``ranged`` gives the range of the numbers.
+def run_bounds(ranged: DataFrame, order: str, run_rows: int) -> list[float]:
+    """Where runs begin, but for the first: quantiles of the column, in order.
 
-    The numbers are compared as doubles: rounding keeps their order, and no difference overflows.
+    Numbers are compared as doubles. That keeps their order; numbers that are equal as doubles stay together.
     """
     seq = F.col(order).cast("double")
-    bounds = ranged.agg(
-        F.struct(F.min(seq).alias("low"), F.max(seq).alias("high"), F.count(order).alias("n"))
-    ).scalar()
-    runs = F.ceil(F.greatest(bounds["n"], F.lit(1)) / run_rows)
-    width = F.greatest((bounds["high"] - bounds["low"] + 1) / runs, F.lit(1.0))
-    return df.withColumn("_run", F.floor((seq - bounds["low"]) / width))
+
+    def quantiles(parts: int) -> Column:
+        at = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+        return F.percentile_approx(seq, at, F.lit(SHARPNESS * parts)).alias("found")
+
+    known = ranged.agg(F.count(order).alias("n"), quantiles(QUANTILES)).first()
+    runs, parts, found = -(-known["n"] // run_rows), QUANTILES, known["found"]
+    if runs <= 1:
+        return []
+    if 2 * runs > QUANTILES:
+        parts, found = runs, ranged.agg(quantiles(runs)).first()["found"]
+    return sorted({found[i * parts // runs - 1] for i in range(1, runs)})
+
+
+def with_run(df: DataFrame, order: str, run_rows: int, ranged: DataFrame) -> DataFrame:
+    """Add ``_run``, which never falls as ``order`` rises, nulls first; ``ranged`` gives the numbers' distribution."""
+    bounds = run_bounds(ranged, order, run_rows)
+    if not bounds:
+        return df.withColumn("_run", F.lit(0))
+    infinite = float("inf")
+    numbered = df.withColumn("_seq", F.coalesce(F.col(order).cast("double"), F.lit(-infinite)))
+    runs = Bucketizer(splits=[-infinite, *bounds, infinite], inputCol="_seq", outputCol="_bucket").transform(numbered)
+    return runs.withColumn("_run", F.col("_bucket").cast("int")).drop("_seq", "_bucket")
 
 
 def number_rows(
@@ -67,16 +89,17 @@ def previous_value(
     value: str,
     initial: DataFrame,
     run_rows: int = RUN_ROWS,
+    ranged: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``previous``, a struct with the preceding row's value for the same key.
 
     The first row of a key takes the value from ``initial`` (columns key and value); without
     such a row ``previous`` is null. Rows inside a run look back inside the run. Only the first
     and last row of a key in each run are shuffled again: they meet in a second window, together
-    with the initial rows, so a hot key is never gathered in one task.
+    with the initial rows, so a hot key is never gathered in one task. ``ranged`` is as in ``number_rows``.
     """
     run = W.partitionBy(key, "_run").orderBy(order)
-    inside = with_run(batch, order, run_rows, batch).withColumns(
+    inside = with_run(batch, order, run_rows, batch if ranged is None else ranged).withColumns(
         {
             "_inside": F.lag(F.struct(F.col(value))).over(run),
             "_last": F.lead(order).over(run).isNull(),

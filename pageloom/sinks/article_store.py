@@ -173,13 +173,13 @@ class ArticleStore:
         keys = self._keys(now, touched)
 
         checked = check_articles(rows, keys, sites)
-        log = change_log(accepted(checked), keys).unionByName(
+        log = change_log(accepted(checked), keys, ranged=rows).unionByName(
             rejected(checked).select("url", "site_id", "ingest_seq", "reject_reason"),
             allowMissingColumns=True,
         )
         log.write.mode("overwrite").parquet(f"{folder}/log")
         changes = self._changes(folder)
-        outcomes = number_new(url_outcomes(changes), F.lit(now.last_id), ranged=changes)
+        outcomes = number_new(url_outcomes(changes), F.lit(now.last_id), ranged=rows)
         outcomes = self._staged(outcomes, f"{folder}/outcomes")
         self._write_contents(changed_contents(outcomes, rows), version)
         merged = upsert_keys(keys, outcomes, run_ts, version)

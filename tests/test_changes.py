@@ -214,19 +214,43 @@ def test_rows_without_a_url_are_rejected(spark):
     assert integrity.accepted(checked).count() == 1
 
 
-def test_sparse_numbers_need_few_runs(spark):
-    """Hashed sequence numbers over the whole range, negative ones too."""
+NUMBERS = {
+    "dense": "id",
+    "hashed": "xxhash64(id)",
+    "snowflake": "(1700000000000 + id * 37) * 4194304 + id % 4096",
+    "clustered": "CASE WHEN id < 4999 THEN id ELSE 1152921504606846976 END",
+    "two clusters and outliers": "CASE WHEN id % 2 = 0 THEN id WHEN id % 97 = 0 THEN -id * 1000000000000 ELSE 4000000000000000000 + id * 5000 END",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(NUMBERS))
+@pytest.mark.parametrize("run_rows", [3, 500, 6000])
+def test_runs_are_bounded(spark, kind, run_rows):
     from pageloom.operators.numbering import with_run
 
-    df = spark.range(5000).select(F.xxhash64("id").alias("s"))
-    runs = with_run(df, "s", 500, df).groupBy("_run").count().collect()
-    assert len(runs) <= 11 and max(r["count"] for r in runs) < 1000
-    numbers = [r["n"] for r in number_rows(df, "s", F.lit(0), "n", run_rows=500).orderBy("s").collect()]
+    df = spark.range(5000).select(F.expr(NUMBERS[kind]).cast("bigint").alias("s")).repartition(5)
+    runs = with_run(df, "s", run_rows, df)
+    sizes = [r["count"] for r in runs.groupBy("_run").count().collect()]
+    assert max(sizes) <= 2 * run_rows and len(sizes) <= 5000 // run_rows + 1
+    bounds = sorted((r["_run"], r["low"], r["high"]) for r in runs.groupBy("_run").agg(F.min("s").alias("low"), F.max("s").alias("high")).collect())
+    assert all(a[2] < b[1] for a, b in zip(bounds, bounds[1:]))
+    numbers = [r["n"] for r in number_rows(df, "s", F.lit(0), "n", run_rows=run_rows).orderBy("s").collect()]
     assert numbers == list(range(1, 5001))
+
+
+def test_previous_values_over_the_whole_range(spark):
     rng = random.Random(9)
-    seqs = [rng.randrange(-(2**63), 2**63) for _ in range(300)]
-    rows = [(s, rng.choice(["hot", "hot", "u1", "u2"]), rng.choice("AB")) for s in seqs]
-    check(spark, [(3, "hot", "A", md5("A"))], rows, 20)
+    far = [rng.randrange(-(2**63), 2**63) for _ in range(150)]
+    for seqs in (far + [rng.randrange(2**63) for _ in range(150)], list(range(290)) + far[:10]):
+        rows = [(s, rng.choice(["hot", "hot", "u1", "u2"]), rng.choice("AB")) for s in seqs]
+        check(spark, [(3, "hot", "A", md5("A"))], rows, 20)
+
+
+def test_nothing_to_number(spark):
+    df = spark.createDataFrame([], "s bigint")
+    assert number_rows(df, "s", F.lit(0), "n", run_rows=2).count() == 0
+    nulls = spark.createDataFrame([(None,), (5,), (7,), (9,)], "s bigint")
+    assert values(number_rows(nulls, "s", F.lit(0), "n", run_rows=1), "n") == [(1,), (2,), (3,), (4,)]
 
 
 def test_commits_are_read_by_block(spark, folder):
