@@ -1,12 +1,13 @@
 """Queries of the classifier."""
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sqlgen as S
 from checks.base import fixture, query
 from pageloom.operators import classify as C
-from pageloom.operators import features
+from pageloom.operators import features, forest
 from pageloom.session import scratch_path
 from pageloom.sinks.models import load_model, save_model
 
@@ -152,9 +153,6 @@ def k6(spark, sf):
     return C.predict(load_model(spark, path), items).select("url", "predicted_label")
 
 
-_SMALL = C.ForestSettings(num_trees=10, max_depth=6)
-
-
 @query(
     "m1_input_checks",
     """SELECT doc_id, CASE WHEN doc_id % 7 = 0 OR label IS NULL THEN 'missing_label'
@@ -183,16 +181,27 @@ _FEATURE_ROWS = ", ".join(
 )
 
 
+def _saved(spark: SparkSession, train: DataFrame) -> tuple[PipelineModel, str]:
+    """A forest with the production settings, and where it is saved."""
+    model, path = C.fit_forest(train, SETTINGS), scratch_path(spark, "model")
+    save_model(spark, model, path)
+    return model, path
+
+
 @query(
     "m6_forest_weights",
-    f"SELECT feature, 1.0::DOUBLE AS total, true AS usable FROM (VALUES {_FEATURE_ROWS}) AS f(feature)",
+    f"SELECT feature, 1.0::DOUBLE AS total, true AS usable, true AS from_nodes FROM (VALUES {_FEATURE_ROWS}) AS f(feature)",
 )
 def m6_weights(spark, sf):
-    """The forest weighs every feature of the list, none below zero, one in total."""
+    """The forest weighs every feature of the list, none below zero, one in total; its table of nodes gives the same."""
     train, _ = C.split_rows(C.fill_missing_features(C.check_training_rows(labelled(spark, sf))))
-    weights = C.fit_forest(train, _SMALL).stages[2].featureImportances.toArray()
-    rows = [(f, round(float(weights.sum()), 6), bool(0 <= w <= 1)) for f, w in zip(C.FEATURES, weights)]
-    return spark.createDataFrame(rows, "feature string, total double, usable boolean")
+    model, path = _saved(spark, train)
+    weights = model.stages[2].featureImportances.toArray()
+    rows = [(f, round(float(weights.sum()), 6), float(w)) for f, w in zip(C.FEATURES, weights)]
+    known = spark.createDataFrame(rows, "feature string, total double, known double")
+    both = known.join(forest.feature_weights(forest.read_nodes(spark, path)), "feature", "left")
+    difference = F.abs(F.col("known") - F.coalesce("weight", F.lit(0.0)))
+    return both.select("feature", "total", F.col("known").between(0, 1).alias("usable"), (difference < 1e-9).alias("from_nodes"))
 
 
 _CLASS = "CASE doc_id % 3 WHEN 0 THEN 'article' WHEN 1 THEN 'category' ELSE 'other' END"
@@ -210,16 +219,28 @@ def m9_separable(spark, sf):
     """Labels of all items by a forest fitted on three quarters of a table that can be told apart."""
     items = _separable(spark, sf)
     train, _ = C.split_rows(items)
-    return C.predict(C.fit_forest(train, _SMALL), items).select("url", "predicted_label")
+    return C.predict(C.fit_forest(train, SETTINGS), items).select("url", "predicted_label")
 
 
-@query("k6_same_labels", "SELECT url, true AS same FROM fx_labelled")
+@query("m9_walked_labels", f"SELECT url, {_CLASS} AS predicted_label FROM fx_labelled")
+def m9_walked(spark, sf):
+    """The same labels by a walk of all trees as a table of nodes."""
+    items = _separable(spark, sf)
+    _, path = _saved(spark, C.split_rows(items)[0])
+    return forest.walked_labels(forest.read_nodes(spark, path), forest.read_labels(spark, path), items, ["url"])
+
+
+@query("k6_same_labels", "SELECT url, true AS same, true AS walked FROM fx_labelled")
 def k6_same(spark, sf):
-    """A saved and reloaded model gives each item the label that it gave before."""
+    """A saved model gives each item the label that it gave before, when it is loaded and when its nodes are walked."""
     items = labelled(spark, sf)
-    train, _ = C.split_rows(C.fill_missing_features(C.check_training_rows(items)))
-    model, path = C.fit_forest(train, _SMALL), scratch_path(spark, "model")
-    save_model(spark, model, path)
+    model, path = _saved(spark, C.split_rows(C.fill_missing_features(C.check_training_rows(items)))[0])
     first = C.predict(model, items).withColumnRenamed("predicted_label", "first_label")
     both = C.predict(load_model(spark, path), first)
-    return both.select("url", (F.col("predicted_label") == F.col("first_label")).alias("same"))
+    by_nodes = forest.walked_labels(forest.read_nodes(spark, path), forest.read_labels(spark, path), items, ["url"])
+    walked = by_nodes.withColumnRenamed("predicted_label", "walked_label")
+    return both.join(walked, "url").select(
+        "url",
+        (F.col("predicted_label") == F.col("first_label")).alias("same"),
+        (F.col("walked_label") == F.col("first_label")).alias("walked"),
+    )

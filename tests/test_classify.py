@@ -2,11 +2,15 @@
 
 import random
 
+import duckdb
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import values
 from pageloom.fixed_values import FEATURES
 from pageloom.operators import classify as C
+from pageloom.operators import features, forest
 from pageloom.plans.training import train
 from pageloom.schemas import EmptyInput, MissingColumns
 from pageloom.sinks.models import load_model, save_model
@@ -83,3 +87,59 @@ def test_missing_labels_and_urls(spark):
     ]
     bare = spark.createDataFrame([(None, "a"), ("u", "a")], "url string, label string")
     assert sum(part.count() for part in C.split_rows(bare)) == 2
+
+
+def _walk_in_sql(nodes, labels, items):
+    """Labels by another engine from the same table of nodes."""
+    con = duckdb.connect()
+    for name, df in (("nodes", nodes), ("labels", labels), ("items", items)):
+        con.register(name, pa.Table.from_batches(df.toArrow().to_batches()))
+    return sorted(
+        con.execute(
+            """
+            WITH RECURSIVE walk AS (
+                SELECT url, tree, 0 AS node, vals, 0 AS depth FROM items, (SELECT DISTINCT tree FROM nodes) AS t
+                UNION ALL
+                SELECT w.url, w.tree, CASE WHEN w.vals[n.feature + 1] <= n.threshold THEN n."left" ELSE n."right" END, w.vals, w.depth + 1
+                FROM walk AS w JOIN nodes AS n ON w.tree = n.tree AND w.node = n.node WHERE n.feature IS NOT NULL),
+            votes AS (
+                SELECT w.url, l.label, l.index, list(n.counts[l.index + 1] / list_sum(n.counts) ORDER BY w.tree) AS shares
+                FROM walk AS w JOIN nodes AS n ON w.tree = n.tree AND w.node = n.node AND n.feature IS NULL, labels AS l
+                GROUP BY ALL),
+            summed AS (SELECT url, label, index, list_reduce(shares, lambda a, b: a + b) AS score FROM votes)
+            SELECT url, arg_max(label, (score, -index)) FROM summed GROUP BY url"""
+        ).fetchall()
+    )
+
+
+def test_forest_as_a_table(spark, folder):
+    """A whole forest on labels that tell little: the model, the walk by joins and a walk in SQL agree on every row."""
+    rng = random.Random(8)
+    noisy = [
+        (f"https://a.gr/{i}", rng.choice(["article", "category", "other"]), *[rng.random() < 0.5 if f in TYPES else float(rng.randrange(12)) for f in FEATURES])
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(noisy, SCHEMA).repartition(3)
+    model = C.fit_forest(df)
+    save_model(spark, model, folder)
+    nodes, labels = forest.read_nodes(spark, folder), forest.read_labels(spark, folder)
+    assert nodes.select("tree").distinct().count() == C.ForestSettings().num_trees
+    assert nodes.count() == model.stages[2].totalNumNodes
+    expected = values(C.predict(model, df), "url", "predicted_label")
+    assert values(forest.walked_labels(nodes, labels, df, ["url"]), "url", "predicted_label") == expected
+    items = df.select("url", F.array(*features.aligned_features(df)).alias("vals"))
+    assert _walk_in_sql(nodes, labels, items) == expected
+    weights = {r["feature"]: r["weight"] for r in forest.feature_weights(nodes).collect()}
+    known = model.stages[2].featureImportances.toArray()
+    assert [weights.get(f, 0.0) for f in FEATURES] == pytest.approx(list(known), abs=1e-9)
+
+
+def test_walk_of_odd_rows(spark, folder):
+    df = rows(spark, 60)
+    save_model(spark, C.fit_forest(df, SMALL), folder)
+    nodes, labels = forest.read_nodes(spark, folder), forest.read_labels(spark, folder)
+    bare = spark.createDataFrame([("x", None), (None, 5.0)], "url string, text_length double")
+    expected = values(C.predict(load_model(spark, folder), bare), "url", "predicted_label")
+    assert values(forest.walked_labels(nodes, labels, bare, ["url"])) == expected
+    assert forest.walked_labels(nodes, labels, bare.limit(0), ["url"]).count() == 0
+    assert forest.walk(nodes, bare, ["url"]).count() == 2 * SMALL.num_trees
