@@ -139,6 +139,22 @@ FIXTURES = {
                     WHEN doc_id % 5 = 0 THEN concat(text, ' (edited)') ELSE text END AS body
         FROM {fx_docs} WHERE doc_id % 17 = 0
     """,
+    # State and batch whose URLs differ in case and accents, also those of one article within the batch.
+    "fx_fold_state": """
+        SELECT article_id, site_id,
+               concat(CASE WHEN article_id % 3 = 0 THEN upper(url) ELSE url END,
+                      CASE WHEN article_id % 2 = 0 THEN '/ΆρθρΟσ' ELSE '/été' END) AS url,
+               title, body, image_url, content_hash, scraped_at, last_cited_date
+        FROM {fx_state}
+    """,
+    "fx_fold_batch": """
+        SELECT concat(CASE WHEN ingest_seq % 5 = 0 THEN upper(url) ELSE url END,
+                      CASE WHEN (article_id % 2 = 0) AND ingest_seq % 7 < 3 THEN '/αρθρος'
+                           WHEN article_id % 2 = 0 THEN '/ΆΡΘΡΟΣ'
+                           WHEN ingest_seq % 7 < 3 THEN '/ETE' ELSE '/étÈ' END) AS url,
+               site_id, ingest_seq, title, image, body
+        FROM (SELECT *, CAST(split_part(url, '/', 4) AS BIGINT) + 1 AS article_id FROM {fx_batch}) AS numbered
+    """,
     # Rows of the batch with URLs of more than 255 characters, in clashing pairs.
     "fx_long": """
         SELECT concat(b.url, '/', repeat('x', 260 - CAST(b.ingest_seq % 20 AS INT)),

@@ -206,6 +206,33 @@ def l10(spark, sf):
     )
 
 
+_FOLDED_URL = "lower(strip_accents(full_url))"
+
+
+@query(
+    "l10_folded_visits",
+    f"""SELECT site_domain, full_url, page_id AS src_page_id, link_pos
+        FROM (SELECT *, row_number() OVER (PARTITION BY site_domain, {_FOLDED_URL}
+                                           ORDER BY page_id, link_pos) AS rn
+              FROM (SELECT * REPLACE (CASE WHEN page_id % 2 = 0 THEN upper(full_url) ELSE full_url END AS full_url)
+                    FROM ({ON_SITE}) AS o) AS u) AS f
+        WHERE rn = 1 AND {_FOLDED_URL} NOT IN (SELECT lower(strip_accents({S.canonical('url')})) FROM fx_pages
+                                               WHERE page_id % 2 = 0)""",
+)
+def l10_folded(spark, sf):
+    """Links spelled in two ways are visited once."""
+    from pageloom.functions.urls import canonical_url
+
+    spelled = F.when(F.col("src_page_id") % 2 == 0, F.upper("full_url")).otherwise(F.col("full_url"))
+    seen = pages(spark, sf).where("page_id % 2 = 0")
+    history = L.attach_site(seen, sites(spark, sf), "url").select(
+        "site_domain", canonical_url(F.col("url")).alias("full_url")
+    )
+    return L.first_visits(site_links(spark, sf).withColumn("full_url", spelled), history, fold=True).select(
+        "site_domain", "full_url", "src_page_id", F.col("link_pos").cast("bigint")
+    )
+
+
 @query(
     "l11_drop_irrelevant",
     f"""SELECT page_id, url FROM fx_pages

@@ -196,6 +196,70 @@ def d8(spark, sf):
     )
 
 
+_FOLD = "replace(lower(strip_accents({})), 'ς', 'σ')"
+_FOLD_ROWS = f"""
+    SELECT {_FOLD.format("url")} AS k, url, site_id, ingest_seq,
+           coalesce(nullif(title, ''), 'No Title') AS title, coalesce(body, '') AS body,
+           coalesce(image, '') AS image_url, md5(coalesce(body, '')) AS content_hash
+    FROM fx_fold_batch WHERE site_id IN (SELECT site_id FROM fx_src_sites)
+"""
+_FOLDED = f"""
+    WITH s AS (SELECT *, {_FOLD.format("url")} AS k FROM fx_fold_state),
+    b AS (SELECT b.*, s.k IS NOT NULL AS stored, row_number() OVER w AS rn,
+                 CASE WHEN row_number() OVER w = 1 THEN s.content_hash ELSE lag(b.content_hash) OVER w END AS before
+          FROM ({_FOLD_ROWS}) AS b LEFT JOIN s ON b.k = s.k
+          WINDOW w AS (PARTITION BY b.k ORDER BY b.ingest_seq)),
+    c AS (SELECT *, CASE WHEN rn = 1 AND NOT stored THEN 'NEW' WHEN content_hash IS DISTINCT FROM before THEN 'UPDATED'
+                         ELSE 'UNCHANGED' END AS status FROM b),
+    per_key AS (
+        SELECT k, min(ingest_seq) AS first_seq, arg_min(url, ingest_seq) AS first_url, bool_or(status = 'NEW') AS is_new,
+               max(ingest_seq) FILTER (WHERE status <> 'UNCHANGED') AS changed_seq
+        FROM c GROUP BY k),
+    ids AS (
+        SELECT k, (SELECT max(article_id) FROM fx_fold_state) + row_number() OVER (ORDER BY first_seq) AS new_id
+        FROM per_key WHERE is_new)
+    SELECT coalesce(s.article_id, i.new_id) AS article_id, coalesce(s.site_id, r.site_id) AS site_id,
+           coalesce(s.url, p.first_url) AS url, coalesce(r.title, s.title) AS title, coalesce(r.body, s.body) AS body,
+           coalesce(r.content_hash, s.content_hash) AS content_hash,
+           CASE WHEN p.k IS NOT NULL THEN '{RUN_TS}' ELSE '2024-01-15 00:00:00' END AS last_cited_date
+    FROM s FULL OUTER JOIN per_key AS p ON s.k = p.k
+    LEFT JOIN c AS r ON r.k = p.k AND r.ingest_seq = p.changed_seq
+    LEFT JOIN ids AS i ON i.k = p.k
+"""
+
+
+def _fold_rows(spark: SparkSession, sf: str) -> DataFrame:
+    known = src_sites(spark, sf).select("site_id")
+    rows = fixture(spark, sf, "fx_fold_batch").join(known, "site_id", "left_semi")
+    images = F.when(F.col("image").isNotNull(), F.array("image"))
+    return D.storable(rows.withColumnsRenamed({"body": "article_body"}).withColumn("image_urls", images))
+
+
+def _without_scrape(df: DataFrame) -> DataFrame:
+    return _show_times(df).drop("image_url", "scraped_at")
+
+
+@query("d8_folded_upsert", f"SELECT * FROM ({_FOLDED}) AS u")
+def d8_folded(spark, sf):
+    """URLs that differ in case and accents only name one article, which keeps its first spelling."""
+    state, rows = fixture(spark, sf, "fx_fold_state"), _fold_rows(spark, sf)
+    log = D.change_log(rows, state, run_rows=64, fold=True)
+    return _without_scrape(D.upsert(state, rows, log, run_ts(spark), D.last_article_id(state), run_rows=64, fold=True))
+
+
+@query("k5_folded_store", f"SELECT * FROM ({_FOLDED}) AS u")
+def k5_folded(spark, sf):
+    """The same through a store whose keys are folded, in several batches: levels of different sizes."""
+    store = ArticleStore(spark, scratch_path(spark, "articles"), buckets=8, fold=True)
+    store.load(fixture(spark, sf, "fx_fold_state"))
+    rows, known, ts = _fold_rows(spark, sf), src_sites(spark, sf), run_ts(spark)
+    last = rows.agg(F.max("ingest_seq")).first()[0]
+    for i, (low, high) in enumerate([(-1, 0.6), (0.6, 0.7), (0.7, 0.72), (0.72, 1)]):
+        seq = F.col("ingest_seq") / last
+        store.apply(rows.where((seq > low) & (seq <= high)), known, ts, f"part-{i}")
+    return _without_scrape(store.read())
+
+
 _CLASH = f"""
     WITH known AS (SELECT DISTINCT site_id FROM fx_src_sites),
     stored AS (SELECT url, NULL::BIGINT AS seq FROM fx_long WHERE ingest_seq % 5 = 0),

@@ -1,5 +1,9 @@
 """URL expressions."""
 
+import sys
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -109,3 +113,30 @@ def canonical_url(url: Column) -> Column:
 
 def has_date_path(url: Column) -> Column:
     return url.rlike(DATE_PATH)
+
+
+@cache
+def _plain_letters() -> tuple[str, str]:
+    """By Unicode's decompositions: letters with marks, and the small letters without; then marks, which go."""
+    letters, plain, marks = [], [], []
+    for char in map(chr, range(0x80, sys.maxunicode + 1)):
+        if unicodedata.category(char) == "Mn":
+            marks.append(char)
+            continue
+        base = "".join(c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn").lower()
+        if len(base) == 1 and base not in (char, char.lower()):
+            letters.append(char)
+            plain.append("\u03c3" if base == "\u03c2" else base)
+    return "".join(["\u03c2", *letters, *marks]), "".join(["\u03c3", *plain])
+
+
+def folded(url: Column) -> Column:
+    """The URL in small letters without accents, for keys that stand for all its spellings; a final sigma is a sigma."""
+    letters, plain = _plain_letters()
+    small = F.lower(F.when(url.rlike(r"[^\x00-\x7F]"), F.translate(url, letters, plain)).otherwise(url))
+    return F.when(F.contains(small, F.lit("\u03c2")), F.translate(small, "\u03c2", "\u03c3")).otherwise(small)
+
+
+def key_of(url: Column, fold: bool) -> Column:
+    """What two URLs have in common if they are one: all of it, or with ``fold`` its folded form."""
+    return folded(url) if fold else url

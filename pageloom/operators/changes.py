@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from pageloom.fixed_values import NO_TITLE
 from pageloom.functions.text import falsy_to_null
-from pageloom.functions.urls import netloc, registry_domain
-from pageloom.operators.numbering import RUN_ROWS, number_rows, previous_value
+from pageloom.functions.urls import key_of, netloc, registry_domain
+from pageloom.operators.numbering import RUN_ROWS, Ranged, number_rows, previous_value
 from pageloom.operators.registry import site_lookup
 from pageloom.schemas import ARTICLES, CHANGES, conform
 
@@ -34,10 +34,17 @@ def first_image(images: Column) -> Column:
     return F.try_element_at(images, F.lit(1))
 
 
-def stored_articles(state: DataFrame, batch: DataFrame) -> DataFrame:
+def named_by(keys: DataFrame, batch: DataFrame, fold: bool = False) -> DataFrame:
+    """The keys that a batch names by URL, with all their columns."""
+    if not fold:
+        return keys.join(batch.select("url"), "url", "left_semi")
+    named = batch.select(key_of(F.col("url"), fold).alias("_key"))
+    return keys.withColumn("_key", key_of(F.col("url"), fold)).join(named, "_key", "left_semi").drop("_key")
+
+
+def stored_articles(state: DataFrame, batch: DataFrame, fold: bool = False) -> DataFrame:
     """Id and hash of the stored articles that a batch names by URL."""
-    keys = state.select("article_id", "url", "content_hash")
-    return keys.join(batch.select("url"), "url", "left_semi")
+    return named_by(state.select("article_id", "url", "content_hash"), batch, fold)
 
 
 def content_hash(body: Column) -> Column:
@@ -64,17 +71,20 @@ def article_batch(predictions: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def change_log(
-    batch: DataFrame, state: DataFrame, run_rows: int = RUN_ROWS, ranged: DataFrame | None = None
+    batch: DataFrame, state: DataFrame, run_rows: int = RUN_ROWS, ranged: Ranged | None = None, fold: bool = False
 ) -> DataFrame:
     """Status of every batch row against the row before it, or against the stored article.
 
     Only URL, sequence number and hash are shuffled, never a body. ``ranged`` is a table with ``ingest_seq`` that is
-    cheaper to read than the batch.
+    cheaper to read than the batch, or the bounds of runs over it. With ``fold``, URLs that differ in case and accents
+    only are one.
     """
-    rows = batch.select("url", "site_id", "ingest_seq", "content_hash")
-    looked_back = previous_value(
-        rows, "url", "ingest_seq", "content_hash", state.select("url", "content_hash"), run_rows, ranged
-    )
+    rows, known = batch.select("url", "site_id", "ingest_seq", "content_hash"), state.select("url", "content_hash")
+    key = "url"
+    if fold:
+        key = "_key"
+        rows, known = (df.withColumn(key, key_of(F.col("url"), fold)) for df in (rows, known))
+    looked_back = previous_value(rows, key, "ingest_seq", "content_hash", known, run_rows, ranged)
     status = (
         F.when(F.col("previous").isNull(), "NEW")
         .when(~F.col("content_hash").eqNullSafe(F.col("previous.content_hash")), "UPDATED")
@@ -83,21 +93,26 @@ def change_log(
     return conform(looked_back.withColumn("status", status), CHANGES)
 
 
-def url_outcomes(changes: DataFrame) -> DataFrame:
-    """Per URL: is it new, when did it come first, and which row holds its final content."""
+def url_outcomes(changes: DataFrame, fold: bool = False) -> DataFrame:
+    """Per URL: is it new, when did it come first, and which row holds its final content.
+
+    With ``fold``, ``url`` is the spelling that came first.
+    """
     seq = F.col("ingest_seq")
     changed = F.when(F.col("status") != "UNCHANGED", F.struct(seq, "content_hash"))
+    keys = changes.withColumn("_key", key_of(F.col("url"), True)).groupBy("_key") if fold else changes.groupBy("url")
+    spelling = [F.min(F.struct(seq, "url"))["url"].alias("url")] if fold else []
     return (
-        changes.groupBy("url")
-        .agg(
+        keys.agg(
             F.min(seq).alias("first_seq"),
             F.max(changed).alias("_changed"),
             F.max(F.when(F.col("status") == "NEW", F.col("site_id"))).alias("new_site_id"),
             F.bool_or(F.col("status") == "NEW").alias("is_new"),
+            *spelling,
         )
         .withColumn("changed_seq", F.col("_changed.ingest_seq"))
         .withColumn("changed_hash", F.col("_changed.content_hash"))
-        .drop("_changed")
+        .drop("_changed", "_key")
     )
 
 
@@ -105,42 +120,44 @@ def number_new(
     outcomes: DataFrame,
     last_id: Column,
     run_rows: int = RUN_ROWS,
-    ranged: DataFrame | None = None,
+    ranged: Ranged | None = None,
 ) -> DataFrame:
     """Give new URLs the ids after ``last_id`` in order of their first appearance.
 
-    ``ranged`` is a table with ``ingest_seq`` that is cheaper to read than the outcomes.
+    ``ranged`` is a table with ``ingest_seq`` that is cheaper to read than the outcomes, or the bounds of runs over it.
     """
-    bounds = None if ranged is None else ranged.select(F.col("ingest_seq").alias("first_seq"))
+    bounds = ranged.select(F.col("ingest_seq").alias("first_seq")) if isinstance(ranged, DataFrame) else ranged
     return number_rows(outcomes, "first_seq", last_id, "new_id", run_rows, F.col("is_new"), bounds)
 
 
-def changed_contents(outcomes: DataFrame, batch: DataFrame) -> DataFrame:
+def changed_contents(outcomes: DataFrame, batch: DataFrame, fold: bool = False) -> DataFrame:
     """``url, title, body, image_url`` of the row that holds each new or changed URL's content.
 
     (URL, sequence number) is unique but for rows that were delivered twice, so no key is hot;
-    of those rows one is taken.
+    of those rows one is taken. With ``fold``, ``url`` is the folded URL.
     """
-    wanted = outcomes.where("changed_seq is not null").select("url", F.col("changed_seq").alias("ingest_seq"), F.col("changed_hash").alias("content_hash"))
+    key = key_of(F.col("url"), fold).alias("url")
+    wanted = outcomes.where("changed_seq is not null").select(key, F.col("changed_seq").alias("ingest_seq"), F.col("changed_hash").alias("content_hash"))
     keys = ["url", "ingest_seq", "content_hash"]
-    rows = batch.select(*keys, F.struct("title", "body", "image_url").alias("content"))
+    rows = batch.select(key, *keys[1:], F.struct("title", "body", "image_url").alias("content"))
     found = rows.join(wanted, keys, "left_semi").groupBy(*keys).agg(F.min("content").alias("content"))
     return found.select("url", "content.*")
 
 
 def upsert_keys(
-    keys: DataFrame, outcomes: DataFrame, run_ts: datetime.datetime, version: int
+    keys: DataFrame, outcomes: DataFrame, run_ts: datetime.datetime, version: int, fold: bool = False
 ) -> DataFrame:
-    """The keys of the state after a batch; texts take no part.
+    """The keys after a batch; texts take no part.
 
     New URLs are inserted; changed ones take hash and content version of the batch; every URL seen
-    gets a new ``last_cited_date``. ``site_id`` and ``scraped_at`` stay.
+    gets a new ``last_cited_date``. ``site_id``, ``scraped_at`` and the spelling of the URL stay.
     """
     old, new = keys.alias("old"), outcomes.withColumn("_seen", F.lit(True)).alias("new")
+    same = key_of(F.col("old.url"), fold) == key_of(F.col("new.url"), fold)
     exists = F.col("old.article_id").isNotNull()
     changed = F.col("new.changed_seq").isNotNull()
     now = F.lit(run_ts).cast("timestamp")
-    return old.join(new, F.col("old.url") == F.col("new.url"), "full_outer").select(
+    return old.join(new, same, "full_outer").select(
         F.coalesce("old.article_id", "new.new_id").alias("article_id"),
         F.when(exists, F.col("old.site_id")).otherwise(F.col("new.new_site_id")).alias("site_id"),
         F.coalesce("old.url", "new.url").alias("url"),
@@ -153,6 +170,14 @@ def upsert_keys(
     )
 
 
+def with_contents(keys: DataFrame, contents: DataFrame, fold: bool = False) -> DataFrame:
+    """Articles from keys and the contents that they point at, which are keyed as ``changed_contents`` gives them."""
+    if not fold:
+        return conform(keys.join(contents, ["url", "content_version"]), ARTICLES)
+    keyed = keys.withColumn("_key", key_of(F.col("url"), fold))
+    return conform(keyed.join(contents.withColumnRenamed("url", "_key"), ["_key", "content_version"]), ARTICLES)
+
+
 def upsert(
     state: DataFrame,
     batch: DataFrame,
@@ -160,19 +185,19 @@ def upsert(
     run_ts: datetime.datetime,
     last_id: Column,
     run_rows: int = RUN_ROWS,
+    fold: bool = False,
 ) -> DataFrame:
     """The article state after the batch, as one table.
 
     Keys and texts are merged apart: only texts of new and changed URLs move with the batch, and
     stored texts are joined once, to the keys that still point at them.
     """
-    outcomes = number_new(url_outcomes(changes), last_id, run_rows, batch)
-    keys = upsert_keys(state.withColumn("content_version", F.lit(0)), outcomes, run_ts, 1)
-    texts = ["url", "title", "body", "image_url"]
-    old = state.select(*texts, F.lit(0).cast("bigint").alias("content_version"))
-    new = changed_contents(outcomes, batch).withColumn("content_version", F.lit(1).cast("bigint"))
-    merged = keys.join(old.unionByName(new), ["url", "content_version"])
-    return conform(merged, ARTICLES)
+    outcomes = number_new(url_outcomes(changes, fold), last_id, run_rows, batch)
+    keys = upsert_keys(state.withColumn("content_version", F.lit(0)), outcomes, run_ts, 1, fold)
+    texts = ["title", "body", "image_url"]
+    old = state.select(key_of(F.col("url"), fold).alias("url"), *texts, F.lit(0).cast("bigint").alias("content_version"))
+    new = changed_contents(outcomes, batch, fold).withColumn("content_version", F.lit(1).cast("bigint"))
+    return with_contents(keys, old.unionByName(new), fold)
 
 
 def last_article_id(state: DataFrame) -> Column:

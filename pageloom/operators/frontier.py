@@ -146,19 +146,25 @@ def is_category_link(url: Column, keywords: list[str]) -> Column:
 
 
 def first_visits(
-    links: DataFrame, history: DataFrame | None = None, per_site: bool = True
+    links: DataFrame, history: DataFrame | None = None, per_site: bool = True, fold: bool = False
 ) -> DataFrame:
     """The first link to each URL, in page and link order; URLs of earlier runs are left out.
 
-    A minimum combines on the map side, so a URL that every page links to costs one row per task.
+    A minimum combines on the map side, so a URL that every page links to costs one row per task. With ``fold``, URLs
+    that differ in case and accents only are one.
     """
-    keys = ["site_domain", "full_url"] if per_site else ["full_url"]
+    site = ["site_domain"] if per_site else []
+    keys = [*site, "_visit"] if fold else [*site, "full_url"]
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_visit", U.folded(F.col("full_url"))) if fold else df
+
     rest = [c for c in links.columns if c not in keys and c not in ("src_page_id", "link_pos")]
     first = F.min(F.struct("src_page_id", "link_pos", *rest)).alias("first")
-    firsts = links.groupBy(*keys).agg(first).select(*keys, "first.*")
-    if history is None:
-        return firsts
-    return firsts.join(history.select(*keys).distinct(), keys, "left_anti")
+    firsts = keyed(links).groupBy(*keys).agg(first).select(*keys, "first.*")
+    if history is not None:
+        firsts = firsts.join(keyed(history).select(*keys).distinct(), keys, "left_anti")
+    return firsts.drop("_visit")
 
 
 def build_frontier(
@@ -168,10 +174,11 @@ def build_frontier(
     irrelevant_keywords: list[str],
     history: DataFrame | None = None,
     per_site: bool = True,
+    fold: bool = False,
 ) -> DataFrame:
     """Frontier of depth 1 with the provenance of each link."""
     return frontier_of(
-        followable_hrefs(pages), sites, category_keywords, irrelevant_keywords, history, per_site
+        followable_hrefs(pages), sites, category_keywords, irrelevant_keywords, history, per_site, fold
     )
 
 
@@ -182,6 +189,7 @@ def frontier_of(
     irrelevant_keywords: list[str],
     history: DataFrame | None = None,
     per_site: bool = True,
+    fold: bool = False,
 ) -> DataFrame:
     """The same from the hrefs of pages (``src_page_id, src_url, hrefs``)."""
     hrefs = attach_site(hrefs, sites, "src_url")
@@ -189,7 +197,7 @@ def frontier_of(
     relevant = links.drop("site_host").where(
         ~is_irrelevant(F.col("full_url"), irrelevant_keywords)
     )
-    return with_provenance(first_visits(relevant, history, per_site), category_keywords)
+    return with_provenance(first_visits(relevant, history, per_site, fold), category_keywords)
 
 
 def with_provenance(links: DataFrame, category_keywords: list[str]) -> DataFrame:
@@ -207,11 +215,11 @@ def with_provenance(links: DataFrame, category_keywords: list[str]) -> DataFrame
     )
 
 
-def attach_provenance(pages: DataFrame, frontier: DataFrame) -> DataFrame:
+def attach_provenance(pages: DataFrame, frontier: DataFrame, fold: bool = False) -> DataFrame:
     """Carry flag and source of the link to the fetched page; no link means no category link.
 
     ``frontier`` holds a URL once (per site: once per page and site). Pages that were redirected
-    may name the URL asked for in ``request_url``.
+    may name the URL asked for in ``request_url``. ``fold`` is as in ``first_visits``.
     """
     asked = (
         F.coalesce(F.col("request_url"), F.col("url"))
@@ -220,9 +228,9 @@ def attach_provenance(pages: DataFrame, frontier: DataFrame) -> DataFrame:
     )
     keys = ["link_url"] + (["site_domain"] if "site_domain" in pages.columns else [])
     links = frontier.select(
-        F.col("full_url").alias("link_url"), *keys[1:], "is_category_link", "source_xpath"
+        U.key_of(F.col("full_url"), fold).alias("link_url"), *keys[1:], "is_category_link", "source_xpath"
     )
-    joined = pages.withColumn("link_url", U.canonical_url(asked)).join(links, keys, "left")
+    joined = pages.withColumn("link_url", U.key_of(U.canonical_url(asked), fold)).join(links, keys, "left")
     return joined.withColumn(
         "is_category_link", F.coalesce("is_category_link", F.lit(False))
     ).drop("link_url")

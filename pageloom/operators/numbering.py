@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 RUN_ROWS = 1 << 20
+#: A table with the sequence numbers, or the bounds of runs over them.
+Ranged = DataFrame | list[float]
 #: Quantiles that the first look takes; enough for half as many runs.
 QUANTILES = 1024
 #: Rank error of the sketch, as a part of the distance of two quantiles.
@@ -38,9 +40,9 @@ def run_bounds(ranged: DataFrame, order: str, run_rows: int) -> list[float]:
     return sorted({found[i * parts // runs - 1] for i in range(1, runs)})
 
 
-def with_run(df: DataFrame, order: str, run_rows: int, ranged: DataFrame) -> DataFrame:
+def with_run(df: DataFrame, order: str, run_rows: int, ranged: Ranged) -> DataFrame:
     """Add ``_run``, which never falls as ``order`` rises, nulls first; ``ranged`` gives the numbers' distribution."""
-    bounds = run_bounds(ranged, order, run_rows)
+    bounds = run_bounds(ranged, order, run_rows) if isinstance(ranged, DataFrame) else ranged
     if not bounds:
         return df.withColumn("_run", F.lit(0))
     infinite = float("inf")
@@ -56,13 +58,13 @@ def number_rows(
     name: str,
     run_rows: int = RUN_ROWS,
     only: Column | None = None,
-    ranged: DataFrame | None = None,
+    ranged: Ranged | None = None,
 ) -> DataFrame:
     """Consecutive numbers after ``start`` in the order of a unique sequence column.
 
     Rows are numbered inside each run; the runs' counts, one row per run, give the offsets.
     With ``only``, rows that fail it stay without a number. ``ranged`` is a table with the same
-    column that is cheaper to read than ``df``, if there is one.
+    column that is cheaper to read than ``df``, or the bounds of runs over it.
     """
     counted = F.when(F.lit(True) if only is None else only, 1).otherwise(0)
     runs = with_run(df, order, run_rows, df if ranged is None else ranged)
@@ -89,7 +91,7 @@ def previous_value(
     value: str,
     initial: DataFrame,
     run_rows: int = RUN_ROWS,
-    ranged: DataFrame | None = None,
+    ranged: Ranged | None = None,
 ) -> DataFrame:
     """Add ``previous``, a struct with the preceding row's value for the same key.
 

@@ -183,6 +183,60 @@ def test_store(spark, folder):
     assert store.read().count() == 21
 
 
+def test_a_batch_writes_its_own_keys(spark, folder):
+    """A store of many articles and batches of a few: levels grow geometrically, and the newest row of a URL counts."""
+    sites, store = spark.createDataFrame([(1,)], "site_id bigint"), ArticleStore(spark, folder, buckets=4)
+    store.apply(batch_of(spark, [(i, f"u{i}", "A") for i in range(500)]), sites, NOW, "b0")
+    expected = {f"u{i}": ("A", i + 1) for i in range(500)}
+    for n in range(1, 7):
+        rows = [(i, f"u{i * n}", f"{n}") for i in range(9)] + [(20, f"new{n}", "N")]
+        store.apply(batch_of(spark, rows), sites, LATER, f"b{n}")
+        expected |= {u: (b, expected.get(u, (0, 500 + n))[1]) for _, u, b in rows}
+        commit = store.current()
+        written = spark.read.parquet(f"{folder}/keys/v={commit.version}").count()
+        assert commit.levels[0] == (1, 500) and written == (10 if n == 1 else written) <= 10 * n
+        assert len(commit.levels) <= 4
+    assert {r["url"]: (r["body"], r["article_id"]) for r in store.read().collect()} == expected
+
+
+def test_levels_merge_into_the_base(spark, folder):
+    sites, store = spark.createDataFrame([(1,)], "site_id bigint"), ArticleStore(spark, folder, buckets=2)
+    for n in range(4):
+        store.apply(batch_of(spark, [(i, f"u{i}", f"{n}") for i in range(30)]), sites, NOW, f"b{n}")
+        assert len(store.current().levels) == 1
+        assert spark.read.parquet(f"{folder}/keys/v={n + 1}").count() == 30
+    assert {r["body"] for r in store.read().collect()} == {"3"} and store.read().count() == 30
+
+
+SPELLINGS = ["https://a.gr/άρθρος", "https://A.gr/ΆΡΘΡΟΣ", "HTTPS://a.gr/αρθροσ", "https://a.gr/άρθρος"]
+
+
+def test_folded_urls(spark, folder):
+    """Equal keys share a bucket, name one article, and keep its first spelling, in the store and in the frontier."""
+    from pageloom.functions.urls import folded
+    from pageloom.operators.frontier import first_visits
+
+    urls = spark.createDataFrame([(u,) for u in SPELLINGS], "url string")
+    assert values(urls.select(folded(F.col("url"))).distinct()) == [("https://a.gr/αρθροσ",)]
+    store = ArticleStore(spark, folder, buckets=64, fold=True)
+    assert urls.select(store._bucket()).distinct().count() == 1
+    sites = spark.createDataFrame([(1,)], "site_id bigint")
+    rows = [(i, u, "AB"[i > 1]) for i, u in enumerate(SPELLINGS)] + [(9, "https://b.gr/x", "X")]
+    log = store.apply(batch_of(spark, rows[:3] + rows[4:]), sites, NOW, "one")
+    assert values(log, "ingest_seq", "status") == [(0, "NEW"), (1, "UNCHANGED"), (2, "UPDATED"), (9, "NEW")]
+    assert ArticleStore(spark, folder).fold
+    log = store.apply(batch_of(spark, rows[3:4]), sites, LATER, "two")
+    assert values(log, "ingest_seq", "status") == [(3, "UNCHANGED")]
+    assert values(store.read(), "article_id", "url", "body") == [(1, SPELLINGS[0], "B"), (2, "https://b.gr/x", "X")]
+    exact = D.change_log(batch_of(spark, rows), state_of(spark, []))
+    assert exact.where("status = 'NEW'").count() == 5
+    long = [(i, u + "/" + "x" * 300, "A") for i, u in enumerate(SPELLINGS)]
+    assert integrity.accepted(integrity.check_articles(batch_of(spark, long), state_of(spark, []), sites, fold=True)).count() == 4
+    links = spark.createDataFrame([(i, 0, "a.gr", u) for i, u in enumerate(SPELLINGS)], "src_page_id int, link_pos int, site_domain string, full_url string")
+    assert values(first_visits(links, fold=True), "src_page_id", "full_url") == [(0, SPELLINGS[0])]
+    assert first_visits(links, links.where("src_page_id = 2"), fold=True).count() == 0 and first_visits(links).count() == 4
+
+
 def test_result_does_not_depend_on_partitions(spark):
     rows = [(i, f"u{i % 9}", "AB"[i % 4 == 0]) for i in range(200)]
     state = state_of(spark, [(1, "u1", "A", md5("A"))])
