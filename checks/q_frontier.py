@@ -8,6 +8,8 @@ from checks.base import fixture, query, sites, table
 from checks.fixtures import CATEGORY_WORDS, GENERAL_WORDS, IRRELEVANT_WORDS
 from checks.q_pages import pages
 from pageloom.operators import frontier as L
+from pageloom.session import scratch_path
+from pageloom.sinks.visited import VisitedSet
 from pageloom.sources.keywords import keyword_lists, keyword_table
 
 CATEGORY = [w.lower() for ws in CATEGORY_WORDS.values() for w in ws] + GENERAL_WORDS
@@ -206,6 +208,25 @@ def l10(spark, sf):
     )
 
 
+@query(
+    "l10_visited_set",
+    f"""SELECT site_domain, full_url, page_id AS src_page_id, link_pos
+        FROM (SELECT *, row_number() OVER (PARTITION BY site_domain, full_url
+                                           ORDER BY page_id, link_pos) AS rn,
+                     bool_or(page_id % 5 = 0 OR page_id % 7 = 0) OVER (PARTITION BY site_domain, full_url) AS seen
+              FROM ({ON_SITE}) AS o) AS f
+        WHERE rn = 1 AND NOT seen""",
+)
+def l10_visited(spark, sf):
+    """First visits against a kept set of two earlier runs, whose bits leave most links without a comparison."""
+    visited, found = VisitedSet(spark, scratch_path(spark, "visited"), cells=16), site_links(spark, sf)
+    for run, part in enumerate(["src_page_id % 5 = 0", "src_page_id % 7 = 0"]):
+        visited.add(f"run-{run}", found.where(part).select("site_domain", "full_url"))
+    return L.first_visits(found, visited.unseen).select(
+        "site_domain", "full_url", "src_page_id", F.col("link_pos").cast("bigint")
+    )
+
+
 _FOLDED_URL = "lower(strip_accents(full_url))"
 
 

@@ -1,5 +1,7 @@
 """Link frontier: which pages to visit next, and where each of them was found."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,8 +147,12 @@ def is_category_link(url: Column, keywords: list[str]) -> Column:
     return let(F.lower(url), lambda lowered: contains_any(lowered, keywords))
 
 
+#: Links of earlier runs as a table, or what leaves them out of a table of links.
+History = DataFrame | Callable[[DataFrame], DataFrame]
+
+
 def first_visits(
-    links: DataFrame, history: DataFrame | None = None, per_site: bool = True, fold: bool = False
+    links: DataFrame, history: History | None = None, per_site: bool = True, fold: bool = False
 ) -> DataFrame:
     """The first link to each URL, in page and link order; URLs of earlier runs are left out.
 
@@ -162,7 +168,9 @@ def first_visits(
     rest = [c for c in links.columns if c not in keys and c not in ("src_page_id", "link_pos")]
     first = F.min(F.struct("src_page_id", "link_pos", *rest)).alias("first")
     firsts = keyed(links).groupBy(*keys).agg(first).select(*keys, "first.*")
-    if history is not None:
+    if callable(history):
+        firsts = history(firsts.drop("_visit"))
+    elif history is not None:
         firsts = firsts.join(keyed(history).select(*keys).distinct(), keys, "left_anti")
     return firsts.drop("_visit")
 
@@ -172,7 +180,7 @@ def build_frontier(
     sites: DataFrame,
     category_keywords: list[str],
     irrelevant_keywords: list[str],
-    history: DataFrame | None = None,
+    history: History | None = None,
     per_site: bool = True,
     fold: bool = False,
 ) -> DataFrame:
@@ -187,7 +195,7 @@ def frontier_of(
     sites: DataFrame,
     category_keywords: list[str],
     irrelevant_keywords: list[str],
-    history: DataFrame | None = None,
+    history: History | None = None,
     per_site: bool = True,
     fold: bool = False,
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from pageloom.plans.scoring import Labeller, store_articles
 from pageloom.sinks import items as item_sinks
 from pageloom.sinks.article_store import ArticleStore
 from pageloom.sinks.registry import write_sites
+from pageloom.sinks.visited import VisitedSet
 from pageloom.sources.keywords import KeywordLists
 from pageloom.sources.registry import read_sites
 
@@ -39,12 +40,14 @@ def run(
     out: str,
     run_id: str,
     run_ts: datetime.datetime,
+    visited: VisitedSet | None = None,
 ) -> RunResult:
     """Run all active sites at once; pages are split by rows, not by site.
 
     Each page's html is read once: hrefs and texts are written, and frontier and items are made from
     them. The frontier is written too, and predictions before they are stored. The registry with the
-    new visit times is written below ``out``.
+    new visit times is written below ``out``. With ``visited``, URLs of earlier runs are left out of the frontier, and
+    its URLs are added.
     """
     active = sites.where(F.col("active"))
 
@@ -53,7 +56,9 @@ def run(
         return spark.read.schema(df.schema).parquet(f"{out}/{name}")
 
     parsed = written(parse_for_run(pages, rules is not None), "parsed")
-    links = written(run_links(parsed, active, keywords), "frontier")
+    links = written(run_links(parsed, active, keywords, visited and visited.unseen), "frontier")
+    if visited:
+        visited.add(run_id, links)
     items = run_items(parsed, active, rules, links)
     predicted = labeller(items.withColumn("ingest_seq", F.col("page_id")))
     path = f"{out}/predictions"

@@ -49,12 +49,14 @@ def parse_for_run(pages: DataFrame, any_rules: bool) -> DataFrame:
     return extract.parse_pages(pages.withColumn("hrefs", F.when(is_source, kept)), any_rules)
 
 
-def run_links(parsed: DataFrame, sites: DataFrame, keywords: KeywordLists) -> DataFrame:
-    """Frontier of the parsed pages of the given sites."""
+def run_links(
+    parsed: DataFrame, sites: DataFrame, keywords: KeywordLists, history: frontier.History | None = None
+) -> DataFrame:
+    """Frontier of the parsed pages of the given sites, without URLs of earlier runs."""
     sources = parsed.where(F.col("hrefs").isNotNull()).select(
         F.col("page_id").alias("src_page_id"), F.col("url").alias("src_url"), "hrefs"
     )
-    return frontier.frontier_of(sources, sites, keywords.category, keywords.irrelevant)
+    return frontier.frontier_of(sources, sites, keywords.category, keywords.irrelevant, history)
 
 
 def run_items(

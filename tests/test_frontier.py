@@ -117,3 +117,49 @@ def test_seed_and_allowed_hosts(spark):
     assert values(L.seed_sites(sites, "https://b.gr\n"), "domain") == [("b.gr",)]
     assert L.seed_sites(sites).count() == 3
     assert values(L.allowed_hosts(sites)) == [("a.gr",), ("www.a.gr",)]
+
+
+LINKS = "src_page_id int, link_pos int, site_domain string, full_url string"
+
+
+def test_visited_set(spark, folder):
+    """New links pass by the bitmap alone; only possible hits are compared, and none is lost."""
+    from pageloom.sinks.visited import CELL_BITS, VisitedSet
+
+    def links(numbers, site="a.gr"):
+        return spark.createDataFrame([(i, 0, site, f"https://a.gr/{i}") for i in numbers], LINKS).repartition(3)
+
+    visited = VisitedSet(spark, folder, cells=2)
+    assert visited.unseen(links(range(5))).count() == 5
+    visited.add("r1", links(range(1000)))
+    visited.add("r2", links(range(900, 2000)).unionByName(spark.createDataFrame([(1, 0, "a.gr", None)], LINKS)))
+    visited.add("r2", links(range(900, 2000)))  # a run written again
+    assert visited.urls().count() == 2100
+    found = visited.told_apart(links(range(1500, 6000)))
+    possible = found.possible.count()
+    assert 500 <= possible < 500 + 3 * 4000 * 2000 / (2 * CELL_BITS) and found.new.count() == 4500 - possible
+    assert values(visited.unseen(links(range(1500, 6000))), "src_page_id") == [(i,) for i in range(2000, 6000)]
+    assert visited.unseen(links(range(10), "b.gr")).count() == 10
+    assert VisitedSet(spark, folder, cells=2).unseen(links(range(3000))).count() == 1000
+    nulls = spark.createDataFrame([(1, 0, "a.gr", None), (2, 0, None, "https://a.gr/1")], LINKS)
+    assert visited.unseen(nulls).count() == 2
+
+
+def test_crowded_bits_cost_no_link(spark, folder):
+    from pageloom.sinks.visited import VisitedSet
+
+    links = spark.range(60_000).selectExpr("int(id) AS src_page_id", "0 AS link_pos", "'a.gr' AS site_domain", "concat('https://A.gr/', id) AS full_url")
+    visited = VisitedSet(spark, folder, cells=1, per_site=False, fold=True)
+    visited.add("r", links.where("src_page_id % 2 = 0").selectExpr("lower(full_url) AS full_url"))
+    assert visited.unseen(links).where("src_page_id % 2 = 1").count() == visited.unseen(links).count() == 30_000
+
+
+def test_second_run_visits_new_links_only(spark, folder):
+    from pageloom.sinks.visited import VisitedSet
+
+    visited = VisitedSet(spark, folder)
+    pages = [(1, "https://a.gr/", "<a href='/x'>x</a><a href='/y'>y</a>")]
+    first = build(spark, pages, [(1, "a.gr", "https://a.gr")], history=visited.unseen)
+    visited.add("r1", first)
+    more = [(2, "https://a.gr/z", "<a href='/y'>y</a><a href='/new'>n</a>")]
+    assert values(build(spark, more, [(1, "a.gr", "https://a.gr")], history=visited.unseen), "full_url") == [("https://a.gr/new",)]
