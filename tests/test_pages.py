@@ -165,6 +165,62 @@ def test_site_rules(spark):
     assert cleaned(spark, "https://IN.gr/a", "Πηγή: x") == "Πηγή: x"
 
 
+LITERALS = {
+    r"(\s*Έχετε δει \d+ από \d+ άρθρα\.\s*)": "ΈΧΕΤΕ ΔΕΙ ",
+    r"(\s*-\s*CITY GUIDE\s*-\s*PODCAST\s*-\s*\d+°\s*)": "CITY GUIDE",
+    r"abc?d*efg+h{0,2}ij": "EFG",
+    r"a|b": "",
+    r"x(abc)?y": "",
+    r"(?:abc)x": "",
+    r"[abc]de[^x]fgh$": "FGH",
+    r"\Qab\E": "",
+    r"ab\.cde": "CDE",
+    r"^\s+$": "",
+    r"ab+?cd*?ef{1,2}?ghi": "GHI",
+    r"one.two": "ONE",
+    "": "",
+}
+
+
+def test_required_literals(spark):
+    found = evaluate(spark, [(p,) for p in LITERALS], "p string", cleanup.required_literal(F.col("p")))
+    assert found == list(LITERALS.values())
+
+
+def test_every_match_holds_its_literal(spark):
+    """Random patterns and texts, letters with several cases among them: a literal never hides a match."""
+    rnd = random.Random(4)
+    letters = "aàKkKsſSiıİIßẞσςΣΩωΩǅǆÅåb1 ."
+    part = lambda: rnd.choice([rnd.choice(letters.replace(".", "")), rnd.choice(["\\s", ".", "[ab1]", "\\.", "(as)", "(ks)"])]) + rnd.choice(["", "", "", "?", "*", "+", "{1,2}"])
+    rows = [("".join(part() for _ in range(rnd.randrange(1, 6))), "".join(rnd.choice(letters) for _ in range(rnd.randrange(0, 25)))) for _ in range(6000)]
+    p, t = F.col("p"), F.col("t")
+    hits = F.struct(F.rlike(t, F.concat(F.lit(cleanup.PATTERN_FLAGS), p)).alias("match"), F.contains(cleanup.probe(t), cleanup.required_literal(p)).alias("held"))
+    found = evaluate(spark, rows, "p string, t string", hits)
+    assert not [row for row, r in zip(rows, found) if r["match"] and not r["held"]]
+    assert sum(r["match"] for r in found) > 1000 and sum(not r["held"] for r in found) > 1000
+
+
+def test_few_patterns_are_tried(spark):
+    """Same output with and without literals; the regular expressions run on a small part of the pages."""
+    rules = default_rules(spark)
+    texts = ["Κείμενο χωρίς τίποτα", "Α\nΠΗΓΉ: ΑΠΕ\nμετά", "ΤΑ ΠΙΟ ΔΗΜΟΦΙΛΗ\nΔΕΙΤΕ ΕΠΙΣΗΣ τέλος", "α - βγ", "x" * 500, ""] * 5
+    pages = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    every = cleanup.with_literals(rules).select(F.explode("patterns").alias("rule"))
+    bare = F.struct(F.col("rule.pattern").alias("pattern"), F.lit("").alias("literal"))
+    both = pages.crossJoin(every).select(
+        cleanup.remove_patterns(F.col("t"), F.array("rule")).alias("a"), cleanup.remove_patterns(F.col("t"), F.array(bare)).alias("b"),
+        cleanup.may_match(cleanup.probe(F.col("t")), F.col("rule")).alias("tried"),
+    )
+    assert both.where("a <> b").count() == 0 and both.where("a <> ''").count() > 0
+    assert both.where("tried").count() < both.count() / 3
+
+
+def test_a_removal_may_bring_a_match_together(spark):
+    rules = spark.createDataFrame([("a.gr", ["--", "ab"])], "domain string, patterns array<string>")
+    df = spark.createDataFrame([("https://a.gr/1", "xa--by")], "url string, article_body string")
+    assert cleanup.apply_site_rules(df, rules).first()["article_body"] == "xy"
+
+
 def test_line_filter(spark):
     body = "Α\nFollow us now\nfollow us\nΑκολουθήστε μας εδώ\nΔιαβάστε ακόμη: x\n "
     assert cleaned(spark, "https://o.gr", body) == "Α\nfollow us"
