@@ -10,6 +10,7 @@ table arrives as one record per task.
 Null texts count as empty. Of equal texts the smallest id stays; null ids come after all others, and a group of
 null ids only has a null ``keep_id``. Rows that repeat both id and text are one group member each, and are all
 marked as kept if their id stays; ``drop_duplicates`` then keeps one of them. An empty table gives an empty result.
+``mark_duplicates`` leaves other columns out; ``drop_duplicates`` passes them on as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pageloom.llm.shared import stored, text_of
+from pageloom.llm.shared import stored, text_of, unused
 
-#: Bytes of distinct text that the table of a bucket may hold, and of those a task puts together before the shuffle.
+#: Bytes of distinct texts that the table of a bucket may hold, and of those a task puts together before the shuffle.
 TABLE_BYTES = 32 << 20
+#: Bytes that a text costs besides its own: a row of the table, its numbers and its slot.
+ROW_BYTES = 400
 #: Buckets for each shuffle partition, so that partitions are even.
 BUCKETS_PER_PARTITION = 8
 
@@ -53,7 +56,7 @@ class OpenTable:
             at = (at + 1) & mask
         self.slots[at] = len(self.rows)
         self.rows.append([key, text, doc_id, count, bucket])
-        self.bytes += len(text)
+        self.bytes += len(text) + ROW_BYTES
         if 2 * len(self.rows) > len(self.slots):
             self._grow()
 
@@ -78,7 +81,7 @@ def bucket_of(keys: DataFrame, table_bytes: int = TABLE_BYTES) -> Column:
     number of parts, come to the driver. A bucket of a single text is not split further.
     """
     spark = keys.sparkSession
-    texts = keys.groupBy("key").agg(F.max("size").alias("size"))
+    texts = keys.groupBy("key").agg((F.max("size") + ROW_BYTES).alias("size"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = texts.agg(F.sum("size")).first()[0] or 0
     count = max(BUCKETS_PER_PARTITION * partitions, -(-2 * total // table_bytes))
@@ -169,9 +172,9 @@ def mark_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, one for each distinct text, with all their columns."""
-    keys = keyed(df, id_col, text_col)
-    kept = groups(df, keys, id_col, text_col).select(F.struct(F.col("keep_id"), "sha").alias("_row"))
-    named = df.withColumn("_row", F.struct(F.col(id_col).cast("long").alias("keep_id"), F.unhex(F.sha2(normalised(text_col), 256)).alias("sha")))
-    repeats = Window.partitionBy("_row").orderBy(F.col(text_col).asc_nulls_last())
-    left = named.join(kept, "_row", "left_semi").withColumn("_repeat", F.row_number().over(repeats))
-    return left.where("_repeat = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    keys, row, repeat = keyed(df, id_col, text_col), unused(df, "_row"), unused(df, "_repeat")
+    kept = groups(df, keys, id_col, text_col).select(F.struct(F.col("keep_id"), "sha").alias(row))
+    named = df.withColumn(row, F.struct(F.col(id_col).cast("long").alias("keep_id"), F.unhex(F.sha2(normalised(text_col), 256)).alias("sha")))
+    repeats = Window.partitionBy(row).orderBy(F.col(text_col).asc_nulls_last())
+    left = named.join(kept, row, "left_semi").withColumn(repeat, F.row_number().over(repeats))
+    return left.where(F.col(repeat) == 1).select(*[F.col(f"`{c}`") for c in df.columns])

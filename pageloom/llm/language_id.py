@@ -131,9 +131,14 @@ def _added(a: Column, b: Column) -> Column:
 
 
 def fuse(df: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """Adds ``lang, confidence, text_lang`` to rows with ``text_logs, declared, suffix, host, domain``."""
-    n = len(languages)
-    q = stored(df.withColumn("q", _softmax(F.col("text_logs"))), "language-evidence")
+    """Adds ``lang, confidence, text_lang`` to rows with ``text_logs, declared, suffix, host, domain``.
+
+    Other columns are passed on, whatever their names, except those named like an output, which are replaced.
+    """
+    n, evidence, outputs = len(languages), ["text_logs", "declared", "suffix", "host", "domain"], ["lang", "confidence", "text_lang"]
+    kept = [c for c in df.columns if c.lower() not in ("text_logs", *outputs)]
+    carried = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("carried")
+    q = stored(df.select(carried, *evidence, _softmax(F.col("text_logs")).alias("q")), "language-evidence")
     zeros = F.array_repeat(F.lit(0.0), n)
     everything = F.array(*[F.coalesce(F.sum(F.col("q")[i]), F.lit(0.0)) for i in range(n)])
     total = list(q.agg(everything).first()[0])
@@ -159,5 +164,4 @@ def fuse(df: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
     names = F.array(*map(F.lit, languages))
     first = lambda values: names[(F.array_position(values, F.array_max(values)) - 1).cast("int")]
     judged = rows.withColumn("posterior", _softmax(logs))
-    kept = [c for c in df.columns if c != "text_logs"]
-    return judged.select(*kept, first(F.col("posterior")).alias("lang"), F.array_max("posterior").alias("confidence"), first(F.col("q")).alias("text_lang"))
+    return judged.select(*[F.col("carried")[c].alias(c) for c in kept], first(F.col("posterior")).alias("lang"), F.array_max("posterior").alias("confidence"), first(F.col("q")).alias("text_lang"))

@@ -30,7 +30,7 @@ def let_workers_import(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see, from ``spark.checkpoint.dir``.
 
-    Only where none is set (tests on one machine), a temporary folder is made and set.
+    Only where none is set on one machine (tests), a temporary folder is made and set; a cluster needs the setting.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -38,6 +38,8 @@ def shared_root(spark: SparkSession) -> str:
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = "file://" + tempfile.mkdtemp(prefix="pageloom-")
     spark.sparkContext.setCheckpointDir(root)
     return root
@@ -55,6 +57,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name for a column of our own that no column of ``df`` has, in any case of letters."""
+    known = {c.lower() for c in df.columns}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def text_of(column: str) -> Column:
     """A text column with null read as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

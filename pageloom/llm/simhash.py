@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
 from pageloom.llm.components import components
-from pageloom.llm.shared import steps, stored, text_of
+from pageloom.llm.shared import steps, stored, text_of, unused
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -220,10 +220,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, with all its columns: that of the smallest id."""
+    name, repeat = unused(df, "_row"), unused(df, "_repeat")
     row = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
-    first = near_duplicates(df, id_col, text_col).groupBy("root").agg(F.min(row).alias("_row")).select("_row")
+    first = near_duplicates(df, id_col, text_col).groupBy("root").agg(F.min(row).alias(name)).select(name)
     key = [c.alias(n) for c, n in zip(_row_key(id_col, text_col), ("doc_id", "text_key"))]
-    named = df.withColumn("_row", F.struct(F.col(id_col).isNull(), *key).cast(first.schema["_row"].dataType))
-    repeats = Window.partitionBy("_row").orderBy(F.col(text_col).asc_nulls_last())
-    left = named.join(first, "_row", "left_semi").withColumn("_repeat", F.row_number().over(repeats))
-    return left.where("_repeat = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    named = df.withColumn(name, F.struct(F.col(id_col).isNull(), *key).cast(first.schema[name].dataType))
+    repeats = Window.partitionBy(name).orderBy(F.col(text_col).asc_nulls_last())
+    left = named.join(first, name, "left_semi").withColumn(repeat, F.row_number().over(repeats))
+    return left.where(F.col(repeat) == 1).select(*[F.col(f"`{c}`") for c in df.columns])

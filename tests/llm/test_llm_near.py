@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -121,3 +122,15 @@ def test_equal_hashes_are_compared_in_full():
         table.add(i % 7, b"text %d" % (i % 500), i, 1, 0)
     assert len(table.rows) == len({(i % 7, i % 500) for i in range(3000)})
     assert sum(r[3] for r in table.rows) == 3000
+
+
+def test_a_table_counts_its_rows():
+    """What a table of short texts takes in memory is within what it counts."""
+    tracemalloc.start()
+    table = exact_dedup.OpenTable()
+    before, _ = tracemalloc.get_traced_memory()
+    for i in range(60_000):
+        table.add(i * 2654435761 % (1 << 62), b"%d" % i, i + 10**6, 1, i % 7 + 10**6)
+    after, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert after - before < table.bytes < 2 * (after - before)

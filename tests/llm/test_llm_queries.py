@@ -65,6 +65,15 @@ def test_stages_keep_the_columns(spark, sf_dir, odd, none):
         assert corpus_pipeline.encode(spark, docs, sf_dir).count() == docs.count()
 
 
+def test_columns_named_like_internal_ones(spark, sf_dir, documents):
+    """Stages pass columns on as they are, also those that have the names of columns of their own."""
+    docs = documents.where("doc_id < 60").selectExpr("*", "int(doc_id) AS _row", "concat('r', doc_id) AS _repeat", "doc_id AS key", "'s' AS sha", "doc_id AS bucket", "'b' AS print", "1 AS Root", "doc_id AS held_out")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.schema.simpleString() == docs.schema.simpleString()
+        assert kept.where("_row <> doc_id OR _repeat <> concat('r', doc_id) OR key <> doc_id OR print <> 'b'").count() == 0 < kept.count()
+
+
 def test_last_stage_decodes(spark, sf_dir, documents, texts):
     library = Tokenizer.from_file(queries.TOKENIZERS + "word_bpe_49k.json")
     got = corpus_pipeline.encode(spark, documents, sf_dir).collect()

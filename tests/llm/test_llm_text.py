@@ -1,6 +1,7 @@
 """Toxicity, decontamination, secret scans and language identification."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -250,3 +251,43 @@ def test_page_evidence(spark):
     got = {r.page_id: r for r in language_id.evidence_of_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert (got[1].declared, got[1].suffix, got[1].host, got[1].domain, got[1].text) == ("de", "de", "x.example.de:80", "example.de", "Wort")
     assert (got[2].declared, got[2].suffix, got[2].host, got[2].text) == (None, None, None, "")
+
+
+def test_fusion_by_plain_sums(spark):
+    """The fusion of all evidence against the same sums in plain Python; columns of any name pass by."""
+    rnd = random.Random(3)
+    n, rows = len(language_id.LANGUAGES), []
+    for i in range(120):
+        host = rnd.choice([None, "a.x.de", "b.x.de", "c.fr", "hot.com", "hot.com", "hot.com"])
+        domain = None if host is None else ".".join(host.split(".")[-2:])
+        rows.append((i, [rnd.uniform(-3, 0) for _ in range(n)], rnd.choice([None, "de", "fr", "xx"]), None if host is None else host.split(".")[-1], host, domain, f"q{i}", "own"))
+    df = spark.createDataFrame(rows, "i int, text_logs array<double>, declared string, suffix string, host string, domain string, q string, posterior string")
+    got = {r.i: r for r in language_id.fuse(df.repartition(3)).collect()}
+
+    def softmax(logs):
+        top = [math.exp(x - max(logs)) for x in logs]
+        return [x / sum(top) for x in top]
+
+    q = {r[0]: softmax(r[1]) for r in rows}
+    total = [sum(q[r[0]][k] for r in rows) for k in range(n)]
+    shares = [(x + 1) / (sum(total) + n) for x in total]
+
+    def likelihood(at, value):
+        if value is None:
+            return [0.0] * n
+        known = {r[at] for r in rows if r[at] is not None}
+        sums = {v: [sum(q[r[0]][k] for r in rows if r[at] == v) for k in range(n)] for v in known}
+        return [math.log((sums[value][k] + language_id.ADDED) / (sum(s[k] for s in sums.values()) + language_id.ADDED * len(known))) for k in range(n)]
+
+    for i, logs, declared, suffix, host, domain, *_ in rows:
+        if host is None:
+            prior = [math.log(x) for x in shares]
+        else:
+            mine, near = ([r for r in rows if r[at] == v] for at, v in ((4, host), (5, domain)))
+            top = [(sum(q[r[0]][k] for r in near) + language_id.PRIOR_TEXTS * shares[k]) / (len(near) + language_id.PRIOR_TEXTS) for k in range(n)]
+            others = [sum(q[r[0]][k] for r in mine if r[0] != i) for k in range(n)]
+            prior = [math.log((others[k] + language_id.PRIOR_TEXTS * top[k]) / (len(mine) - 1 + language_id.PRIOR_TEXTS)) for k in range(n)]
+        posterior = softmax([a + b + c + d for a, b, c, d in zip(logs, prior, likelihood(2, declared), likelihood(3, suffix))])
+        assert got[i].confidence == pytest.approx(max(posterior))
+        assert got[i].lang == language_id.LANGUAGES[posterior.index(max(posterior))]
+        assert (got[i].q, got[i].posterior) == (f"q{i}", "own")
