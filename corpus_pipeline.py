@@ -2,7 +2,7 @@
 
 Each stage is written as a table and read again as the documents of the next. Null texts count as empty throughout;
 repeated rows fall to exact deduplication; an empty table passes through. All stages but the last return the columns
-that they are given.
+that they are given, whatever their names.
 """
 
 from __future__ import annotations
