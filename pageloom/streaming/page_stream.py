@@ -11,6 +11,7 @@ from pageloom.plans.page_flow import fetched_items
 from pageloom.plans.scoring import Labeller, store_articles
 from pageloom.sinks.article_store import ArticleStore
 from pageloom.sinks.items import write_predictions
+from pageloom.sources.pages import ARRIVED
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -18,6 +19,16 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
 
 
+def without_repeats(pages: DataFrame, within: str) -> DataFrame:
+    """Pages with ``arrived_at``, without those whose id and content came before within some time, such as ``1 day``.
+
+    State holds the key of each page for that time, and no text. Pages meet it by key, so their html moves once.
+    """
+    keyed = pages.withColumn("_content", F.md5(F.coalesce("html", F.lit("")).cast("binary")))
+    known = keyed.withWatermark(ARRIVED, within).dropDuplicatesWithinWatermark(["page_id", "_content"])
+    return known.drop("_content")
+
+
 def start_page_stream(
     pages: DataFrame,
     sites: DataFrame,
@@ -28,6 +39,7 @@ def start_page_stream(
     checkpoint: str,
     run_ts: datetime.datetime,
     links: DataFrame | None = None,
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
     """Process all pages that are there, then stop.
 
@@ -35,21 +47,24 @@ def start_page_stream(
     its link from it. Output is written by site below the batch's folder. A micro-batch replayed
     after a failure writes to the same folder and finds its batch in the store's log; the log names
     batches by the stream's id, so another stream into the same store is not taken for a replay.
+    With ``repeats_within``, a page that is delivered again within that time is not parsed again; ``pages`` then come
+    with their arrival times.
     """
     active = sites.where(F.col("active"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stream = stream_id(spark, checkpoint)
-        items = fetched_items(batch, rules, links, active)
+        items = fetched_items(batch.drop(ARRIVED), rules, links, active)
         predicted = labeller(items.withColumn("ingest_seq", F.col("page_id")))
         folder = f"{raw_path}/stream={stream}/batch={batch_id}"
         write_predictions(predicted, folder, "parquet")
         stored = spark.read.schema(predicted.schema).parquet(folder)
         store_articles(store, stored, active, run_ts, f"{stream}-{batch_id}", stage=False)
 
+    fresh = without_repeats(pages, repeats_within) if repeats_within else pages
     return (
-        pages.writeStream.foreachBatch(handle)
+        fresh.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

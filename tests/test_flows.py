@@ -85,6 +85,36 @@ def test_stream_equals_batch(spark, folder):
     assert streamed.current().version == version + 1 and streamed.read().count() == before + 1
 
 
+def test_repeats_are_parsed_once_and_forgotten(spark, folder):
+    """Pages that come again within a day are passed over; after that the state has let them go."""
+    import os
+    import pathlib
+
+    root = pathlib.Path(folder.removeprefix("file://"), "in")
+    pages = table(spark, SF_DIR, "pages").orderBy("page_id").limit(20)
+    changed = pages.where("page_id < 3").withColumn("html", F.concat("html", F.lit("<p>more</p>")))
+    start = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc).timestamp()
+    for n, (days, df) in enumerate([(0, pages), (0.5, pages), (0.6, changed), (9, pages.where("page_id < 2")), (20, pages), (40, pages)]):
+        df.coalesce(1).write.parquet(f"{folder}/out{n}")
+        (part,) = pathlib.Path(folder.removeprefix("file://"), f"out{n}").glob("*.parquet")
+        root.mkdir(exist_ok=True)
+        part.rename(root / f"{n}.parquet")
+        os.utime(root / f"{n}.parquet", (start + days * 86400,) * 2)
+    from checks.base import fixture
+
+    sites = fixture(spark, SF_DIR, "fx_sites").withColumn("active", F.lit(True))
+    stream = start_page_stream(
+        stream_pages(spark, str(root), files_per_batch=1, arrivals=True), sites, None, rule_labeller,
+        ArticleStore(spark, f"{folder}/store", buckets=2), f"{folder}/raw", f"{folder}/checkpoint", NOW, None, "1 day",
+    )
+    stream.awaitTermination()
+    parsed = values(spark.read.parquet(f"{folder}/raw").groupBy("batch").count(), "batch", "count")
+    # What is older than the watermark goes at the end of the batch that moves it
+    assert parsed == [(0, 20), (2, 3), (5, 20)]
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in stream.recentProgress if p["stateOperators"]]
+    assert max(held) <= 23 and held[-1] <= 20
+
+
 def test_model_labels_a_stream(spark, folder):
     """The trained model serves as labeller on streamed pages; a class of all pages stores them."""
     from checks.base import fixture
