@@ -80,14 +80,23 @@ def remove_patterns(text: Column, patterns: Column) -> Column:
     return F.aggregate(patterns, start, step, lambda state: state["body"])
 
 
-def apply_site_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Clean ``article_body`` by the rules of the page's host; other hosts stay as they are."""
+def with_patterns(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """Add ``_patterns``, those of the page's host; null for other hosts."""
     keyed = with_literals(rules).select(F.col("domain").alias("rule_domain"), F.col("patterns").alias("_patterns"))
-    joined = pages.join(keyed, rule_host(F.col("url")) == F.col("rule_domain"), "left")
+    return pages.join(keyed, rule_host(F.col("url")) == F.col("rule_domain"), "left").drop("rule_domain")
+
+
+def apply_patterns(pages: DataFrame) -> DataFrame:
+    """Clean ``article_body`` by the row's ``_patterns``, which end here."""
     cleaned = F.when(
         F.col("_patterns").isNotNull(), remove_patterns(F.col("article_body"), F.col("_patterns"))
     ).otherwise(F.col("article_body"))
-    return joined.withColumn("article_body", cleaned).drop("rule_domain", "_patterns")
+    return pages.withColumn("article_body", cleaned).drop("_patterns")
+
+
+def apply_site_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """Clean ``article_body`` by the rules of the page's host; other hosts stay as they are."""
+    return apply_patterns(with_patterns(pages, rules))
 
 
 def clean_lines(text: Column) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import html as H
 from pageloom.functions import urls as U
-from pageloom.operators.cleanup import apply_site_rules, drop_boilerplate_lines
+from pageloom.operators.cleanup import apply_patterns, drop_boilerplate_lines, with_patterns
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -60,9 +60,12 @@ def parse_pages(pages: DataFrame, any_rules: bool = True) -> DataFrame:
 
 def clean_pages(parsed: DataFrame, rules: DataFrame | None) -> DataFrame:
     """Bodies of parsed pages, cleaned by the rules of their sites."""
-    if rules is None:
-        return parsed
-    return fill_empty_bodies(drop_boilerplate_lines(apply_site_rules(parsed, rules)))
+    return parsed if rules is None else clean_by_patterns(with_patterns(parsed, rules))
+
+
+def clean_by_patterns(parsed: DataFrame) -> DataFrame:
+    """The same for pages that have their patterns."""
+    return fill_empty_bodies(drop_boilerplate_lines(apply_patterns(parsed)))
 
 
 def extract_pages(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:

@@ -1,9 +1,11 @@
 """From fetched pages to page items."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.operators import extract, frontier
+from pageloom.operators import cleanup, extract, frontier
 from pageloom.operators.features import page_items
 from pageloom.sources.keywords import KeywordLists
 
@@ -22,19 +24,34 @@ def fetched_items(
     return items_of(extract.parse_pages(pages, rules is not None), rules, links, sites)
 
 
+#: Columns by which a page's site, patterns and link are found.
+_LOOKED_UP_BY = ("page_id", "url", "request_url", "site_domain")
+
+
 def items_of(
     parsed: DataFrame,
     rules: DataFrame | None = None,
     links: DataFrame | None = None,
     sites: DataFrame | None = None,
 ) -> DataFrame:
-    """The same from parsed pages."""
+    """The same from parsed pages.
+
+    With links, all that is looked up for a page is found by its narrow columns first, and joined to the texts once.
+    """
+    if links is None:
+        if sites is not None:
+            parsed = frontier.attach_site(parsed, sites, "url").drop("site_host")
+        return page_items(extract.clean_pages(parsed, rules))
+    keys = [c for c in _LOOKED_UP_BY if c in parsed.columns]
+    found = parsed.select(*keys).distinct()
     if sites is not None:
-        parsed = frontier.attach_site(parsed, sites, "url").drop("site_host")
-    cleaned = extract.clean_pages(parsed, rules)
-    if links is not None:
-        cleaned = frontier.attach_provenance(cleaned, links)
-    return page_items(cleaned)
+        found = frontier.attach_site(found, sites, "url").drop("site_host")
+    if rules is not None:
+        found = cleanup.with_patterns(found, rules)
+    found = frontier.attach_provenance(found, links).withColumnsRenamed({c: f"_{c}" for c in keys})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    joined = parsed.join(found, same).drop(*[f"_{c}" for c in keys])
+    return page_items(joined if rules is None else extract.clean_by_patterns(joined))
 
 
 def parse_for_run(pages: DataFrame, any_rules: bool) -> DataFrame:

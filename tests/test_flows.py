@@ -215,6 +215,28 @@ def test_no_html_is_shuffled_without_broadcasts(spark, folder, capsys, no_broadc
         assert inputs and not [i for i in inputs if "article_body" in i and "html#" in i]
 
 
+def test_bodies_move_once_without_broadcasts(spark, folder, capsys, no_broadcast):
+    """Site, rules and provenance are found by narrow columns, so texts are in one exchange at most."""
+    from checks.base import fixture
+    from checks.q_frontier import lists
+    from checks.q_pages import rules
+    from pageloom.plans.page_flow import items_of, parse_for_run, run_items, run_links
+
+    sites, own_rules = fixture(spark, SF_DIR, "fx_sites"), rules(spark, SF_DIR)
+    parse_for_run(fixture(spark, SF_DIR, "fx_linked"), True).write.parquet(f"{folder}/parsed")
+    parsed = spark.read.parquet(f"{folder}/parsed")
+    run_links(parsed, sites, lists(spark)).write.parquet(f"{folder}/links")
+    links = spark.read.parquet(f"{folder}/links")
+    items = run_items(parsed, sites, own_rules, links)
+    moved = [i for i in exchanged_columns(items, capsys) if "article_body" in i]
+    assert len(moved) == 1
+    # Pages that come twice, and pages without id and URL, are looked up like others
+    odd = parsed.limit(2).withColumns({"page_id": F.lit(None).cast("bigint"), "url": F.lit(None).cast("string")})
+    twice = parsed.unionByName(parsed).unionByName(odd)
+    assert items_of(twice, own_rules, links, sites).count() == 2 * items.count()
+    assert items_of(twice, own_rules, links).count() == 2 * parsed.count() + 2
+
+
 def test_full_run_without_pages_of_its_sites(spark, folder):
     from checks.q_frontier import lists
     from pageloom.plans import full_run
