@@ -22,6 +22,7 @@ _CONTENT_TAG = (
     r"(?s)<([a-zA-Z][a-zA-Z0-9-]*)\s(?:[^>]*\s)?(?i:class)\s*=\s*"
     + rf"""(?:"(?:[^">]*\s)?{_CONTENT}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{_CONTENT}(?:\s[^'>]*)?'|{_CONTENT}(?=[\s>]))"""
 )
+_SPACE_REFERENCE, _REFERENCE = "&(?:nbsp|#160|#[xX][aA]0);", "&#?[A-Za-z0-9]{1,31};"
 #: Begin and end of an outermost article among the blocks: characters that no page may hold.
 _BEGIN, _END = "\ufdd0", "\ufdd1"
 
@@ -47,36 +48,29 @@ def attribute(tag: Column, name: str) -> Column:
     return unquote(raw_attribute(tag, name))
 
 
-def _pieces(html: Column, tag: str) -> Column:
-    """The markup cut before each opening and after each closing tag of a kind."""
-    return F.split(html, rf"(?i)(?=<{tag}\b)|(?<=</{tag}\s{{0,9}}>)")
-
-
-def _opens(piece: Column, tag: str) -> Column:
-    return piece.rlike(rf"(?i)^<{tag}\b").cast("int")
-
-
-def _closes(piece: Column, tag: str) -> Column:
-    return piece.rlike(rf"(?i)</{tag}\s*>$").cast("int")
-
-
-def _without_side(html: Column, tag: str) -> Column:
+def _without_side(html: Column, tag: Column) -> Column:
     """The markup without advertisement and comment elements of a kind, nested ones included.
 
     Markup in which such an element is never closed stays as it is.
     """
-    start_tag = rf"(?is)^<{tag}{_SIDE_CLASS}"
+
+    def pattern(before: str, after: str) -> Column:
+        return F.concat(F.lit(before), tag, F.lit(after))
+
+    # Cut before each opening and after each closing tag of the kind
+    pieces = F.split(html, F.concat(pattern(r"(?i)(?=<", r"\b)|"), pattern("(?<=</", r"\s{0,9}>)")))
+    side_tag, opening, closing = pattern("(?is)^<", _SIDE_CLASS), pattern("(?i)^<", r"\b"), pattern("(?i)</", r"\s*>$")
 
     def step(state: Column, piece: Column) -> Column:
-        begins = (state["depth"] == 0) & piece.rlike(start_tag)
-        hidden = begins | (state["depth"] > 0)
-        depth = F.when(hidden, state["depth"] + _opens(piece, tag) - _closes(piece, tag)).otherwise(0)
+        hidden = (state["depth"] > 0) | F.rlike(piece, side_tag)
+        moved = F.rlike(piece, opening).cast("int") - F.rlike(piece, closing).cast("int")
+        depth = F.when(hidden, state["depth"] + moved).otherwise(0)
         kept = F.when(hidden, state["kept"]).otherwise(F.concat(state["kept"], piece))
         return F.struct(F.greatest(depth, F.lit(0)).alias("depth"), kept.alias("kept"))
 
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept"))
-    cut = F.aggregate(_pieces(html, tag), start, step, lambda s: F.when(s["depth"] == 0, s["kept"]))
-    return F.when(html.rlike(rf"(?is)<{tag}{_SIDE_CLASS}"), F.coalesce(cut, html)).otherwise(html)
+    cut = F.aggregate(pieces, start, step, lambda s: F.when(s["depth"] == 0, s["kept"]))
+    return F.when(F.rlike(html, pattern("(?is)<", _SIDE_CLASS)), F.coalesce(cut, html)).otherwise(html)
 
 
 def without_side_blocks(html: Column) -> Column:
@@ -90,25 +84,26 @@ def without_side_blocks(html: Column) -> Column:
         rf"{t}{_SIDE_CLASS}[^<]*+(?:<(?!/?{t}\b)[^<]*+)*+</{t}\s*>" for t in _SIDE_TAGS
     )
 
-    def all_tags(markup: Column, tags: list[str]) -> Column:
-        if not tags:
-            return markup
-        return let(_without_side(markup, tags[0]), lambda rest: all_tags(rest, tags[1:]))
+    def all_tags(markup: Column) -> Column:
+        return F.aggregate(F.array(*map(F.lit, _SIDE_TAGS)), markup, _without_side)
 
     return let(
         F.regexp_replace(html, f"(?is)<(?:{flat})", ""),
-        lambda h: F.when(h.rlike(any_tag), all_tags(h, _SIDE_TAGS)).otherwise(h),
+        lambda h: F.when(h.rlike(any_tag), all_tags(h)).otherwise(h),
     )
 
 
-def _outermost(pieces: Column) -> Column:
-    """The outermost elements of ``nested`` pieces, between marks."""
-    marked = lambda p: F.concat(
+def _marked(scope: Column) -> Column:
+    """A scope with its outermost articles between marks."""
+    piece = lambda p: F.concat(
         F.when((p["before"] == 1) & T.is_inside(p), _BEGIN).otherwise(""),
         p["text"],
         F.when((p["after"] == 1) & T.is_inside(p), _END).otherwise(""),
     )
-    return F.array_join(F.transform(pieces, marked), "")
+    every = F.array_join(F.transform(T.nested(scope, "article"), piece), "")
+    open_ended = lambda m: F.contains(m, F.lit(_BEGIN)) & ~F.contains(F.substring_index(m, _BEGIN, -1), F.lit(_END))
+    several = let(every, lambda m: F.when(open_ended(m), F.concat(m, F.lit(_END))).otherwise(m))
+    return F.when(T.has_element(scope, "article"), several).otherwise(scope)
 
 
 def _scope(markup: Column) -> Column:
@@ -124,7 +119,9 @@ def _scope(markup: Column) -> Column:
 
 
 def _plain_chars(markup: Column) -> Column:
-    return F.length(strip(decode_entities(F.regexp_replace(markup, f"{_TAG}|[{_BEGIN}{_END}]", ""))))
+    """Characters of text; a character reference counts as one, and as none if it is a space."""
+    text = F.regexp_replace(markup, f"{_TAG}|[{_BEGIN}{_END}]", "")
+    return F.length(strip(F.regexp_replace(F.regexp_replace(text, _SPACE_REFERENCE, " "), _REFERENCE, "?")))
 
 
 def _block(part: Column, markup: Column) -> Column:
@@ -214,22 +211,24 @@ def text_region(html: Column) -> Column:
     If a page's scope holds articles and no other text, they are the region. Else it is what the scores of its blocks
     choose, articles in any case.
     """
-    articles = f"(?s){_BEGIN}.*?{_END}"
 
-    def of_marked(marked: Column) -> Column:
-        ended = F.when(F.contains(marked, F.lit(_BEGIN)) & ~F.contains(F.substring_index(marked, _BEGIN, -1), F.lit(_END)), F.concat(marked, F.lit(_END))).otherwise(marked)
+    def of_parts(marked: Column, parts: Column) -> Column:
+        """``parts`` begin with an article each, but for the first."""
+        rest = F.slice(parts, 2, F.size(parts))
+        outside = F.array_join(F.transform(parts, lambda p: F.substring_index(p, _END, -1)), "\n")
+        articles = F.array_join(F.transform(rest, lambda p: F.substring_index(p, _END, 1)), "\n")
+        chosen = F.when((F.size(parts) > 1) & (_plain_chars(outside) == 0), articles).otherwise(_of_blocks(marked))
+        return F.replace(F.replace(chosen, F.lit(_BEGIN), F.lit("")), F.lit(_END), F.lit(""))
+
+    def of_scope(scope: Column) -> Column:
+        general = let(_marked(scope), lambda m: let(F.split(m, _BEGIN), lambda parts: of_parts(m, parts)))
         return let(
-            ended,
-            lambda m: F.when(
-                F.contains(m, F.lit(_BEGIN)) & (_plain_chars(F.regexp_replace(m, articles, "")) == 0),
-                F.array_join(F.regexp_extract_all(m, F.lit(articles), F.lit(0)), "\n"),
-            ).otherwise(_of_blocks(m)),
+            T.single(scope, "article"),
+            lambda one: F.when(_plain_chars(F.concat(one["before"], F.lit("\n"), one["after"])) == 0, one["element"]).otherwise(general),
         )
 
     clean = without_side_blocks(F.regexp_replace(T.plain_markup(html), _NO_TEXT, ""))
-    marked = lambda scope: F.when(T.has_element(scope, "article"), _outermost(T.nested(scope, "article"))).otherwise(scope)
-    region = let(clean, lambda c: let(let(_scope(c), marked), of_marked))
-    return F.translate(region, _BEGIN + _END, "")
+    return let(clean, lambda c: let(_scope(c), of_scope))
 
 
 def region_text(region: Column) -> Column:
@@ -254,29 +253,38 @@ def fallback_text(html: Column) -> Column:
     Containers come in the order of their tags, each with all text in it: a nested one's text is also its own.
     """
 
+    def named(markup: Column) -> Column:
+        return F.contains(markup, F.lit("post-body")) | F.contains(markup, F.lit("main-content"))
+
     def names(markup: Column) -> Column:
         others = F.transform(F.regexp_extract_all(markup, F.lit(_CONTENT_TAG), F.lit(1)), F.lower)
         article = F.when(T.has_element(markup, "article"), F.array(F.lit("article"))).otherwise(F.array().cast("array<string>"))
-        return F.array_union(article, others)
+        return F.when(named(markup), F.array_union(article, others)).otherwise(article)
 
     def opens_container(piece: Column) -> Column:
         return (piece["opens"] == "article") | ((piece["opens"] != "") & piece["text"].rlike("^" + _CONTENT_TAG))
 
-    def of_containers(pieces: Column) -> Column:
+    def containers(pieces: Column) -> Column:
         whole = F.transform(pieces, lambda p, i: F.when(opens_container(p), T.element_at(pieces, p, i)))
-        nodes = F.transform(F.filter(whole, lambda w: w.isNotNull()), lambda w: F.split(w, _TAG))
-        clean = F.transform(F.flatten(nodes), lambda n: strip(decode_entities(n)))
-        kept = F.filter(clean, lambda n: (F.length(n) >= FALLBACK_NODE_CHARS) & ~n.rlike(CODE_LIKE))
-        return F.array_join(kept, "\n\n")
+        return F.filter(whole, lambda w: w.isNotNull())
 
     def of_markup(markup: Column) -> Column:
-        return let(
+        every = let(
             names(markup),
-            lambda found: F.when(F.size(found) > 0, let(T.nested(markup, F.array_join(found, "|")), of_containers)),
+            lambda found: F.when(F.size(found) > 0, let(T.nested(markup, F.array_join(found, "|")), containers)),
         )
+        return let(
+            T.single(markup, "article"),
+            lambda one: F.when(one.isNotNull() & ~named(markup), F.array(one["element"])).otherwise(every),
+        )
+
+    def long_nodes(elements: Column) -> Column:
+        nodes = F.flatten(F.transform(elements, lambda w: F.split(w, _TAG)))
+        long = F.filter(F.transform(nodes, lambda n: strip(decode_entities(n))), lambda n: F.length(n) >= FALLBACK_NODE_CHARS)
+        return F.array_join(F.filter(long, lambda n: ~n.rlike(CODE_LIKE)), "\n\n")
 
     # What is left out still parts the text nodes around it
-    return F.coalesce(let(T.plain_markup(html, "<!>"), of_markup), F.lit(""))
+    return F.coalesce(long_nodes(let(T.plain_markup(html, "<!>"), of_markup)), F.lit(""))
 
 
 def meta_tags(markup: Column) -> Column:

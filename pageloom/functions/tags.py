@@ -106,6 +106,26 @@ def nested(markup: Column, names: str | Column) -> Column:
     )
 
 
+def single(markup: Column, name: str) -> Column:
+    """What stands before, in and after the element of a name, if it is opened once only; else null.
+
+    That is the usual case, and needs no fold. An element that is never closed ends with the page; ``element`` is
+    without its closing tag.
+    """
+
+    def cut(parts: Column) -> Column:
+        return let(
+            F.split(parts[1], rf"(?i)</{name}\s*>", 2),
+            lambda ended: F.struct(
+                parts[0].alias("before"),
+                F.concat(F.lit(f"<{name}"), ended[0]).alias("element"),
+                F.coalesce(F.get(ended, F.lit(1)), F.lit("")).alias("after"),
+            ),
+        )
+
+    return let(F.split(markup, rf"(?i)<{name}(?=[\s/>])", 3), lambda parts: F.when(F.size(parts) == 2, cut(parts)))
+
+
 def is_inside(piece: Column) -> Column:
     return piece["within"] > 1
 
