@@ -158,6 +158,8 @@ def fuse(df: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
     overall = F.array(*map(F.lit, shares))
     hosts = hosts.join(domains, "domain", "left").select("host", "host_texts", "host_sums", F.coalesce("domain_prior", overall).alias("domain_prior"))
     rows = q.join(likelihood("declared"), "declared", "left").join(likelihood("suffix"), "suffix", "left").join(stored(hosts, "language-hosts"), "host", "left")
+    # The arithmetic below costs more than its bytes tell: split by rows
+    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     others = [(F.greatest(F.col("host_sums")[i] - F.col("q")[i], F.lit(0.0)) + PRIOR_TEXTS * F.col("domain_prior")[i]) / (F.col("host_texts") - 1 + PRIOR_TEXTS) for i in range(n)]
     prior = F.when(F.col("host_texts").isNull(), F.array(*[F.lit(float(np.log(x))) for x in shares])).otherwise(F.array(*map(F.log, others)))
     logs = _added(_added(F.col("text_logs"), prior), _added(F.coalesce("declared_logs", zeros), F.coalesce("suffix_logs", zeros)))
