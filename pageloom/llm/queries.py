@@ -215,4 +215,112 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             doc_id IS NOT DISTINCT FROM min(doc_id) OVER same AS kept, text_sha256
         FROM hashed WINDOW same AS (PARTITION BY text_sha256)""",
+    # The checksum bit by bit; then a search from left to right over what was read last, with the cheapest edits so far
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE named AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                               lambda x: ascii(x)::BIGINT) AS codes
+            FROM conversations),
+        summed AS (
+            SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, codes), lambda c, b: list_reduce(
+                list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                lambda r, k: xor(r >> 1, (r & 1) * 3988292384 + k))), 4294967295::BIGINT) % 20 AS fault FROM named),
+        damaged AS (
+            SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+                CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(CASE fault WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM summed),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM damaged),
+        faulty AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS kind,
+                left(role, 1) AS initial,
+                lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
+            FROM placed),
+        moves(p, x, q) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+        inserts(p, q, cost, audit) AS (
+            VALUES ('', '', 0, ''), ('s', 's', 0, ''), ('u', 'u', 0, ''), ('a', 'a', 0, ''), ('', 'u', 2, 'I'), ('s', 'u', 2, 'I'),
+                   ('u', 'a', 2, 'I'), ('a', 'u', 2, 'I'), ('', 'a', 4, 'II'), ('s', 'a', 4, 'II')),
+        edits AS (
+            SELECT conv_id, pos, p, q, cost + CASE WHEN edit <> 'D' AND kind = 'truncated' THEN 1 ELSE 0 END AS cost, edit
+            FROM (SELECT f.conv_id, f.pos, f.kind, m.p, m.q, 0 AS cost, 'K' AS edit FROM faulty AS f JOIN moves AS m ON f.initial = m.x
+                  WHERE f.kind NOT IN ('blank', 'duplicate')
+                  UNION ALL SELECT f.conv_id, f.pos, f.kind, m.p, m.q, 2, 'R' FROM faulty AS f JOIN moves AS m ON m.x <> 's'
+                  WHERE f.kind NOT IN ('blank', 'duplicate')
+                  UNION ALL SELECT f.conv_id, f.pos, f.kind, m.p, m.p, 3, 'D' FROM faulty AS f, (SELECT DISTINCT p FROM inserts) AS m) AS e),
+        search AS (
+            SELECT c.conv_id, 0::BIGINT AS pos, i.q AS state, {'cost': i.cost::BIGINT, 'audit': i.audit} AS best
+            FROM (SELECT DISTINCT conv_id FROM faulty) AS c, inserts AS i WHERE i.p = ''
+            UNION ALL
+            SELECT conv_id, pos, state, min(best) AS best FROM (
+                SELECT s.conv_id, e.pos, i.q AS state,
+                    {'cost': (s.best.cost + e.cost + i.cost)::BIGINT, 'audit': s.best.audit || e.edit || i.audit} AS best
+                FROM search AS s JOIN edits AS e ON e.conv_id = s.conv_id AND e.pos = s.pos + 1 AND e.p = s.state
+                JOIN inserts AS i ON i.p = e.q) AS more
+            GROUP BY conv_id, pos, state),
+        cheapest AS (
+            SELECT s.conv_id, min(s.best) AS best FROM search AS s
+            JOIN (SELECT conv_id, max(pos) AS pos FROM faulty GROUP BY conv_id) AS l ON l.conv_id = s.conv_id AND l.pos = s.pos
+            WHERE s.state IN ('', 'a') GROUP BY s.conv_id),
+        steps AS (
+            SELECT conv_id, unnest(string_split(best.audit, '')) AS edit, generate_subscripts(string_split(best.audit, ''), 1) AS k FROM cheapest),
+        turns AS (
+            SELECT *, count(*) FILTER (edit <> 'I') OVER w AS pos, count(*) FILTER (edit <> 'D') OVER w
+                - (count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id)) % 2 AS n
+            FROM steps WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+        repaired AS (
+            SELECT t.conv_id, sha256(coalesce(string_agg(CASE WHEN t.edit = 'K' THEN f.role WHEN t.n % 2 = 1 THEN 'user' ELSE 'assistant' END
+                || ':' || CASE WHEN t.edit = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY t.k) FILTER (t.edit <> 'D'), '')) AS sha
+            FROM turns AS t LEFT JOIN faulty AS f ON f.conv_id = t.conv_id AND f.pos = t.pos GROUP BY t.conv_id),
+        counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (kind = 'blank') AS blank,
+                count(*) FILTER (kind = 'duplicate') AS duplicate, count(*) FILTER (kind = 'truncated') AS truncated,
+                count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id)
+        SELECT c.conv_id, coalesce(n.gaps, 0) AS gaps, coalesce(n.blank, 0) AS blank, coalesce(n.duplicate, 0) AS duplicate,
+            coalesce(n.truncated, 0) AS truncated, coalesce(n.illegal, 0) AS illegal, coalesce(b.best.cost, 0) AS cost,
+            coalesce(b.best.audit, '') AS audit, coalesce(r.sha, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS c LEFT JOIN counted AS n ON n.conv_id = c.conv_id
+        LEFT JOIN cheapest AS b ON b.conv_id = c.conv_id LEFT JOIN repaired AS r ON r.conv_id = c.conv_id""",
+    # Equal words of a text at each distance up to a third of it; stretches of neighbouring pairs; those with no smaller period
+    "op12_periodic_runs": r"""
+        WITH summed AS (
+            SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT,
+                list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: list_reduce(
+                list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                lambda r, k: xor(r >> 1, (r & 1) * 3988292384 + k))), 4294967295::BIGINT) AS h,
+                list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+            FROM documents),
+        sized AS (SELECT doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS planted, h // 10 AS g FROM summed),
+        begun AS (SELECT *, CASE WHEN planted THEN g % n ELSE n END AS a FROM sized),
+        timed AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM begun),
+        words AS MATERIALIZED (
+            SELECT doc_id, n, i, CASE WHEN i < a THEN ws[i + 1] ELSE ws[a + (i - a) % p + 1] END AS word
+            FROM (SELECT *, unnest(range(n)) AS i FROM timed) AS t),
+        pairs AS (
+            SELECT x.doc_id, x.i, y.i - x.i AS q FROM words AS x JOIN words AS y
+            ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // 3),
+        stretches AS MATERIALIZED (
+            SELECT doc_id, q AS period, min(i) AS start, count(*) + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pairs) AS p
+            GROUP BY doc_id, q, part HAVING count(*) + q >= greatest(24, 3 * q)),
+        runs AS MATERIALIZED (
+            SELECT * FROM stretches AS s WHERE NOT EXISTS (
+                SELECT 1 FROM stretches AS t WHERE t.doc_id = s.doc_id AND t.period < s.period
+                AND t.start <= s.start AND t.start + t.length >= s.start + s.length)),
+        written AS (
+            SELECT doc_id, count(*) AS n_runs, sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS sha
+            FROM runs GROUP BY doc_id),
+        best AS (
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS place
+                           FROM runs) AS r WHERE place = 1),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words AS w WHERE NOT EXISTS (
+                SELECT 1 FROM runs AS r WHERE r.doc_id = w.doc_id AND w.i >= r.start + r.period AND w.i < r.start + r.length)
+            GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(w.n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+            coalesce(w.sha, sha256('')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+        FROM documents AS d LEFT JOIN written AS w ON w.doc_id = d.doc_id LEFT JOIN best AS b ON b.doc_id = d.doc_id
+        LEFT JOIN kept AS k ON k.doc_id = d.doc_id""",
 }
