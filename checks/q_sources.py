@@ -22,6 +22,7 @@ from pageloom.schemas import LABELLED_ITEMS, PAGE_ITEMS, SITES, conform
 from pageloom.session import scratch_path
 from pageloom.sinks import items as item_sinks
 from pageloom.sinks.registry import write_sites
+from pageloom.sources import arrays
 from pageloom.sources import items as item_sources
 from pageloom.sources.keywords import read_keywords_yaml
 from pageloom.sources.registry import read_sites
@@ -215,11 +216,18 @@ def labelled_corpus(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
     return item_sources.read_labelled(spark, path, glob="*.txt")
 
 
+_LABELLED = f"""
+    SELECT url, coalesce(title, '') AS title, md5(article_body) AS body_md5, coalesce(label, '') AS label
+    FROM fx_labelled WHERE (doc_id // {_ARRAY_ROWS}) % 3 <> 2
+"""
+_REJECTED = f"""
+    SELECT count(DISTINCT doc_id // {_ARRAY_ROWS}) AS files FROM fx_labelled WHERE (doc_id // {_ARRAY_ROWS}) % 3 = 2
+"""
+
+
 @query(
     "s7_scan_labelled",
-    f"""SELECT url, coalesce(title, '') AS title, md5(article_body) AS body_md5,
-               coalesce(label, '') AS label
-        FROM fx_labelled WHERE (doc_id // {_ARRAY_ROWS}) % 3 <> 2""",
+    _LABELLED,
 )
 def s7(spark, sf):
     good, _ = labelled_corpus(spark, sf)
@@ -233,14 +241,40 @@ def s7(spark, sf):
 
 @query(
     "s7_rejected_files",
-    f"""SELECT count(DISTINCT doc_id // {_ARRAY_ROWS}) AS files
-        FROM fx_labelled WHERE (doc_id // {_ARRAY_ROWS}) % 3 = 2""",
+    _REJECTED,
 )
 def s7_rejected(spark, sf):
     _, bad = labelled_corpus(spark, sf)
     return bad.agg(F.count(F.lit(1)).alias("files"))
 
 
+def split_corpus(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    path = scratch_path(spark, "labelled")
+    rows = conform(fixture(spark, sf, "fx_labelled"), LABELLED_ITEMS).select(
+        F.regexp_extract("url", "([0-9]+)$", 1).cast("bigint").alias("doc_id"), "*"
+    )
+    write_json_arrays(rows, path, "doc_id", spoil_every=3)
+    return arrays.read_arrays(spark, path, LABELLED_ITEMS, glob="*.txt")
+
+
+@query("s7_split_arrays", _LABELLED)
+def s7_split(spark, sf):
+    """The labelled rows by the reader that splits files into ranges."""
+    good, _ = split_corpus(spark, sf)
+    return good.select(
+        "url",
+        F.coalesce("title", F.lit("")).alias("title"),
+        F.md5("article_body").alias("body_md5"),
+        F.coalesce("label", F.lit("")).alias("label"),
+    )
+
+
+@query("s7_split_rejects", _REJECTED)
+def s7_split_rejects(spark, sf):
+    _, bad = split_corpus(spark, sf)
+    return bad.agg(F.count(F.lit(1)).alias("files"))
+
+
 @query(
     "s9_state_lookup",
     """SELECT article_id, url, content_hash FROM fx_state

@@ -3,6 +3,7 @@
 import datetime
 import json
 import pathlib
+import random
 import warnings
 
 import pytest
@@ -11,6 +12,7 @@ from helpers import values
 from pageloom import fixed_values
 from pageloom.operators import registry
 from pageloom.schemas import LABELLED_ITEMS, SITES
+from pageloom.sources import arrays
 from pageloom.sources.items import read_items, read_labelled
 from pageloom.sources.keywords import keyword_lists, read_keywords_yaml
 from pageloom.sources.registry import seed_rows
@@ -103,3 +105,42 @@ def test_malformed_training_file_is_left_out(spark, tmp_path):
     assert values(good, "url", "label") == [("u1", "article"), ("u2", None), ("u4", "other")]
     assert [r["file"].rsplit("/", 1)[1] for r in bad.collect()] == ["bad.json"]
     assert good.schema == LABELLED_ITEMS
+
+
+ITEM = LABELLED_ITEMS.__class__([f for f in LABELLED_ITEMS.fields if f.name in ("url", "title", "article_body", "text_length")])
+
+
+def _arrays(tmp_path):
+    rnd = random.Random(6)
+    bits = ['"', "\\", "{", "}", "[", "]", ",", "\n", "é", "word ", "}{", '\\"', ":"]
+    text = lambda: "".join(rnd.choice(bits) for _ in range(rnd.randrange(0, 120)))
+    items = [{"url": f"u{i}", "title": text(), "article_body": text(), "text_length": i, "extra": {"a": [text(), {"b": {}}]}} for i in range(90)]
+    items[7]["article_body"] = "}{" * 3000  # longer than several ranges
+    good = {"line": json.dumps(items), "pretty": json.dumps(items, indent=2, ensure_ascii=False), "empty": " [ ] \n", "one": json.dumps(items[:1])}
+    bad = {
+        "cut": json.dumps(items)[:9000], "no_end": json.dumps(items)[:-1], "no_comma": "[{\"url\": \"a\"} {\"url\": \"b\"}]",
+        "spoiled": json.dumps(items).replace('"text_length": 50,', '"text_length": 50'), "words": "not json",
+    }
+    for name, content in (good | bad).items():
+        put(tmp_path, f"{name}.json", content)
+    return len(items), set(bad)
+
+
+@pytest.mark.parametrize("size", [2000, 10**8])
+def test_array_files_are_split(spark, tmp_path, size):
+    """Files of many ranges give what the reader of whole files gives, and mistakes leave out whole files."""
+    n, bad = _arrays(tmp_path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows, rejects = arrays.read_arrays(spark, str(tmp_path), ITEM)
+        whole, left_out = read_labelled(spark, str(tmp_path), ITEM)
+        assert values(rows) == values(whole) and rows.count() == 2 * n + 1
+        named = {pathlib.Path(r["file"]).stem for r in rejects.collect()}
+        assert named == bad == {pathlib.Path(r["file"]).stem for r in left_out.collect()}
+        if size < 10**6:
+            pieces = spark.read.option("lineSep", "}").text(str(tmp_path / "pretty.json"))
+            assert pieces.rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
