@@ -17,7 +17,7 @@ proposal with three periods would give the factor a nearer successor.
 
 Null texts count as empty: no words, no runs. Rows are treated one by one: repeated rows and ids give repeated results,
 an empty table gives an empty one. Columns besides the text are passed on, except those named like an output, which are
-replaced. A long text is one step of a task, which takes some 100 bytes for each of its words.
+replaced. A long text is one step of a task, which takes a few hundred bytes for each of its words.
 """
 
 from __future__ import annotations
