@@ -327,7 +327,8 @@ def main_image(markup: Column, metas: Column) -> Column:
             meta_content(metas, "property", "og:image"),
             meta_content(metas, "name", "twitter:image"),
             shown,
-        )
+        ),
+        attribute=True,
     )
 
 

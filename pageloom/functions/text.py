@@ -79,22 +79,36 @@ def _numbered(ref: Column) -> Column:
     return F.when(code.between(128, 159), F.coalesce(F.try_element_at(old, code), char)).otherwise(char)
 
 
-def _decode_piece(piece: Column) -> Column:
+#: Names that the standard also reads without a semicolon, longest first.
+_OPEN_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+#: A reference at the beginning of a text, without its semicolon; in attribute values open names must not run on.
+_NUMBER = "#[0-9]+|#[xX][0-9A-Fa-f]+"
+_IN_TEXT = f"^({_NUMBER}|[A-Za-z][A-Za-z0-9]*(?=;)|{_OPEN_NAMES})"
+_IN_ATTRIBUTE = f"^({_NUMBER}|[A-Za-z][A-Za-z0-9]*(?=;)|(?:{_OPEN_NAMES})(?![=A-Za-z0-9]))"
+
+
+def _decode_piece(piece: Column, pattern: str) -> Column:
     """Text after an ampersand, with the reference it starts with."""
-    ref = F.regexp_extract(piece, "^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);", 1)
-    char = F.when(F.startswith(ref, F.lit("#")), _numbered(ref)).otherwise(_named(ref))
-    rest = F.substring(piece, F.length(ref) + 2, F.length(piece))
-    return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    def replaced(ref: Column) -> Column:
+        char = F.when(F.startswith(ref, F.lit("#")), _numbered(ref)).otherwise(_named(ref))
+        ended = F.substring(piece, F.length(ref) + 1, F.lit(1)) == ";"
+        rest = F.substring(piece, F.length(ref) + F.when(ended, 2).otherwise(1), F.length(piece))
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    return let(F.regexp_extract(piece, pattern, 1), replaced)
 
 
-def decode_entities(col: Column) -> Column:
+def decode_entities(col: Column, attribute: bool = False) -> Column:
     """Replace character references by their characters, each reference once.
 
-    The text is cut at its ampersands, so it is read once whatever the number of known names.
+    The text is cut at its ampersands, so it is read once whatever the number of known names. Numbers, and names that the
+    standard lets, may lack their semicolon; in an ``attribute`` such a name must end there.
     """
+    pattern = _IN_ATTRIBUTE if attribute else _IN_TEXT
 
     def decoded(pieces: Column) -> Column:
-        tail = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_piece)
+        tail = F.transform(F.slice(pieces, 2, F.size(pieces)), lambda piece: _decode_piece(piece, pattern))
         return F.concat(pieces[0], F.array_join(tail, ""))
 
     return let(

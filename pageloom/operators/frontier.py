@@ -67,7 +67,7 @@ def chosen_hrefs(anchors: Column) -> Column:
     raw = F.when(
         F.exists(anchors, _is_article_anchor), F.filter(anchors, _is_article_anchor)
     ).otherwise(anchors)
-    return F.transform(raw, lambda a: decode_entities(H.unquote(a["raw"])))
+    return F.transform(raw, lambda a: decode_entities(H.unquote(a["raw"]), attribute=True))
 
 
 def extract_hrefs(pages: DataFrame) -> DataFrame:

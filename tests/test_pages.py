@@ -1,6 +1,8 @@
 """Extraction, cleanup and features on literal pages."""
 
+import html
 import random
+from html.entities import html5
 
 from pyspark.sql import functions as F
 
@@ -31,10 +33,22 @@ def test_entities(spark):
         "caf&eacute; &Alpha;&frac12;&thinsp;&rarr;": "café Α½\u2009→",
         "&#150;&#x80;&#x0000041;&NotEqualTilde;": "–€A≂̸",
         "&#99999999999; &#x110000;": "&#99999999999; &#x110000;",
+        "&copy 2024 &lt&gt &ampx &AMP;lt; &eacutet&eacute &#65 &#x41B": "© 2024 <> &x &lt; été A \u041b",
+        "&copyright; &nosuch &": "&copyright; &nosuch &",
     }
     assert evaluate(
         spark, [(k,) for k in cases], "t string", X.decode_entities(F.col("t"))
     ) == list(cases.values())
+    urls = {"/a?x=1&copy=2&lt3": "/a?x=1&copy=2&lt3", "/a?b&amp;c&copy": "/a?b&c©", "&notin;&not": "∉¬", "&reg/x": "®/x"}
+    assert evaluate(spark, [(k,) for k in urls], "t string", X.decode_entities(F.col("t"), attribute=True)) == list(urls.values())
+
+
+def test_entities_like_the_standard(spark):
+    """Text of closed and open references against the standard library's reading."""
+    rnd = random.Random(2)
+    names = [n.rstrip(";") for n in html5] + ["#65", "#x3b1", "#8364", "nosuch"]
+    rows = ["".join("&" + rnd.choice(names) + rnd.choice([";", ";", " ", "."]) for _ in range(8)) for _ in range(400)]
+    assert evaluate(spark, [(r,) for r in rows], "t string", X.decode_entities(F.col("t"))) == [html.unescape(r) for r in rows]
 
 
 def test_main_text(spark):
