@@ -251,6 +251,22 @@ def test_full_run_without_pages_of_its_sites(spark, folder):
     assert [r["last_visited"] for r in result.sites.collect()] == [NOW] and result.frontier.count() == 0
 
 
+def test_second_run_finds_no_visited_links(spark, folder):
+    from checks.base import fixture
+    from checks.q_frontier import lists
+    from pageloom.plans import full_run
+    from pageloom.sinks.visited import VisitedSet
+
+    pages, sites = fixture(spark, SF_DIR, "fx_linked"), fixture(spark, SF_DIR, "fx_sites")
+    store, counts = ArticleStore(spark, f"{folder}/store", buckets=2), []
+    for run_id, part in (("one", "page_id % 2 = 0"), ("two", "page_id % 2 = 0"), ("three", "page_id >= 0")):
+        visited = VisitedSet(spark, f"{folder}/visited", cells=4)
+        result = full_run.run(spark, pages.where(part), sites, lists(spark), None, rule_labeller, store, f"{folder}/{run_id}", run_id, NOW, visited)
+        counts.append(result.frontier.count())
+    every = full_run.run(spark, pages, sites, lists(spark), None, rule_labeller, store, f"{folder}/four", "four", NOW).frontier.count()
+    assert counts[0] > 0 == counts[1] and counts[0] + counts[2] == every
+
+
 def test_sites_that_share_a_host_own_a_page_once(spark, folder):
     from pageloom.schemas import SITES
 
