@@ -29,6 +29,7 @@ from pageloom.functions.html import main_text
 from pageloom.functions.urls import frontier_host
 from pageloom.llm.shared import steps, stored, text_of
 
+#: The languages where no text teaches any.
 LANGUAGES = ("de", "en", "es", "fr")
 BUCKETS = 1 << 15
 TEXT_TRIGRAMS = 200
@@ -49,6 +50,12 @@ def trigram_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code[inside].astype(np.int64), row[:-2][inside]
 
 
+def languages_of(df: DataFrame, lang_col: str = "lang") -> tuple[str, ...]:
+    """The languages that the rows have, in order; LANGUAGES if there are none. One row for each comes to the driver."""
+    names = df.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang")).distinct()
+    return tuple(sorted(r["lang"] for r in names.collect())) or LANGUAGES
+
+
 def trigram_counts(df: DataFrame, text_col: str, lang_col: str, languages: tuple[str, ...]) -> np.ndarray:
     """Trigram counts by language (rows) and bucket, over all rows whose language is one of those given."""
 

@@ -23,11 +23,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with all their evidence, and documents by text and source; texts not held out teach the trigrams."""
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", toxicity.held_out())
-    counts = language_id.trigram_counts(docs.where("NOT held_out"), "text", "lang", language_id.LANGUAGES)
+    known = docs.where("NOT held_out")
+    languages = language_id.languages_of(known)
+    counts = language_id.trigram_counts(known, "text", "lang", languages)
     pages = language_id.evidence_of_pages(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
     own = docs.select("doc_id", "held_out", F.col("source").alias("host"), F.coalesce("text", F.lit("")).alias("text"))
     rows = own.unionByName(pages, allowMissingColumns=True)
-    found = language_id.fuse(language_id.with_text_evidence(rows, language_id.log_likelihoods(counts)))
+    found = language_id.fuse(language_id.with_text_evidence(rows, language_id.log_likelihoods(counts)), languages)
     return found.select("doc_id", "page_id", "held_out", "host", "declared", "suffix", "lang", F.round("confidence", 6).alias("confidence"), "text_lang")
 
 

@@ -253,6 +253,19 @@ def test_page_evidence(spark):
     assert (got[2].declared, got[2].suffix, got[2].host, got[2].text) == (None, None, None, "")
 
 
+def test_languages_come_from_the_rows(spark, documents):
+    """A language of its own, two letters or not, is learned like the others."""
+    rnd = random.Random(7)
+    own = [(10_000 + i, " ".join("".join(rnd.choice("qxzwk") for _ in range(6)) for _ in range(40)), "tlh") for i in range(30)]
+    rows = documents.select("doc_id", "text", "lang").unionByName(spark.createDataFrame([*own, (1, "x", None)], "doc_id long, text string, lang string"))
+    languages = language_id.languages_of(rows)
+    assert languages == ("de", "en", "es", "fr", "tlh") and language_id.languages_of(rows.limit(0)) == language_id.LANGUAGES
+    logs = language_id.log_likelihoods(language_id.trigram_counts(rows, "text", "lang", languages))
+    some = [(i, text, None, None, None, None) for i, text, _ in own[:5]] + [(0, documents.where("lang = 'en'").first().text, None, None, None, None)]
+    got = {r.n: r.lang for r in language_id.fuse(language_id.with_text_evidence(spark.createDataFrame(some, EVIDENCE), logs), languages).collect()}
+    assert got == {0: "en"} | {i: "tlh" for i, *_ in own[:5]}
+
+
 def test_fusion_by_plain_sums(spark):
     """The fusion of all evidence against the same sums in plain Python; columns of any name pass by."""
     rnd = random.Random(3)
