@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.functions.text import let
+
 #: The marks of the template.
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
@@ -49,8 +51,29 @@ def parsed(output: Column) -> Column:
     raw = F.transform(pieces, _raw_turn)
     # Where each piece begins: the lengths of those before it and of their start marks
     sizes = F.transform(pieces, lambda p: F.length(p) + len(START))
-    begins = F.aggregate(sizes, F.array(F.lit(0)), lambda all_, n: F.concat(all_, F.array(F.element_at(all_, -1) + n)))
-    return F.zip_with(raw, F.slice(begins, 1, F.greatest(F.size(raw), F.lit(0))), _placed)
+    return F.zip_with(raw, sums_before(sizes), _placed)
+
+
+def _sums(values: Column) -> Column:
+    """Zero, and the sum up to each value."""
+    return F.aggregate(values, F.array(F.lit(0)), lambda all_, n: F.concat(all_, F.array(F.element_at(all_, -1) + n)))
+
+
+def sums_before(values: Column) -> Column:
+    """The sum of the values before each one. Stretches of about the square root of their number are summed up first, as
+    an array is copied whenever it grows.
+    """
+
+    def cut(values: Column) -> Column:
+        n = F.size(values)
+        length = F.greatest(F.ceil(F.sqrt(n)), F.lit(1)).cast("int")
+        return let(length, lambda k: F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), k), lambda i: _sums(F.slice(values, i + 1, k))))
+
+    def moved(stretches: Column) -> Column:
+        offsets = F.slice(_sums(F.transform(stretches, lambda x: F.element_at(x, -1))), 1, F.size(stretches))
+        return F.flatten(F.zip_with(stretches, offsets, lambda x, offset: F.transform(F.slice(x, 1, F.size(x) - 1), lambda v: v + offset)))
+
+    return let(let(values, cut), moved)
 
 
 def _raw_turn(piece: Column) -> Column:

@@ -1,5 +1,7 @@
 """Chat formatting: every hostile content survives the round trip."""
 
+from pyspark.sql import functions as F
+
 from pageloom.llm import chat
 
 HOSTILE = [
@@ -39,3 +41,16 @@ def test_nulls_repeats_and_empty(spark):
 def test_no_python(spark):
     made = chat.format_chats(spark.createDataFrame([(1, 0, "user", "a")], CHAT))
     assert "Python" not in made._jdf.queryExecution().toString()
+
+
+def test_sums_before_each_value(spark):
+    rows = [[], [5], [1, 2], [3] * 10, list(range(101)), [7] * 5000]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, v array<int>").select("i", chat.sums_before(F.col("v")).alias("s"))
+    assert {r.i: r.s for r in df.collect()} == {i: [sum(r[:k]) for k in range(len(r))] if len(r) < 200 else [7 * k for k in range(len(r))] for i, r in enumerate(rows)}
+
+
+def test_long_conversations_of_any_columns(spark):
+    """Many turns take time about in proportion; other columns are left out."""
+    chats = spark.range(40_000).selectExpr("1L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS text", "'x' AS turns", "1 AS formatted")
+    (row,) = chat.format_chats(chats).select(F.size("turns").alias("n"), "faithful", F.size("loss_spans").alias("learned"), F.element_at("loss_spans", -1).alias("last"), F.length("formatted").alias("chars")).collect()
+    assert (row.n, row.faithful, row.learned) == (40_000, True, 20_000) and row.last.stop == row.chars - len(chat.END) - 1
