@@ -205,8 +205,8 @@ def _of_blocks(marked: Column) -> Column:
     return F.array_join(F.transform(chosen, lambda b: b["markup"]), "\n")
 
 
-def text_region(html: Column) -> Column:
-    """Markup of the main text: no navigation, advertisements, comments or other side blocks.
+def text_region(markup: Column) -> Column:
+    """Of the visible markup, that of the main text: no navigation, advertisements, comments or other side blocks.
 
     If a page's scope holds articles and no other text, they are the region. Else it is what the scores of its blocks
     choose, articles in any case.
@@ -227,7 +227,7 @@ def text_region(html: Column) -> Column:
             lambda one: F.when(_plain_chars(F.concat(one["before"], F.lit("\n"), one["after"])) == 0, one["element"]).otherwise(general),
         )
 
-    clean = without_side_blocks(F.regexp_replace(T.plain_markup(html), _NO_TEXT, ""))
+    clean = without_side_blocks(F.regexp_replace(markup, _NO_TEXT, ""))
     return let(clean, lambda c: let(_scope(c), of_scope))
 
 
@@ -244,7 +244,12 @@ def region_text(region: Column) -> Column:
 
 def main_text(html: Column) -> Column:
     """Main text of a page; empty when the page has none."""
-    return F.coalesce(region_text(text_region(html)), F.lit(""))
+    return markup_text(visible_markup(html))
+
+
+def markup_text(markup: Column) -> Column:
+    """The same from the visible markup."""
+    return F.coalesce(region_text(text_region(markup)), F.lit(""))
 
 
 def fallback_text(html: Column) -> Column:
@@ -313,7 +318,7 @@ def page_title(markup: Column, metas: Column) -> Column:
 def _first_image(markup: Column, container: str) -> Column:
     within = T.inside(T.nested(markup, container))
     tag = F.regexp_extract(within, r"(?is)<img\s(?:[^>]*\s)?src\s*=[^>]*>", 0)
-    return falsy_to_null(attribute(tag, "src"))
+    return F.when(T.has_element(markup, container), falsy_to_null(attribute(tag, "src")))
 
 
 def main_image(markup: Column, metas: Column) -> Column:

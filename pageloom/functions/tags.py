@@ -63,9 +63,9 @@ def nested(markup: Column, names: str | Column) -> Column:
         found = pattern(before, after)
         return F.lower(F.regexp_extract(piece, found, 1) if is_literal else F.call_function("regexp_extract", piece, found, F.lit(1)))
 
-    cut = pattern(r"(?i)(?=<(?:", r")[\s/>])|(?<=</(?:") if not is_literal else rf"(?i)(?=<(?:{names})[\s/>])|(?<=</(?:{names})\s{{0,9}}>)"
-    if not is_literal:
-        cut = F.concat(cut, names, F.lit(r")\s{0,9}>)"))
+    # Looking back is tried at every place and for every length: only after a bracket is there anything to find
+    opening, closing = pattern("(?i)(?=<(?:", r")[\s/>])|(?<=>)"), pattern("(?<=</(?:", r")\s{0,9}>)")
+    cut = opening + closing if is_literal else F.concat(opening, closing)
     tagged = F.transform(
         F.split(markup, cut),
         lambda p: F.struct(

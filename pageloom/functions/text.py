@@ -121,4 +121,4 @@ def decode_entities(col: Column, attribute: bool = False) -> Column:
 
 def falsy_to_null(col: Column) -> Column:
     """Null for the empty string, so that ``coalesce`` skips it like null."""
-    return F.nullif(col, F.lit(""))
+    return let(col, lambda value: F.nullif(value, F.lit("")))

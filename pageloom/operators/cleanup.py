@@ -31,9 +31,13 @@ def _odd_letters() -> tuple[str, str]:
 
 
 def probe(text: Column) -> Column:
-    """The text in capitals, so that what a pattern takes for equal is equal."""
+    """The text in capitals, so that what a pattern takes for equal is equal.
+
+    A class of single letters is tested letter by letter; the range before it passes over nearly all characters.
+    """
     odd, plain = _odd_letters()
-    return F.upper(F.when(text.rlike(f"[{odd}]"), F.translate(text, odd, plain)).otherwise(text))
+    any_odd = rf"[\x{{{ord(min(odd)):x}}}-\x{{{ord(max(odd)):x}}}&&[{odd}]]"
+    return F.upper(F.when(text.rlike(any_odd), F.translate(text, odd, plain)).otherwise(text))
 
 
 def required_literal(pattern: Column) -> Column:

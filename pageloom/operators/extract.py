@@ -1,6 +1,8 @@
 """Page extraction: text, title, image, metadata."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import html as H
@@ -20,7 +22,11 @@ def with_markup(pages: DataFrame) -> DataFrame:
 
 def extract_metadata(pages: DataFrame) -> DataFrame:
     """Title, image list and the flag for pages that state both date and author."""
-    marked = with_markup(pages)
+    return metadata_of(with_markup(pages))
+
+
+def metadata_of(marked: DataFrame) -> DataFrame:
+    """The same for pages with their markup, which ends here."""
     markup, metas = F.col("markup"), F.col("metas")
     described = marked.withColumns(
         {
@@ -46,13 +52,18 @@ def fill_empty_bodies(pages: DataFrame) -> DataFrame:
     return pages.withColumn("article_body", filled).drop("fallback_body")
 
 
-def parse_pages(pages: DataFrame, any_rules: bool = True) -> DataFrame:
+def parse_pages(
+    pages: DataFrame, any_rules: bool = True, hrefs: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """Everything that a page's html gives, in one pass; no ``html`` is left.
 
     With rules, which may empty any body, the fallback text is kept beside the main text; without,
-    it is only needed where the line filter leaves nothing.
+    it is only needed where the line filter leaves nothing. The visible markup is made once for all, and ``hrefs``
+    gives the column of that name from it.
     """
-    bodies = extract_metadata(extract_main_text(pages))
+    marked, markup = with_markup(pages), F.col("markup")
+    linked = marked.withColumn("hrefs", hrefs(markup)) if hrefs else marked
+    bodies = metadata_of(linked.withColumn("article_body", H.markup_text(markup)))
     if any_rules:
         return bodies.withColumn("fallback_body", H.fallback_text(F.col("html"))).drop("html")
     return fill_empty_bodies(drop_boilerplate_lines(bodies)).drop("html")

@@ -44,7 +44,12 @@ def _anchor(tag: Column, inside: Column) -> Column:
 
 
 def page_anchors(html: Column) -> Column:
-    """Anchors in document order as ``array<struct<raw, inside>>``.
+    """Anchors in document order as ``array<struct<raw, inside>>``."""
+    return markup_anchors(H.visible_markup(html))
+
+
+def markup_anchors(markup: Column) -> Column:
+    """The same from the visible markup.
 
     ``raw`` is the quoted href, empty without one; ``inside`` marks those in a main or article element.
     """
@@ -53,7 +58,7 @@ def page_anchors(html: Column) -> Column:
         tags = F.regexp_extract_all(piece["text"], F.lit(H.ANCHOR), F.lit(0))
         return F.transform(tags, lambda tag: _anchor(tag, T.is_inside(piece)))
 
-    return F.flatten(F.transform(T.nested(H.visible_markup(html), "main|article"), anchors))
+    return F.flatten(F.transform(T.nested(markup, "main|article"), anchors))
 
 
 def _is_article_anchor(anchor: Column) -> Column:

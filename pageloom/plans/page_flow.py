@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.functions.text import let
 from pageloom.operators import cleanup, extract, frontier
 from pageloom.operators.features import page_items
 from pageloom.sources.keywords import KeywordLists
@@ -61,9 +62,12 @@ def parse_for_run(pages: DataFrame, any_rules: bool) -> DataFrame:
     every page does both.
     """
     is_source = F.coalesce(F.col("depth"), F.lit(0)) < 1 if "depth" in pages.columns else F.lit(True)
-    hrefs = frontier.chosen_hrefs(frontier.page_anchors(F.col("html")))
-    kept = F.array_distinct(F.filter(hrefs, frontier.is_followable))
-    return extract.parse_pages(pages.withColumn("hrefs", F.when(is_source, kept)), any_rules)
+
+    def hrefs(markup: Column) -> Column:
+        chosen = let(frontier.markup_anchors(markup), frontier.chosen_hrefs)
+        return F.when(is_source, F.array_distinct(F.filter(chosen, frontier.is_followable)))
+
+    return extract.parse_pages(pages, any_rules, hrefs)
 
 
 def run_links(

@@ -13,7 +13,7 @@ from pageloom.operators import reports
 from pageloom.operators.changes import change_log
 from pageloom.functions import urls as U
 from pageloom.operators.frontier import build_frontier
-from pageloom.plans.page_flow import fetched_items
+from pageloom.plans.page_flow import fetched_items, parse_for_run
 from pageloom.plans.scoring import model_labeller, rule_labeller, store_articles
 from pageloom.sinks.article_store import ArticleStore
 from pageloom.sources.pages import stream_pages
@@ -315,3 +315,11 @@ def test_training_and_scoring_from_files(spark, folder):
     predicted = spark.read.parquet(f"{folder}/predictions")
     assert predicted.count() == rows.count() and "predicted_label" in predicted.columns
     assert store.read().count() == changes.where("status = 'NEW'").count()
+
+
+def test_html_of_a_run_is_made_plain_once(spark):
+    """Links, texts and metadata share one visible markup; the fallback text has its own."""
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    for any_rules in (True, False):
+        plan = parse_for_run(pages, any_rules)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("!--.*?--") == 2
