@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pageloom.plans.page_flow import fetched_items
+from pageloom.operators.extract import parse_pages
+from pageloom.plans.page_flow import items_of
 from pageloom.plans.scoring import Labeller, store_articles
 from pageloom.sinks.article_store import ArticleStore
 from pageloom.sinks.items import write_predictions
@@ -47,15 +48,21 @@ def start_page_stream(
     its link from it. Output is written by site below the batch's folder. A micro-batch replayed
     after a failure writes to the same folder and finds its batch in the store's log; the log names
     batches by the stream's id, so another stream into the same store is not taken for a replay.
+    A micro-batch is read once: its parsed pages are written below the checkpoint, over those of the batch before. What is
+    made from them runs in the session of ``sites``, adaptively, which the stream's own session does not do beside state.
+    A batch without pages, such as one of repeats only, ends there.
     With ``repeats_within``, a page that is delivered again within that time is not parsed again; ``pages`` then come
     with their arrival times.
     """
-    active = sites.where(F.col("active"))
+    active, spark = sites.where(F.col("active")), sites.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         stream = stream_id(spark, checkpoint)
-        items = fetched_items(batch.drop(ARRIVED), rules, links, active)
+        batch.write.mode("overwrite").parquet(f"{checkpoint}/parsed")
+        parsed = spark.read.schema(batch.schema).parquet(f"{checkpoint}/parsed")
+        if parsed.isEmpty():
+            return
+        items = items_of(parsed, rules, links, active)
         predicted = labeller(items.withColumn("ingest_seq", F.col("page_id")))
         folder = f"{raw_path}/stream={stream}/batch={batch_id}"
         write_predictions(predicted, folder, "parquet")
@@ -63,8 +70,10 @@ def start_page_stream(
         store_articles(store, stored, active, run_ts, f"{stream}-{batch_id}", stage=False)
 
     fresh = without_repeats(pages, repeats_within) if repeats_within else pages
+    # The expressions of the parse are built here, once for all micro-batches: that takes seconds.
     return (
-        fresh.writeStream.foreachBatch(handle)
+        parse_pages(fresh.drop(ARRIVED), rules is not None)
+        .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -342,3 +342,27 @@ def test_files_of_a_stream_grow_with_its_pages(spark, folder, monkeypatch):
         with pytest.raises(InterruptedError):
             q_flows._streamed(spark, folder, repeats)
     assert asked == [(10, 30), (10, 40)]
+
+
+def test_a_micro_batch_of_repeats_ends_early(spark, folder):
+    """Later pages are still numbered and stored; a batch without new pages makes no version of the store."""
+    import os
+    import pathlib
+
+    rows = [(i, f"https://a.gr/{i}", f"<article><p>Text {i}</p></article>") for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for n, last in enumerate((40, 40, 50)):
+        pages.where(F.col("page_id") < last).coalesce(1).write.parquet(f"{folder}/in/n={n}")
+        (part,) = pathlib.Path(folder.removeprefix("file://"), f"in/n={n}").glob("*.parquet")
+        os.utime(part, (1.7e9 + n, 1.7e9 + n))
+    sites = spark.createDataFrame([(1, "a.gr", "https://a.gr", None, True, 1)], "site_id bigint, domain string, start_url string, last_visited timestamp, active boolean, priority int")
+    links = spark.createDataFrame([], "full_url string, site_domain string, is_category_link boolean, source_xpath string")
+    everything = lambda items: rule_labeller(items).withColumn("predicted_label", F.lit("article"))
+    store = ArticleStore(spark, f"{folder}/store", buckets=2)
+    stream = start_page_stream(
+        stream_pages(spark, f"{folder}/in/*", files_per_batch=1, arrivals=True), sites, None, everything, store,
+        f"{folder}/raw", f"{folder}/checkpoint", NOW, links, "1 day",
+    )
+    stream.awaitTermination()
+    assert values(spark.read.parquet(f"{folder}/raw").groupBy("batch").count(), "batch", "count") == [(0, 40), (2, 10)]
+    assert store.current().version == 2 and store.read().count() == 50
